@@ -12,7 +12,7 @@ from ledgerlake import schemas
 from ledgerlake.context import RunContext
 from ledgerlake.functions.dates import parts_date
 from ledgerlake.functions.money import in_millions, money
-from ledgerlake.operators.skew import hot_keys, join_unique, row_id
+from ledgerlake.operators.skew import join_unique, row_id
 
 # The two transaction types that a profile counts.
 DEBIT = "debit"
@@ -142,9 +142,9 @@ def attach_profile(transactions: DataFrame, profile: DataFrame) -> DataFrame:
     ``profile`` is read twice (heavy users, then the join), so pass a stored table; ``transactions`` is a
     table scan.
     """
-    hot = hot_keys(profile.where(F.col("user_id").isNotNull()), ["user_id"], rows="trans_rows")
+    counts = profile.where(F.col("user_id").isNotNull()).select("user_id", "trans_rows")
     unique = profile.drop("trans_rows")
-    return join_unique(transactions, unique, ["user_id"], "left", hot, row_id())
+    return join_unique(transactions, unique, ["user_id"], "left", counts, row_id(), rows="trans_rows")
 
 
 def curate_transactions(core: DataFrame, profile: DataFrame, extra: Sequence[str] = ()) -> DataFrame:

@@ -17,12 +17,12 @@ MAX_CALENDAR_BROADCAST = 100_000
 
 
 def star_rows(
-    trans_dim: DataFrame, user_dim: DataFrame, analytics_dim: DataFrame, date_dim: DataFrame, hot: DataFrame
+    trans_dim: DataFrame, user_dim: DataFrame, analytics_dim: DataFrame, date_dim: DataFrame, profile: DataFrame
 ) -> DataFrame:
     """Transactions whose user, events and day are all known, with the keys of each dimension.
 
     The two user-sized dimensions are joined to each other first, on narrow rows, so the transactions are
-    shuffled once; ``hot`` lists the users heavy enough to be cut into pieces.
+    shuffled once; the stored ``profile`` tells which users are heavy.
     """
     users = user_dim.select("user_id", "user_id_pk").join(
         analytics_dim.select("user_id", "analytics_id_pk"), "user_id"
@@ -33,7 +33,17 @@ def star_rows(
     days = broadcast_checked(
         date_dim.select("trans_date", "date_id_pk", "trans_year", "trans_month"), MAX_CALENDAR_BROADCAST
     )
-    return join_unique(trans, users, ["user_id"], "inner", hot, F.col("trans_id_pk")).join(days, "trans_date")
+    known = join_unique(
+        trans,
+        users,
+        ["user_id"],
+        "inner",
+        profile.where(F.col("user_id").isNotNull()).select("user_id", "trans_rows"),
+        F.col("trans_id_pk"),
+        rows="trans_rows",
+        bound=analytics_dim,
+    )
+    return known.join(days, "trans_date")
 
 
 def gmv_per_month(rows: DataFrame) -> DataFrame:

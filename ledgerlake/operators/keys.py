@@ -26,7 +26,8 @@ def dense_key(df: DataFrame, order: Sequence[str | Column], name: str, stage: St
     3. Count rows per partition: one row per shuffle partition.  Running totals over those few rows are
        the offsets, which are broadcast back.
 
-    ``df`` is scanned twice (range sampling, then the shuffle): pass a stored table or a cheap plan.
+    The last stage of ``df`` runs twice (range sampling, then the shuffle), shuffles before it once: pass a
+    stored table or a plan that ends shortly after a shuffle.
     """
     total_order = [*order, _ROW]
     placed = (

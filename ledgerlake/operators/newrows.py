@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.context import RunContext
-from ledgerlake.operators.skew import hot_keys, join_unique, key_counts, row_id
+from ledgerlake.operators.skew import join_unique, key_counts, row_id
 from ledgerlake.sources.layers import day_slice
 
 
@@ -31,8 +31,8 @@ def new_rows(source: DataFrame, existing: DataFrame, keys: Sequence[str]) -> Dat
     """
     valid = with_key(source, keys)
     known = existing.select(*keys).distinct()
-    hot = hot_keys(key_counts(valid, keys), keys)
-    return join_unique(valid, known, keys, "left_anti", hot, row_id()).select(*source.columns)
+    rows = join_unique(valid, known, keys, "left_anti", key_counts(valid, keys), row_id(), bound=existing)
+    return rows.select(*source.columns)
 
 
 def new_records(source: DataFrame, existing: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.fact import MAX_CALENDAR_BROADCAST
-from ledgerlake.operators.skew import broadcast_checked, hot_keys, join_unique, key_counts
+from ledgerlake.operators.skew import broadcast_checked, join_unique, key_counts
 
 REPORT_COLUMNS = [
     "user_id", "rating", "signup_since_days", "gmv_per_month", "avgtranspermonth", "trans_date", "trans_year",
@@ -32,11 +32,11 @@ def _joined(
         F.col("analytics_id_pk").alias("analytics_id_fk"), "category", "mobile_brand_name", "city", "appversion"
     )
     spread = F.col("profile_id_pk")
-    heavy_users = hot_keys(key_counts(fact, ["user_id_fk"]), ["user_id_fk"])
-    heavy_events = hot_keys(key_counts(fact, ["analytics_id_fk"]), ["analytics_id_fk"])
+    per_user = key_counts(fact, ["user_id_fk"])
+    per_event = key_counts(fact, ["analytics_id_fk"])
     rows = fact.join(broadcast_checked(days, MAX_CALENDAR_BROADCAST), "date_id_fk")
-    rows = join_unique(rows, users, ["user_id_fk"], "inner", heavy_users, spread)
-    rows = join_unique(rows, events, ["analytics_id_fk"], "inner", heavy_events, spread)
+    rows = join_unique(rows, users, ["user_id_fk"], "inner", per_user, spread)
+    rows = join_unique(rows, events, ["analytics_id_fk"], "inner", per_event, spread)
     return rows.join(trans, "trans_id_fk")
 
 

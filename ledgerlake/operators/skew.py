@@ -13,6 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# A unique side of at most this many rows is broadcast; a few hundred bytes a row, tens of megabytes.
+BROADCAST_ROWS = 100_000
+
 _PIECES = "_pieces"
 _PIECE = "_piece"
 
@@ -47,21 +50,46 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], rows: str = "rows", pieces:
     )
 
 
+def fits(df: DataFrame, max_rows: int) -> bool:
+    """Whether a stored table has at most ``max_rows`` rows.
+
+    Reads no columns and stops once it has seen one row too many, so a large table costs a few tasks.
+    """
+    return df.select().offset(max_rows).isEmpty()
+
+
+def broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
+    """Hint a broadcast only if ``df`` is counted to have at most ``max_rows`` rows.
+
+    Beyond that the frame is returned as it is and the planner shuffles.
+    """
+    return F.broadcast(df) if fits(df, max_rows) else df
+
+
 def join_unique(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     how: str,
-    hot: DataFrame,
+    counts: DataFrame,
     spread: Column,
+    rows: str = "rows",
+    bound: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``left`` joined to ``right``, where ``right`` has at most one row per key.
 
-    ``spread`` tells the left rows of one key apart: a unique column, or ``row_id()``.  Rows with a NULL key match nothing
-    but survive a left or anti join, so they are spread out too.  ``how`` is inner, left or left_anti.
+    A ``right`` counted to be small is broadcast: then nothing is shuffled and no key is hot.  Otherwise
+    both sides are shuffled by key and piece.  ``bound`` is a stored table with at least as many rows as
+    ``right``, to be counted in its place when ``right`` is more than a scan.  ``counts`` holds the left rows per key in ``rows``;
+    ``spread`` tells the left rows of one key apart: a unique column, or ``row_id()``.  Rows with a NULL
+    key match nothing but survive a left or anti join, so they are spread out too.  ``how`` is inner, left
+    or left_anti.
     """
     keys = list(keys)
-    hot = F.broadcast(hot)
+    if fits(right if bound is None else bound, broadcast_rows):
+        return left.join(F.broadcast(right), keys, how)
+    hot = F.broadcast(hot_keys(counts, keys, rows))
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     row_hash = F.xxhash64(spread)
     no_key: Column = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
@@ -75,13 +103,3 @@ def join_unique(
     copies = F.sequence(F.lit(0), F.coalesce(F.col(_PIECES), F.lit(1)) - 1)
     one = right.join(hot, keys, "left").withColumn(_PIECE, F.explode(copies)).drop(_PIECES)
     return many.join(one, [*keys, _PIECE], how).drop(_PIECE)
-
-
-def broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only if ``df`` is counted to have at most ``max_rows`` rows.
-
-    Beyond that the frame is returned as it is and the planner shuffles.
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

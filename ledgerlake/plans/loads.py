@@ -18,7 +18,6 @@ from ledgerlake.functions.dates import on_day, with_compact_parts, with_iso_part
 from ledgerlake.operators import curate, dims, fact
 from ledgerlake.operators.flatten import flatten_analytics
 from ledgerlake.operators.newrows import incremental_new_rows, new_rows, with_key, without_key
-from ledgerlake.operators.skew import hot_keys
 from ledgerlake.plans.lake import Lake
 from ledgerlake.sinks.partitions import late_day_refresh, replace_day, stamp
 from ledgerlake.sinks.stage import Stage
@@ -57,12 +56,14 @@ def _scan(spark: SparkSession, feed: str, path: str, ctx: RunContext) -> tuple[D
     return shape_feed(feed, good_rows(scan), ctx), seen
 
 
-def _keep_bad_lines(spark: SparkSession, lake: Lake, feed: str, path: str, seen: Observation, report: LoadReport) -> None:
+def _keep_bad_lines(
+    spark: SparkSession, lake: Lake, feed: str, path: str, seen: Observation, ctx: RunContext, report: LoadReport
+) -> None:
     lines = seen.get["lines"]
     report.rejects[f"{feed} lines"] = lines
     if lines:
         text = bad_lines(scan_feed(spark, feed, path)).select(CORRUPT)
-        text.write.mode("overwrite").parquet(f"{lake.root}/quarantine/{feed}_lines")
+        text.write.mode("overwrite").parquet(_set_aside(lake, f"{feed}_lines", ctx))
 
 
 def land_all(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: RunContext, report: LoadReport) -> None:
@@ -70,7 +71,7 @@ def land_all(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: Ru
     for feed in FEED_NAMES:
         rows, seen = _scan(spark, feed, inputs[feed], ctx)
         report.rows[f"raw.{feed}"] = lake.write_version(f"raw.{feed}", rows)
-        _keep_bad_lines(spark, lake, feed, inputs[feed], seen, report)
+        _keep_bad_lines(spark, lake, feed, inputs[feed], seen, ctx, report)
 
 
 def land_day(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: RunContext, report: LoadReport) -> None:
@@ -78,17 +79,25 @@ def land_day(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: Ru
     for feed in FEED_NAMES:
         rows, seen = _scan(spark, feed, inputs[feed], ctx)
         report.rows[f"raw.{feed}"] = late_day_refresh(rows, lake.path_or_first(f"raw.{feed}"), ctx)
-        _keep_bad_lines(spark, lake, feed, inputs[feed], seen, report)
+        _keep_bad_lines(spark, lake, feed, inputs[feed], seen, ctx, report)
 
 
 # --- full load -------------------------------------------------------------------------------------------
 
 
-def _quarantine(lake: Lake, feed: str, source: DataFrame, keys: list[str], report: LoadReport) -> DataFrame:
+def _set_aside(lake: Lake, name: str, ctx: RunContext) -> str:
+    """Folder for what a run cannot use; a repeated run replaces its own."""
+    run = "full" if ctx.mode == FULL_LOAD else ctx.slice_day.isoformat()
+    return f"{lake.root}/quarantine/{name}/{run}"
+
+
+def _quarantine(
+    lake: Lake, feed: str, source: DataFrame, keys: list[str], ctx: RunContext, report: LoadReport
+) -> DataFrame:
     """Set rows without a natural key aside; returns the others."""
     seen = Observation()
     lost = without_key(source, keys).observe(seen, F.count(F.lit(1)).alias("rows"))
-    lost.write.mode("overwrite").parquet(f"{lake.root}/quarantine/{feed}_without_key")
+    lost.write.mode("overwrite").parquet(_set_aside(lake, f"{feed}_without_key", ctx))
     report.rejects[f"{feed} without key"] = seen.get["rows"]
     return with_key(source, keys)
 
@@ -104,11 +113,11 @@ def full_load(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: R
     wrote = report.rows
     land_all(spark, inputs, lake, ctx, report)
 
-    users = _quarantine(lake, "users", lake.stored("raw.users"), ["user_id"], report)
+    users = _quarantine(lake, "users", lake.stored("raw.users"), ["user_id"], ctx, report)
     wrote["curated.users"] = lake.write_version(
         "curated.users", curate.curate_users(curate.dedupe_users(users), ctx)
     )
-    valid = _quarantine(lake, "transactions", lake.stored("raw.transactions"), ["transaction_id"], report)
+    valid = _quarantine(lake, "transactions", lake.stored("raw.transactions"), ["transaction_id"], ctx, report)
     core, seen = _curate_trans(valid)
     wrote["curated.transactions"] = lake.write_version("curated.transactions", core)
     report.rejects["transactions amounts"] = seen.get["amounts"]
@@ -131,7 +140,7 @@ def full_load(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: R
         wrote["consumption.trans_dim"] = lake.write_version(
             "consumption.trans_dim", dims.trans_dim_store(core, stage)
         )
-        latest = stage.keep(dims.analytics_latest(lake.stored("curated.analytics")), "latest")
+        latest = dims.analytics_latest(lake.stored("curated.analytics"))
         analytics_dim = dims.analytics_dim(latest, stage)
         wrote["consumption.analytics_dim"] = lake.write_version(
             "consumption.analytics_dim", analytics_dim.select("*", added)
@@ -153,13 +162,12 @@ def _write_profile(lake: Lake) -> int:
 
 
 def _star_rows(lake: Lake, trans: DataFrame) -> DataFrame:
-    profile = lake.stored("curated.trans_profile").where(F.col("user_id").isNotNull())
     return fact.star_rows(
         trans,
         lake.stored("consumption.user_dim"),
         lake.stored("consumption.analytics_dim"),
         lake.stored("consumption.date_dim"),
-        hot_keys(profile, ["user_id"], rows="trans_rows"),
+        lake.stored("curated.trans_profile"),
     )
 
 
@@ -186,13 +194,13 @@ def incremental_load(spark: SparkSession, inputs: Mapping[str, str], lake: Lake,
 def _curate_day(lake: Lake, ctx: RunContext, stage: Stage, report: LoadReport) -> None:
     day, wrote = ctx.slice_day, report.rows
 
-    source = lake.day("raw.users", day)
-    users = stage.keep(curate.dedupe_users(_quarantine(lake, "users", source, ["user_id"], report)), "users")
+    valid = _quarantine(lake, "users", lake.day("raw.users", day), ["user_id"], ctx, report)
+    users = stage.keep(curate.dedupe_users(valid), "users")
     if lake.exists("curated.users"):
         users = new_rows(users, lake.stored("curated.users"), ["user_id"])
     wrote["curated.users"] = lake.append("curated.users", curate.curate_users(users, ctx))
 
-    valid = _quarantine(lake, "transactions", lake.stored("raw.transactions").where(on_day(day)), ["transaction_id"], report)
+    valid = _quarantine(lake, "transactions", lake.day("raw.transactions", day), ["transaction_id"], ctx, report)
     core, seen = _curate_trans(valid)
     core = stage.keep(core, "core")
     report.rejects["transactions amounts"] = seen.get["amounts"]

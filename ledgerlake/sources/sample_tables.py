@@ -24,6 +24,16 @@ def _seconds(column: str) -> Column:
     return F.substring(_text(F.col(column)), 1, 19)
 
 
+def _iso(column: str) -> Column:
+    text = _text(F.col(column))
+    return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8))
+
+
+def _compact_day(column: str) -> Column:
+    text = _text(F.col(column))
+    return F.concat(F.substring(text, 1, 4), F.substring(text, 6, 2), F.substring(text, 9, 2))
+
+
 def _numbered(prefix: str, n: int, suffix: str = "") -> Column:
     return F.concat(F.lit(prefix), _text(F.col("user_id") % n), F.lit(suffix))
 
@@ -37,7 +47,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
         _text(F.col("o_totalprice").cast("decimal(18,2)")).alias("amount"),
         F.when(status == "O", "debit").when(status == "F", "credit").otherwise("other").alias("transaction_type"),
         F.col("o_orderpriority").alias("type"),
-        F.translate(_seconds("o_orderdate"), " ", "T").alias("created_at"),
+        _iso("o_orderdate").alias("created_at"),
     )
 
 
@@ -59,7 +69,7 @@ def user_sightings(spark: SparkSession, folder: str) -> DataFrame:
         _text(key).alias("user_id"),
         _text(key % 25).alias("business_id"),
         F.col("o_orderpriority").alias("rating"),
-        F.translate(_seconds("o_orderdate"), " ", "T").alias("created_at"),
+        _iso("o_orderdate").alias("created_at"),
     )
     return users(spark, folder).unionByName(again)
 
@@ -79,7 +89,7 @@ def nested_events(spark: SparkSession, folder: str) -> DataFrame:
     }
     geo = {"city": _numbered("city_", 7), "country": _numbered("country_", 3)}
     values = {
-        "event_date": F.translate(F.substring(_text(F.col("ts")), 1, 10), "-", ""),
+        "event_date": _compact_day("ts"),
         "event_timestamp": _seconds("ts"),
         "event_name": F.col("event_type"),
         "event_params": params,

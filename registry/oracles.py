@@ -210,11 +210,7 @@ ORACLES: dict[str, str] = {
         f"SELECT {_FLAT}, {_LANDED} FROM src_analytics WHERE cryear = 2024 AND crmonth = 1 AND crday = 15",
         "src_analytics",
     ),
-    "partitioned_roundtrip": _with(
-        f"""SELECT {_TRANS_FEED}, TIMESTAMP '2002-01-01 06:00:00' AS processed_at, {_DAY_PARTS_OF}
-        FROM src_transactions""",
-        "src_transactions",
-    ),
+    "partitioned_roundtrip": _with(f"SELECT {_FLAT}, {_LANDED} FROM src_analytics", "src_analytics"),
     "day_partition_refresh": _with(
         f"SELECT {_UPPER_ON_15TH}, {_LANDED} FROM src_analytics WHERE event_date <> '20240116'", "src_analytics"
     ),

@@ -16,7 +16,6 @@ from ledgerlake.operators import audit, curate, dims, fact, report
 from ledgerlake.operators.flatten import flatten_analytics
 from ledgerlake.operators.keys import dense_key
 from ledgerlake.operators.newrows import incremental_new_rows, new_rows
-from ledgerlake.operators.skew import hot_keys
 from ledgerlake.operators.slices import compact_day_slice, incremental_slice
 from ledgerlake.sinks import partitions, tables
 from ledgerlake.sinks.stage import Stage
@@ -125,9 +124,7 @@ def day_slice_scan(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def partitioned_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    path = Stage(spark).path("roundtrip")
-    partitions.write_partitioned(_transactions(spark, folder), path)
-    return scan_table(spark, path, schemas.SOURCE_TRANSACTIONS)
+    return _read_events(spark, _land_events(spark, folder, "roundtrip"))
 
 
 def day_partition_refresh(spark: SparkSession, folder: str) -> DataFrame:
@@ -280,8 +277,7 @@ def date_dim(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def user_dim(spark: SparkSession, folder: str) -> DataFrame:
-    stage = Stage(spark)
-    return dims.user_dim(stage.keep(_curated_users(spark, folder), "users"), stage)
+    return dims.user_dim(_curated_users(spark, folder), Stage(spark))
 
 
 def _wide_trans_dim(store: DataFrame, profile: DataFrame) -> DataFrame:
@@ -296,8 +292,7 @@ def trans_dim(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def analytics_dim(spark: SparkSession, folder: str) -> DataFrame:
-    stage = Stage(spark)
-    return dims.analytics_dim(stage.keep(_latest(spark, folder), "latest"), stage)
+    return dims.analytics_dim(_latest(spark, folder), Stage(spark))
 
 
 def gmv_per_month(spark: SparkSession, folder: str) -> DataFrame:
@@ -309,27 +304,27 @@ def gmv_per_month(spark: SparkSession, folder: str) -> DataFrame:
         sample_tables.users(spark, folder).withColumn("user_id_pk", same),
         sample_tables.nested_events(spark, folder).select("user_id").distinct().withColumn("analytics_id_pk", same),
         dims.date_dim(sample_tables.transactions(spark, folder)),
-        hot_keys(profile, ["user_id"], rows="trans_rows"),
+        profile,
     )
     return fact.gmv_per_month(rows)
 
 
 class _Star:
-    """The star tables of one data folder, each written once."""
+    """The star tables of one data folder.
+
+    A dimension is a scan of its staged rows plus the broadcast key offsets, so it is not written again.
+    """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         stage = Stage(spark)
         core = _core(spark, folder)
         self.profile = _profile(spark, folder, stage)
-        self.user_dim = stage.keep(user_dim(spark, folder), "user_dim")
-        self.trans_store = stage.keep(dims.trans_dim_store(core, stage), "trans_dim")
-        self.analytics_dim = stage.keep(analytics_dim(spark, folder), "analytics_dim")
+        self.user_dim = user_dim(spark, folder)
+        self.trans_store = dims.trans_dim_store(core, stage)
+        self.analytics_dim = analytics_dim(spark, folder)
         self.date_dim = stage.keep(dims.date_dim(core).coalesce(1), "date_dim")
-        hot = hot_keys(self.profile, ["user_id"], rows="trans_rows")
-        rows = stage.keep(
-            fact.star_rows(self.trans_store, self.user_dim, self.analytics_dim, self.date_dim, hot), "rows"
-        )
-        self.fact_store = stage.keep(fact.number_fact(rows, stage), "fact")
+        star = fact.star_rows(self.trans_store, self.user_dim, self.analytics_dim, self.date_dim, self.profile)
+        self.fact_store = fact.number_fact(stage.keep(star, "rows"), stage)
         self.gmv = stage.keep(fact.gmv_per_month(self.fact_store).coalesce(1), "gmv")
 
     @property
