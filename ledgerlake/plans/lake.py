@@ -45,10 +45,6 @@ class Lake:
             raise FileNotFoundError(f"{table} has not been loaded under {self.root}")
         return f"{self.folder(table)}/{versions[-1]}"
 
-    def path_or_first(self, table: str) -> str:
-        """Folder of the current version, or of the first one if nothing has been loaded."""
-        return self.path(table) if self.exists(table) else f"{self.folder(table)}/v0001"
-
     def exists(self, table: str) -> bool:
         return bool(self._versions(table))
 
@@ -92,10 +88,14 @@ class Lake:
             delete_tree(self.spark, f"{folder}/{old}")
         return rows
 
+    def create_missing(self) -> None:
+        """Give every table that has not been loaded an empty first version."""
+        for table, (schema, _) in schemas.STORED.items():
+            if not self.exists(table):
+                self.write_version(table, self.spark.createDataFrame([], schema))
+
     def append(self, table: str, df: DataFrame) -> int:
-        """Add rows to the current version (a first version if there is none)."""
-        if not self.exists(table):
-            return self.write_version(table, df)
+        """Add rows to the current version."""
         df = df.select(*schemas.names(schemas.STORED[table][0]))
         return self._write(df, self.path(table), schemas.STORED[table][1], "append")
 

@@ -78,7 +78,7 @@ def land_day(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: Ru
     """Replace the run's day of every feed."""
     for feed in FEED_NAMES:
         rows, seen = _scan(spark, feed, inputs[feed], ctx)
-        report.rows[f"raw.{feed}"] = late_day_refresh(rows, lake.path_or_first(f"raw.{feed}"), ctx)
+        report.rows[f"raw.{feed}"] = late_day_refresh(rows, lake.path(f"raw.{feed}"), ctx)
         _keep_bad_lines(spark, lake, feed, inputs[feed], seen, ctx, report)
 
 
@@ -183,6 +183,7 @@ def incremental_load(spark: SparkSession, inputs: Mapping[str, str], lake: Lake,
     """
     report = LoadReport()
     day = ctx.slice_day
+    lake.create_missing()
     land_day(spark, inputs, lake, ctx, report)
     with Stage(spark) as stage:
         _curate_day(lake, ctx, stage, report)
@@ -196,35 +197,27 @@ def _curate_day(lake: Lake, ctx: RunContext, stage: Stage, report: LoadReport) -
 
     valid = _quarantine(lake, "users", lake.day("raw.users", day), ["user_id"], ctx, report)
     users = stage.keep(curate.dedupe_users(valid), "users")
-    if lake.exists("curated.users"):
-        users = new_rows(users, lake.stored("curated.users"), ["user_id"])
+    users = new_rows(users, lake.stored("curated.users"), ["user_id"])
     wrote["curated.users"] = lake.append("curated.users", curate.curate_users(users, ctx))
 
     valid = _quarantine(lake, "transactions", lake.day("raw.transactions", day), ["transaction_id"], ctx, report)
     core, seen = _curate_trans(valid)
     core = stage.keep(core, "core")
     report.rejects["transactions amounts"] = seen.get["amounts"]
-    if lake.exists("curated.transactions"):
-        core = incremental_new_rows(core, lake.stored("curated.transactions"), ctx, ["transaction_id"], True)
+    core = incremental_new_rows(core, lake.stored("curated.transactions"), ctx, ["transaction_id"], True)
     wrote["curated.transactions"] = lake.append("curated.transactions", core)
     daily = curate.trans_daily(lake.day("curated.transactions", day))
-    wrote["curated.trans_daily"] = replace_day(daily, lake.path_or_first("curated.trans_daily"), day)
+    wrote["curated.trans_daily"] = replace_day(daily, lake.path("curated.trans_daily"), day)
     wrote["curated.trans_profile"] = _write_profile(lake)
 
     events = curate.curate_analytics(lake.day("raw.analytics", day))
-    if lake.exists("curated.analytics"):
-        record = [c for c in schemas.names(schemas.CURATED_ANALYTICS) if c != "processed_at"]
-        events = incremental_new_rows(events, lake.stored("curated.analytics"), ctx, record, False)
+    record = [c for c in schemas.names(schemas.CURATED_ANALYTICS) if c != "processed_at"]
+    events = incremental_new_rows(events, lake.stored("curated.analytics"), ctx, record, False)
     wrote["curated.analytics"] = lake.append("curated.analytics", events)
 
 
 def _extend_dims(spark: SparkSession, lake: Lake, day: date, stage: Stage, report: LoadReport) -> None:
     wrote = report.rows
-    for table in ("date_dim", "user_dim", "trans_dim", "analytics_dim"):
-        if not lake.exists(f"consumption.{table}"):
-            empty = spark.createDataFrame([], schemas.STORED[f"consumption.{table}"][0])
-            lake.write_version(f"consumption.{table}", empty)
-
     core = lake.day("curated.transactions", day)
     if not core.isEmpty():
         dates = dims.new_dates(spark, lake.stored("consumption.date_dim"), day, day)
@@ -257,12 +250,10 @@ def _extend_fact(lake: Lake, day: date, stage: Stage, report: LoadReport) -> Non
     older = trans.where(~F.coalesce(on_day(day), F.lit(False))).join(known_now, "user_id", "left_semi")
     candidates = trans.where(on_day(day)).unionByName(older.select(*trans.columns))
     rows = stage.keep(_star_rows(lake, candidates), "star")
-    start = 0
-    if lake.exists(table):
-        stored = lake.stored(table)
-        have = stored.withColumnRenamed("trans_id_fk", "trans_id_pk")
-        rows = stage.keep(new_rows(rows, have, ["trans_id_pk"]), "fresh")
-        start = dims.highest_key(stored, "profile_id_pk")
+    stored = lake.stored(table)
+    have = stored.withColumnRenamed("trans_id_fk", "trans_id_pk")
+    rows = stage.keep(new_rows(rows, have, ["trans_id_pk"]), "fresh")
+    start = dims.highest_key(stored, "profile_id_pk")
     report.rows[table] = lake.append(table, fact.number_fact(rows, stage, start))
     _refresh_gmv(lake, rows, day, report)
 
@@ -277,6 +268,5 @@ def _refresh_gmv(lake: Lake, fresh: DataFrame, day: date, report: LoadReport) ->
     for year, month in sorted(touched):
         in_touched = in_touched | ((F.col("trans_year") == year) & (F.col("trans_month") == month))
     gmv = fact.gmv_per_month(lake.stored("consumption.profile_fact").where(in_touched))
-    if lake.exists(table):
-        gmv = gmv.unionByName(lake.stored(table).where(~in_touched))
+    gmv = gmv.unionByName(lake.stored(table).where(~in_touched))
     report.rows[table] = lake.write_version(table, gmv.coalesce(1))
