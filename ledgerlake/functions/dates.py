@@ -21,8 +21,10 @@ def iso_day(column: str | Column) -> Column:
 
 def with_iso_parts(df: DataFrame, column: str = "created_at") -> DataFrame:
     """Add cryear, crmonth, crday of an ISO timestamp text."""
-    day = iso_day(column)
-    return df.withColumns({"cryear": F.year(day), "crmonth": F.month(day), "crday": F.dayofmonth(day)})
+    # A column of its own, so that the text is parsed once and not once per part.
+    day = "_day"
+    parts = {"cryear": F.year(day), "crmonth": F.month(day), "crday": F.dayofmonth(day)}
+    return df.withColumn(day, iso_day(column)).withColumns(parts).drop(day)
 
 
 def with_compact_parts(df: DataFrame, column: str = "event_date") -> DataFrame:

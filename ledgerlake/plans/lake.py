@@ -92,7 +92,7 @@ class Lake:
         """Give every table that has not been loaded an empty first version."""
         for table, (schema, _) in schemas.STORED.items():
             if not self.exists(table):
-                self.write_version(table, self.spark.createDataFrame([], schema))
+                self.write_version(table, self.spark.createDataFrame([], schema).coalesce(1))
 
     def append(self, table: str, df: DataFrame) -> int:
         """Add rows to the current version."""

@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from ledgerlake.operators import curate, dims, fact
 from ledgerlake.operators.flatten import flatten_analytics
 from ledgerlake.operators.newrows import incremental_new_rows, new_rows, with_key, without_key
 from ledgerlake.plans.lake import Lake
+from ledgerlake.plans.together import together
 from ledgerlake.sinks.partitions import late_day_refresh, replace_day, stamp
 from ledgerlake.sinks.stage import Stage
 from ledgerlake.sources.feeds import CORRUPT, bad_line_count, bad_lines, good_rows, scan_feed
@@ -68,19 +70,25 @@ def _keep_bad_lines(
 
 def land_all(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: RunContext, report: LoadReport) -> None:
     """Land whole feeds."""
-    for feed in FEED_NAMES:
+
+    def land(feed: str) -> None:
         rows, seen = _scan(spark, feed, inputs[feed], ctx)
-        report.rows[f"raw.{feed}"] = lake.write_version(f"raw.{feed}", rows)
+        _rewrite(lake, f"raw.{feed}", rows, report)
         _keep_bad_lines(spark, lake, feed, inputs[feed], seen, ctx, report)
 
+    together(*[partial(land, feed) for feed in FEED_NAMES])
+
 
 def land_day(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: RunContext, report: LoadReport) -> None:
     """Replace the run's day of every feed."""
-    for feed in FEED_NAMES:
+
+    def land(feed: str) -> None:
         rows, seen = _scan(spark, feed, inputs[feed], ctx)
         report.rows[f"raw.{feed}"] = late_day_refresh(rows, lake.path(f"raw.{feed}"), ctx)
         _keep_bad_lines(spark, lake, feed, inputs[feed], seen, ctx, report)
 
+    together(*[partial(land, feed) for feed in FEED_NAMES])
+
 
 # --- full load -------------------------------------------------------------------------------------------
 
@@ -110,55 +118,62 @@ def _curate_trans(valid: DataFrame) -> tuple[DataFrame, Observation]:
 def full_load(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: RunContext) -> LoadReport:
     """Rebuild every layer from whole feeds."""
     report = LoadReport()
-    wrote = report.rows
     land_all(spark, inputs, lake, ctx, report)
-
-    users = _quarantine(lake, "users", lake.stored("raw.users"), ["user_id"], ctx, report)
-    wrote["curated.users"] = lake.write_version(
-        "curated.users", curate.curate_users(curate.dedupe_users(users), ctx)
+    together(
+        lambda: _curate_all_users(lake, ctx, report),
+        lambda: _curate_all_transactions(lake, ctx, report),
+        lambda: _rewrite(
+            lake, "curated.analytics", curate.curate_analytics(lake.stored("raw.analytics")), report
+        ),
     )
-    valid = _quarantine(lake, "transactions", lake.stored("raw.transactions"), ["transaction_id"], ctx, report)
-    core, seen = _curate_trans(valid)
-    wrote["curated.transactions"] = lake.write_version("curated.transactions", core)
-    report.rejects["transactions amounts"] = seen.get["amounts"]
-    wrote["curated.trans_daily"] = lake.write_version(
-        "curated.trans_daily", curate.trans_daily(lake.stored("curated.transactions"))
-    )
-    wrote["curated.trans_profile"] = _write_profile(lake)
-    wrote["curated.analytics"] = lake.write_version(
-        "curated.analytics", curate.curate_analytics(lake.stored("raw.analytics"))
-    )
-
     with Stage(spark) as stage:
         added = F.lit(ctx.as_of).alias("added_on")
         core = lake.stored("curated.transactions")
-        wrote["consumption.date_dim"] = lake.write_version(
-            "consumption.date_dim", dims.date_dim(core).coalesce(1)
-        )
-        user_dim = dims.user_dim(lake.stored("curated.users"), stage)
-        wrote["consumption.user_dim"] = lake.write_version("consumption.user_dim", user_dim.select("*", added))
-        wrote["consumption.trans_dim"] = lake.write_version(
-            "consumption.trans_dim", dims.trans_dim_store(core, stage)
-        )
-        latest = dims.analytics_latest(lake.stored("curated.analytics"))
-        analytics_dim = dims.analytics_dim(latest, stage)
-        wrote["consumption.analytics_dim"] = lake.write_version(
-            "consumption.analytics_dim", analytics_dim.select("*", added)
+        users, events = lake.stored("curated.users"), lake.stored("curated.analytics")
+        together(
+            lambda: _rewrite(lake, "consumption.date_dim", dims.date_dim(core).coalesce(1), report),
+            lambda: _rewrite(
+                lake, "consumption.user_dim", dims.user_dim(users, stage).select("*", added), report
+            ),
+            lambda: _rewrite(lake, "consumption.trans_dim", dims.trans_dim_store(core, stage), report),
+            lambda: _rewrite(
+                lake,
+                "consumption.analytics_dim",
+                dims.analytics_dim(dims.analytics_latest(events), stage).select("*", added),
+                report,
+            ),
         )
         rows = stage.keep(_star_rows(lake, lake.stored("consumption.trans_dim")), "star")
-        wrote["consumption.profile_fact"] = lake.write_version(
-            "consumption.profile_fact", fact.number_fact(rows, stage)
-        )
-        wrote["consumption.gmv_per_month"] = lake.write_version(
-            "consumption.gmv_per_month", fact.gmv_per_month(lake.stored("consumption.profile_fact")).coalesce(1)
-        )
+        _rewrite(lake, "consumption.profile_fact", fact.number_fact(rows, stage), report)
+    gmv = fact.gmv_per_month(lake.stored("consumption.profile_fact"))
+    _rewrite(lake, "consumption.gmv_per_month", gmv.coalesce(1), report)
     return report
 
 
-def _write_profile(lake: Lake) -> int:
-    return lake.write_version(
-        "curated.trans_profile", curate.profile_of_daily(lake.stored("curated.trans_daily"))
+def _rewrite(lake: Lake, table: str, df: DataFrame, report: LoadReport) -> None:
+    report.rows[table] = lake.write_version(table, df)
+
+
+def _curate_all_users(lake: Lake, ctx: RunContext, report: LoadReport) -> None:
+    valid = _quarantine(lake, "users", lake.stored("raw.users"), ["user_id"], ctx, report)
+    _rewrite(lake, "curated.users", curate.curate_users(curate.dedupe_users(valid), ctx), report)
+
+
+def _curate_all_transactions(lake: Lake, ctx: RunContext, report: LoadReport) -> None:
+    valid = _quarantine(
+        lake, "transactions", lake.stored("raw.transactions"), ["transaction_id"], ctx, report
     )
+    core, seen = _curate_trans(valid)
+    _rewrite(lake, "curated.transactions", core, report)
+    report.rejects["transactions amounts"] = seen.get["amounts"]
+    daily = curate.trans_daily(lake.stored("curated.transactions"))
+    _rewrite(lake, "curated.trans_daily", daily, report)
+    _rewrite_profile(lake, report)
+
+
+def _rewrite_profile(lake: Lake, report: LoadReport) -> None:
+    profile = curate.profile_of_daily(lake.stored("curated.trans_daily"))
+    _rewrite(lake, "curated.trans_profile", profile, report)
 
 
 def _star_rows(lake: Lake, trans: DataFrame) -> DataFrame:
@@ -193,62 +208,79 @@ def incremental_load(spark: SparkSession, inputs: Mapping[str, str], lake: Lake,
 
 
 def _curate_day(lake: Lake, ctx: RunContext, stage: Stage, report: LoadReport) -> None:
-    day, wrote = ctx.slice_day, report.rows
+    together(
+        lambda: _curate_users_of_day(lake, ctx, stage, report),
+        lambda: _curate_transactions_of_day(lake, ctx, stage, report),
+        lambda: _curate_events_of_day(lake, ctx, report),
+    )
+
+
+def _add(lake: Lake, table: str, df: DataFrame, report: LoadReport) -> None:
+    report.rows[table] = lake.append(table, df)
 
-    valid = _quarantine(lake, "users", lake.day("raw.users", day), ["user_id"], ctx, report)
+
+def _curate_users_of_day(lake: Lake, ctx: RunContext, stage: Stage, report: LoadReport) -> None:
+    valid = _quarantine(lake, "users", lake.day("raw.users", ctx.slice_day), ["user_id"], ctx, report)
     users = stage.keep(curate.dedupe_users(valid), "users")
+    # All curated users, not one day of them: a user sent again on a later day stays one row.
     users = new_rows(users, lake.stored("curated.users"), ["user_id"])
-    wrote["curated.users"] = lake.append("curated.users", curate.curate_users(users, ctx))
+    _add(lake, "curated.users", curate.curate_users(users, ctx), report)
+
 
-    valid = _quarantine(lake, "transactions", lake.day("raw.transactions", day), ["transaction_id"], ctx, report)
+def _curate_transactions_of_day(lake: Lake, ctx: RunContext, stage: Stage, report: LoadReport) -> None:
+    day, key = ctx.slice_day, ["transaction_id"]
+    valid = _quarantine(lake, "transactions", lake.day("raw.transactions", day), key, ctx, report)
     core, seen = _curate_trans(valid)
     core = stage.keep(core, "core")
     report.rejects["transactions amounts"] = seen.get["amounts"]
-    core = incremental_new_rows(core, lake.stored("curated.transactions"), ctx, ["transaction_id"], True)
-    wrote["curated.transactions"] = lake.append("curated.transactions", core)
+    core = incremental_new_rows(core, lake.stored("curated.transactions"), ctx, key, True)
+    _add(lake, "curated.transactions", core, report)
     daily = curate.trans_daily(lake.day("curated.transactions", day))
-    wrote["curated.trans_daily"] = replace_day(daily, lake.path("curated.trans_daily"), day)
-    wrote["curated.trans_profile"] = _write_profile(lake)
+    report.rows["curated.trans_daily"] = replace_day(daily, lake.path("curated.trans_daily"), day)
+    _rewrite_profile(lake, report)
+
 
-    events = curate.curate_analytics(lake.day("raw.analytics", day))
+def _curate_events_of_day(lake: Lake, ctx: RunContext, report: LoadReport) -> None:
+    events = curate.curate_analytics(lake.day("raw.analytics", ctx.slice_day))
     record = [c for c in schemas.names(schemas.CURATED_ANALYTICS) if c != "processed_at"]
     events = incremental_new_rows(events, lake.stored("curated.analytics"), ctx, record, False)
-    wrote["curated.analytics"] = lake.append("curated.analytics", events)
+    _add(lake, "curated.analytics", events, report)
 
 
 def _extend_dims(spark: SparkSession, lake: Lake, day: date, stage: Stage, report: LoadReport) -> None:
-    wrote = report.rows
     core = lake.day("curated.transactions", day)
-    if not core.isEmpty():
-        dates = dims.new_dates(spark, lake.stored("consumption.date_dim"), day, day)
-        wrote["consumption.date_dim"] = lake.append("consumption.date_dim", dates.coalesce(1))
 
-    known = lake.stored("consumption.user_dim")
-    users = stage.keep(new_rows(lake.day("curated.users", day), known, ["user_id"]), "new_users")
-    keyed = dims.new_users(users, known, stage).withColumn("added_on", F.lit(day))
-    wrote["consumption.user_dim"] = lake.append("consumption.user_dim", keyed)
+    def dates() -> None:
+        if not core.isEmpty():
+            more = dims.new_dates(spark, lake.stored("consumption.date_dim"), day, day)
+            _add(lake, "consumption.date_dim", more.coalesce(1), report)
 
-    known = lake.stored("consumption.trans_dim")
-    trans = stage.keep(new_rows(core, known.where(on_day(day)), ["transaction_id"]), "new_trans")
-    wrote["consumption.trans_dim"] = lake.append("consumption.trans_dim", dims.new_trans(trans, known, stage))
+    def users() -> None:
+        known = lake.stored("consumption.user_dim")
+        fresh = stage.keep(new_rows(lake.day("curated.users", day), known, ["user_id"]), "new_users")
+        keyed = dims.new_users(fresh, known, stage).withColumn("added_on", F.lit(day))
+        _add(lake, "consumption.user_dim", keyed, report)
 
-    latest = stage.keep(dims.analytics_latest(lake.day("curated.analytics", day)), "latest")
-    merged = dims.merge_analytics(lake.stored("consumption.analytics_dim"), latest, day, stage)
-    wrote["consumption.analytics_dim"] = lake.write_version("consumption.analytics_dim", merged)
+    def transactions() -> None:
+        known = lake.stored("consumption.trans_dim")
+        fresh = stage.keep(new_rows(core, known.where(on_day(day)), ["transaction_id"]), "new_trans")
+        _add(lake, "consumption.trans_dim", dims.new_trans(fresh, known, stage), report)
+
+    def events() -> None:
+        known = lake.stored("consumption.analytics_dim")
+        latest = stage.keep(dims.analytics_latest(lake.day("curated.analytics", day)), "latest")
+        _rewrite(lake, "consumption.analytics_dim", dims.merge_analytics(known, latest, day, stage), report)
+
+    together(dates, users, transactions, events)
 
 
 def _extend_fact(lake: Lake, day: date, stage: Stage, report: LoadReport) -> None:
     """Fact rows for the day's transactions, and for older transactions of users who became known."""
     table = "consumption.profile_fact"
-    trans = lake.stored("consumption.trans_dim")
-    added = F.col("added_on") == F.lit(day)
-    known_now = (
-        lake.stored("consumption.user_dim").where(added).select("user_id")
-        .union(lake.stored("consumption.analytics_dim").where(added).select("user_id"))
-        .distinct()
-    )
-    older = trans.where(~F.coalesce(on_day(day), F.lit(False))).join(known_now, "user_id", "left_semi")
-    candidates = trans.where(on_day(day)).unionByName(older.select(*trans.columns))
+    candidates = lake.day("consumption.trans_dim", day)
+    waiting = stage.keep(_users_with_older_rows(lake, day), "waiting")
+    if not waiting.isEmpty():
+        candidates = candidates.unionByName(_older_rows(lake, waiting, day))
     rows = stage.keep(_star_rows(lake, candidates), "star")
     stored = lake.stored(table)
     have = stored.withColumnRenamed("trans_id_fk", "trans_id_pk")
@@ -258,6 +290,32 @@ def _extend_fact(lake: Lake, day: date, stage: Stage, report: LoadReport) -> Non
     _refresh_gmv(lake, rows, day, report)
 
 
+def _users_with_older_rows(lake: Lake, day: date) -> DataFrame:
+    """Users who became known on ``day`` and have transactions on other days, by comparing their lifetime
+    row count with that of the day; transactions themselves are not read."""
+    added = F.col("added_on") == F.lit(day)
+    known_now = (
+        lake.stored("consumption.user_dim").where(added).select("user_id")
+        .union(lake.stored("consumption.analytics_dim").where(added).select("user_id"))
+        .distinct()
+    )
+    lifetime = lake.stored("curated.trans_profile").select("user_id", F.col("trans_rows").alias("all_rows"))
+    today = lake.day("curated.trans_daily", day).select("user_id", "trans_rows")
+    both = known_now.join(lifetime, "user_id").join(today, "user_id", "left")
+    return both.where(F.col("all_rows") > F.coalesce("trans_rows", F.lit(0))).select("user_id")
+
+
+def _older_rows(lake: Lake, users: DataFrame, day: date) -> DataFrame:
+    """Transactions of ``users`` on other days, read from the folders of the days they occur on."""
+    other = ~F.coalesce(on_day(day), F.lit(False))
+    parts = list(schemas.DAY_PARTS)
+    daily = lake.stored("curated.trans_daily").where(other)
+    # At most one row per calendar day.
+    days = F.broadcast(daily.join(users, "user_id", "left_semi").select(*parts).distinct())
+    trans = lake.stored("consumption.trans_dim").where(other)
+    return trans.join(days, parts, "left_semi").join(users, "user_id", "left_semi").select(*trans.columns)
+
+
 def _refresh_gmv(lake: Lake, fresh: DataFrame, day: date, report: LoadReport) -> None:
     """Recompute the months this run touched from their fact partitions; keep the others."""
     table = "consumption.gmv_per_month"

@@ -99,7 +99,7 @@ def nested_events(spark: SparkSession, folder: str) -> DataFrame:
         "app_info": _struct(schemas.names(schemas.APP_INFO), {"version": k}),
     }
     columns = [
-        values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.ANALYTICS_FEED.fields
+        values.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in schemas.ANALYTICS_FEED.fields
     ]
     return events.select(*columns, F.col("ts").alias("event_ts"), "event_id")
 

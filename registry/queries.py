@@ -16,7 +16,9 @@ from ledgerlake.operators import audit, curate, dims, fact, report
 from ledgerlake.operators.flatten import flatten_analytics
 from ledgerlake.operators.keys import dense_key
 from ledgerlake.operators.newrows import incremental_new_rows, new_rows
+from ledgerlake.operators.skew import key_counts
 from ledgerlake.operators.slices import compact_day_slice, incremental_slice
+from ledgerlake.plans.together import together
 from ledgerlake.sinks import partitions, tables
 from ledgerlake.sinks.stage import Stage
 from ledgerlake.sources import feeds, sample_tables
@@ -287,8 +289,10 @@ def _wide_trans_dim(store: DataFrame, profile: DataFrame) -> DataFrame:
 
 def trans_dim(spark: SparkSession, folder: str) -> DataFrame:
     stage = Stage(spark)
-    store = dims.trans_dim_store(_core(spark, folder), stage)
-    return _wide_trans_dim(store, _profile(spark, folder, stage))
+    store, profile = together(
+        lambda: dims.trans_dim_store(_core(spark, folder), stage), lambda: _profile(spark, folder, stage)
+    )
+    return _wide_trans_dim(store, profile)
 
 
 def analytics_dim(spark: SparkSession, folder: str) -> DataFrame:
@@ -297,14 +301,20 @@ def analytics_dim(spark: SparkSession, folder: str) -> DataFrame:
 
 def gmv_per_month(spark: SparkSession, folder: str) -> DataFrame:
     """Monthly measures over the transactions of known users with events; natural keys will do here."""
-    profile = _profile(spark, folder, Stage(spark))
+    stage = Stage(spark)
     same = F.col("user_id")
+    core = _core(spark, folder)
+    active = sample_tables.nested_events(spark, folder).select("user_id").distinct()
+    active, days = together(
+        lambda: stage.keep(active.withColumn("analytics_id_pk", same), "active"),
+        lambda: stage.keep(dims.date_dim(sample_tables.transactions(spark, folder)).coalesce(1), "days"),
+    )
     rows = fact.star_rows(
-        _core(spark, folder).withColumn("trans_id_pk", F.col("transaction_id")),
+        core.withColumn("trans_id_pk", F.col("transaction_id")),
         sample_tables.users(spark, folder).withColumn("user_id_pk", same),
-        sample_tables.nested_events(spark, folder).select("user_id").distinct().withColumn("analytics_id_pk", same),
-        dims.date_dim(sample_tables.transactions(spark, folder)),
-        profile,
+        active,
+        days,
+        key_counts(core, ["user_id"], "trans_rows"),
     )
     return fact.gmv_per_month(rows)
 
@@ -318,11 +328,13 @@ class _Star:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         stage = Stage(spark)
         core = _core(spark, folder)
-        self.profile = _profile(spark, folder, stage)
-        self.user_dim = user_dim(spark, folder)
-        self.trans_store = dims.trans_dim_store(core, stage)
-        self.analytics_dim = analytics_dim(spark, folder)
-        self.date_dim = stage.keep(dims.date_dim(core).coalesce(1), "date_dim")
+        self.profile, self.user_dim, self.trans_store, self.analytics_dim, self.date_dim = together(
+            lambda: _profile(spark, folder, stage),
+            lambda: user_dim(spark, folder),
+            lambda: dims.trans_dim_store(core, stage),
+            lambda: analytics_dim(spark, folder),
+            lambda: stage.keep(dims.date_dim(core).coalesce(1), "date_dim"),
+        )
         star = fact.star_rows(self.trans_store, self.user_dim, self.analytics_dim, self.date_dim, self.profile)
         self.fact_store = fact.number_fact(stage.keep(star, "rows"), stage)
         self.gmv = stage.keep(fact.gmv_per_month(self.fact_store).coalesce(1), "gmv")
