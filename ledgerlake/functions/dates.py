@@ -9,14 +9,19 @@ from pyspark.sql import functions as F
 
 from ledgerlake.schemas import DAY_PARTS
 
-# Fixed value: a four-digit year, month and day, then the end, a T or a blank.
-_ISO_DAY = r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}($|[T ])"
+# Fixed value: the length of the shortest text with a year, a month and a day (2023-1-5).
+_SHORTEST_DAY = 8
 
 
 def iso_day(column: str | Column) -> Column:
-    """Calendar day of an ISO text such as 2023-01-05T23:30:00Z; NULL when it is not one."""
+    """Calendar day of an ISO text such as 2023-01-05T23:30:00Z; NULL when it is not one.
+
+    The cast alone would take longer years and texts without a day; a dash in fifth place and the length
+    rule those out, at a fraction of what a pattern costs.
+    """
     text = F.col(column) if isinstance(column, str) else column
-    return F.when(text.rlike(_ISO_DAY), text.try_cast("date"))
+    has_day = (F.substring(text, 5, 1) == "-") & (F.length(text) >= _SHORTEST_DAY)
+    return F.when(has_day, text.try_cast("date"))
 
 
 def with_iso_parts(df: DataFrame, column: str = "created_at") -> DataFrame:

@@ -287,7 +287,7 @@ def _extend_fact(lake: Lake, day: date, stage: Stage, report: LoadReport) -> Non
     rows = stage.keep(new_rows(rows, have, ["trans_id_pk"]), "fresh")
     start = dims.highest_key(stored, "profile_id_pk")
     report.rows[table] = lake.append(table, fact.number_fact(rows, stage, start))
-    _refresh_gmv(lake, rows, day, report)
+    _refresh_gmv(lake, rows, day, stage, report)
 
 
 def _users_with_older_rows(lake: Lake, day: date) -> DataFrame:
@@ -316,15 +316,13 @@ def _older_rows(lake: Lake, users: DataFrame, day: date) -> DataFrame:
     return trans.join(days, parts, "left_semi").join(users, "user_id", "left_semi").select(*trans.columns)
 
 
-def _refresh_gmv(lake: Lake, fresh: DataFrame, day: date, report: LoadReport) -> None:
+def _refresh_gmv(lake: Lake, fresh: DataFrame, day: date, stage: Stage, report: LoadReport) -> None:
     """Recompute the months this run touched from their fact partitions; keep the others."""
-    table = "consumption.gmv_per_month"
-    # Calendar months, so a short list whatever the number of rows.
-    touched = {(r["trans_year"], r["trans_month"]) for r in fresh.select("trans_year", "trans_month").distinct().collect()}
-    touched.add((day.year, day.month))
-    in_touched = F.lit(False)
-    for year, month in sorted(touched):
-        in_touched = in_touched | ((F.col("trans_year") == year) & (F.col("trans_month") == month))
-    gmv = fact.gmv_per_month(lake.stored("consumption.profile_fact").where(in_touched))
-    gmv = gmv.unionByName(lake.stored(table).where(~in_touched))
-    report.rows[table] = lake.write_version(table, gmv.coalesce(1))
+    table, parts = "consumption.gmv_per_month", list(schemas.MONTH_PARTS)
+    this = fresh.sparkSession.createDataFrame([(day.year, day.month)], "trans_year int, trans_month int")
+    # At most one row per calendar month; the broadcast also prunes the fact's month folders.
+    months = F.broadcast(stage.keep(fresh.select(*parts).union(this).distinct().coalesce(1), "months"))
+    touched = lake.stored("consumption.profile_fact").join(months, parts, "left_semi")
+    others = lake.stored(table).join(months, parts, "left_anti")
+    gmv = fact.gmv_per_month(touched).unionByName(others)
+    _rewrite(lake, table, gmv.coalesce(1), report)

@@ -11,12 +11,14 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
 from pyspark import inheritable_thread_target
+from pyspark.sql import SparkSession
 
 R = TypeVar("R")
 
 
 def together(*steps: Callable[[], R]) -> list[R]:
     """Results of the steps, in their order; the first failure is raised."""
+    in_thread = inheritable_thread_target(SparkSession.active())
     with ThreadPoolExecutor(len(steps)) as pool:
-        running = [pool.submit(inheritable_thread_target(step)) for step in steps]
+        running = [pool.submit(in_thread(step)) for step in steps]
         return [step.result() for step in running]

@@ -51,10 +51,10 @@ def test_flatten_reads_only_the_fields_in_use(spark, write_lines):
 
 
 def test_iso_parts(spark):
-    texts = ["2023-01-05T23:30:00Z", "2023-01-05 23:30:00", "2023-1-5T01:00:00", "junk", None, "99999-01-01", "2023-02-30T00"]
+    texts = ["2023-01-05T23:30:00Z", "2023-01-05 23:30:00", "2023-1-5T01:00:00", "junk", None, "99999-01-01", "2023-02-30T00", "2023", "2023-05", "2023-05T10:00:00", ""]
     df = with_iso_parts(spark.createDataFrame([(t,) for t in texts], "created_at string"))
     got = [tuple(r) for r in df.select(*schemas.DAY_PARTS).collect()]
-    assert got == [(2023, 1, 5)] * 3 + [(None, None, None)] * 4
+    assert got == [(2023, 1, 5)] * 3 + [(None, None, None)] * 8
 
 
 def test_compact_parts(spark):
