@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
-from ledgerlake.functions.dates import calendar_columns, iso_day
+from ledgerlake.functions.dates import calendar_columns, iso_day, parts_date
 from ledgerlake.operators.curate import first_per_key
 from ledgerlake.operators.keys import dense_key, extend_keys, highest_key
 from ledgerlake.sinks.stage import Stage
@@ -53,6 +53,12 @@ def calendar(bounds: DataFrame, first_key: int = 1) -> DataFrame:
     )
 
 
+def day_bounds(table: DataFrame) -> DataFrame:
+    """First and last day of a day-partitioned table, from its partition columns alone."""
+    days = table.select(*schemas.DAY_PARTS).distinct().select(parts_date().alias("_day"))
+    return days.agg(F.min("_day").alias("min_trans_date"), F.max("_day").alias("max_trans_date"))
+
+
 def date_dim(transactions: DataFrame) -> DataFrame:
     return calendar(trans_date_bounds(transactions))
 

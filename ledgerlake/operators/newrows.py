@@ -23,20 +23,23 @@ def without_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
 
 
-def new_rows(source: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
+def new_rows(source: DataFrame, existing: DataFrame, keys: Sequence[str], unique: bool = False) -> DataFrame:
     """Source rows whose complete key does not occur in ``existing``.
 
-    Only key columns of ``existing`` are read, once per key.  For a small source, its keys are broadcast to
-    the existing table, which is then scanned but not shuffled; what it finds is no larger than the source
-    and is broadcast back.  Otherwise both sides are shuffled, and a key that fills much of the source is
-    cut into pieces.  ``source`` is a table scan or a staged table.
+    Only key columns of ``existing`` are read.  For a small source, its keys are broadcast to the existing
+    table, which is then scanned but not shuffled; what it finds is no larger than the source and is
+    broadcast back.  Otherwise both sides are shuffled, and a key that fills much of the source is cut into
+    pieces.  ``source`` is a table scan or a staged table; ``unique`` says that ``existing`` holds each key
+    once, which saves reducing it to that.
     """
     valid = with_key(source, keys)
     if fits(source, BROADCAST_ROWS):
         wanted = F.broadcast(valid.select(*keys).distinct())
         found = existing.select(*keys).join(wanted, list(keys), "left_semi").distinct()
         return valid.join(F.broadcast(found), list(keys), "left_anti").select(*source.columns)
-    known = existing.select(*keys).distinct()
+    known = existing.select(*keys)
+    if not unique:
+        known = known.distinct()
     rows = join_unique(valid, known, keys, "left_anti", key_counts(valid, keys), row_id(), bound=existing)
     return rows.select(*source.columns)
 

@@ -131,7 +131,9 @@ def full_load(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: R
         core = lake.stored("curated.transactions")
         users, events = lake.stored("curated.users"), lake.stored("curated.analytics")
         together(
-            lambda: _rewrite(lake, "consumption.date_dim", dims.date_dim(core).coalesce(1), report),
+            lambda: _rewrite(
+                lake, "consumption.date_dim", dims.calendar(dims.day_bounds(core)).coalesce(1), report
+            ),
             lambda: _rewrite(
                 lake, "consumption.user_dim", dims.user_dim(users, stage).select("*", added), report
             ),
@@ -223,7 +225,7 @@ def _curate_users_of_day(lake: Lake, ctx: RunContext, stage: Stage, report: Load
     valid = _quarantine(lake, "users", lake.day("raw.users", ctx.slice_day), ["user_id"], ctx, report)
     users = stage.keep(curate.dedupe_users(valid), "users")
     # All curated users, not one day of them: a user sent again on a later day stays one row.
-    users = new_rows(users, lake.stored("curated.users"), ["user_id"])
+    users = new_rows(users, lake.stored("curated.users"), ["user_id"], unique=True)
     _add(lake, "curated.users", curate.curate_users(users, ctx), report)
 
 
@@ -257,7 +259,7 @@ def _extend_dims(spark: SparkSession, lake: Lake, day: date, stage: Stage, repor
 
     def users() -> None:
         known = lake.stored("consumption.user_dim")
-        fresh = stage.keep(new_rows(lake.day("curated.users", day), known, ["user_id"]), "new_users")
+        fresh = stage.keep(new_rows(lake.day("curated.users", day), known, ["user_id"], unique=True), "new_users")
         keyed = dims.new_users(fresh, known, stage).withColumn("added_on", F.lit(day))
         _add(lake, "consumption.user_dim", keyed, report)
 
@@ -284,7 +286,7 @@ def _extend_fact(lake: Lake, day: date, stage: Stage, report: LoadReport) -> Non
     rows = stage.keep(_star_rows(lake, candidates), "star")
     stored = lake.stored(table)
     have = stored.withColumnRenamed("trans_id_fk", "trans_id_pk")
-    rows = stage.keep(new_rows(rows, have, ["trans_id_pk"]), "fresh")
+    rows = stage.keep(new_rows(rows, have, ["trans_id_pk"], unique=True), "fresh")
     start = dims.highest_key(stored, "profile_id_pk")
     report.rows[table] = lake.append(table, fact.number_fact(rows, stage, start))
     _refresh_gmv(lake, rows, day, stage, report)

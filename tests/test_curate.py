@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerlake import schemas
 from ledgerlake.context import INCREMENTAL_LOAD, RunContext
 from ledgerlake.functions.dates import with_iso_parts
-from ledgerlake.operators import curate
+from ledgerlake.operators import curate, newrows, skew
 from ledgerlake.operators.newrows import incremental_new_rows, new_records, new_rows, without_key
 from ledgerlake.operators.skew import fits, hot_keys, join_unique, key_counts, row_id
 from ledgerlake.sinks.partitions import stamp
@@ -162,6 +162,19 @@ def test_new_rows_and_null_keys(spark, stage, values):
     assert values(without_key(source, ["user_id"]), "user_id") == [(None,)]
 
 
+@pytest.mark.parametrize("unique", [True, False])
+def test_new_rows_of_a_large_source(spark, stage, values, monkeypatch, unique):
+    """The shuffled path, with one key on a third of the source rows."""
+    monkeypatch.setattr(newrows, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(skew, "fits", lambda df, rows: False)
+    source = stage.keep(spark.createDataFrame([("hot" if i % 3 == 0 else f"k{i}", i) for i in range(600)], "k string, v int"), "s")
+    known = ["hot"] + [f"k{i}" for i in range(0, 600, 7)]
+    existing = stage.keep(spark.createDataFrame([(k,) for k in (known if unique else known * 3)], "k string"), "e")
+    want = source.where(~F.col("k").isin(known))
+    assert values(new_rows(source, existing, ["k"], unique), "k", "v") == values(want, "k", "v")
+    assert values(new_rows(source, existing.where("k != 'hot'"), ["k"], unique), "k", "v") == values(want.union(source.where("k = 'hot'")), "k", "v")
+
+
 def test_new_records_compare_nulls(spark, values):
     columns = "user_id string, city string"
     source = spark.createDataFrame([("1", None), ("1", "x"), (None, None), ("2", None), ("2", None)], columns)
