@@ -183,6 +183,23 @@ def test_new_records_compare_nulls(spark, values):
     assert got == [("1", "x"), ("2", None), ("2", None)]
 
 
+def test_new_records_of_a_large_source(spark, stage, values, monkeypatch):
+    """The shuffled path on whole records: a third are exact copies, some fields are NULL."""
+    monkeypatch.setattr(newrows, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(skew, "fits", lambda df, rows: False)
+    columns = "user_id string, city string"
+    rows = [("copy", None) if i % 3 == 0 else (f"u{i}", None if i % 2 else "x") for i in range(600)]
+    source = stage.keep(spark.createDataFrame(rows, columns), "s")
+    some = [("copy", None)] * 40 + [r for r in rows if r[0][-1] in "14"]
+    keep = [r for r in rows if r not in some]
+    existing = stage.keep(spark.createDataFrame(some, columns), "e")
+    key = lambda r: (r[0], str(r[1]))
+    got = new_records(source, existing, ["user_id", "city"])
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(keep, key=key)
+    none = new_records(source, existing.limit(0), ["user_id", "city"])
+    assert sorted(map(tuple, none.collect()), key=key) == sorted(rows, key=key)
+
+
 def test_incremental_rows_of_the_day(spark, values):
     columns = "transaction_id string, amount string, cryear int, crmonth int, crday int"
     source = spark.createDataFrame([("1", "5", 2024, 3, 1), ("2", "5", 2024, 3, 2), ("3", "7", 2024, 3, 2)], columns)
