@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, chat, quality, urlfilter, warc
+from ledgerlake.llm import bpe, chat, quality, simhash, urlfilter, warc
 from ledgerlake.llm.common import ship, staging
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -29,6 +29,10 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_simhash_bktree(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.classes(_table(spark, folder, "documents"), staging(spark, "op1"))
+
+
 def op2_quality_ranking(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return quality.rated(docs, quality.learn(docs, _table(spark, folder, "labels")))
@@ -58,6 +62,7 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _NAMED = (
+    op1_simhash_bktree,
     op2_quality_ranking,
     op4_warc_roundtrip,
     op7_byte_bpe,
