@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, chat, quality, simhash, urlfilter, warc
+from ledgerlake.llm import bpe, chat, pii, quality, simhash, urlfilter, warc
 from ledgerlake.llm.common import ship, staging
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -38,6 +38,10 @@ def op2_quality_ranking(spark: SparkSession, folder: str) -> DataFrame:
     return quality.rated(docs, quality.learn(docs, _table(spark, folder, "labels")))
 
 
+def op3_pii_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.report(pii.spans(_table(spark, folder, "documents")))
+
+
 def op4_warc_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(_table(spark, folder, "pages"), staging(spark, "op4"))
 
@@ -64,6 +68,7 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 _NAMED = (
     op1_simhash_bktree,
     op2_quality_ranking,
+    op3_pii_spans,
     op4_warc_roundtrip,
     op7_byte_bpe,
     op8_url_filter,
