@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, chat, pii, quality, simhash, urlfilter, warc
+from ledgerlake.llm import bpe, chat, decontam, pii, quality, simhash, urlfilter, warc
 from ledgerlake.llm.common import ship, staging
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -46,6 +46,10 @@ def op4_warc_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(_table(spark, folder, "pages"), staging(spark, "op4"))
 
 
+def op6_bm25_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontam.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.token_report(bpe.encode(_table(spark, folder, "documents"), RANKS), RANKS)
 
@@ -70,6 +74,7 @@ _NAMED = (
     op2_quality_ranking,
     op3_pii_spans,
     op4_warc_roundtrip,
+    op6_bm25_decontamination,
     op7_byte_bpe,
     op8_url_filter,
     op9_chat_format,
