@@ -34,15 +34,15 @@ from ledgerlake.llm.common import documents, whole_text
 
 INDEX_ITEMS = 1024
 INDEX_CHARS = 4_000_000
-BLOCK_ITEMS = 8
+BLOCK_ITEMS = 4
 K1, B = 1.2, 0.75
 SHARE = 0.5
 SHINGLE = 5
 OVERLAP = 0.8
 LEAST_WINDOW = 64
-SLICE = 1 << 14  # words scored at a time
+PASSAGES = 256  # passages scored at a time
 
-_SLACK = 1e-6
+_SLACK = 1e-4  # sums of single-precision impacts
 
 
 def word(raw: str) -> str:
@@ -127,7 +127,7 @@ def build_index(items: list[tuple[int | None, str]]) -> Index:
     longest = max(map(len, rows), default=1)
     index = Index(
         [x[0] for x in texts], vocabulary, impacts, bounds,
-        [parts_of(r, question_length(x[1])) for r, x in zip(rows, texts)], max(LEAST_WINDOW, 2 * longest),
+        [parts_of(r, question_length(x[1])) for r, x in zip(rows, texts)], max(LEAST_WINDOW, 2 * longest) // 2 * 2,
     )
     index.terms.vocabulary = vocabulary
     return index
@@ -135,26 +135,22 @@ def build_index(items: list[tuple[int | None, str]]) -> Index:
 
 def retrieved(index: Index, ids: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
     """``start, end, item, score`` of every passage and item at or above the threshold (a score of 1)."""
-    width, step = index.window, index.window // 2
-    other = len(index.vocabulary)
-    rows = np.where(ids < 0, other, ids)
-    size = max(SLICE // step, 2) * step
-    for at in range(0, max(1, len(ids)), size):
-        part = rows[at : at + size + step]  # the last passage of a slice reaches into the next one
-        # Bounds count a repeated word each time, so they are never too low.
-        sums = np.zeros((len(part) + 1, index.bounds.shape[1]))
-        np.cumsum(index.bounds[part], axis=0, dtype=np.float64, out=sums[1:])
-        starts = np.arange(0, min(size, max(1, len(part))), step)
-        ends = np.minimum(starts + width, len(part))
-        passages, blocks = np.nonzero(sums[ends] - sums[starts] >= 1 - _SLACK)
-        terms, seen = None, -1
+    step, other = index.window // 2, len(index.vocabulary)
+    halves = max(1, -(-len(ids) // step))
+    padded = np.full((halves + 1) * step, other, dtype=np.int32)
+    padded[: len(ids)] = np.where(ids < 0, other, ids)
+    padded = padded.reshape(halves + 1, step)
+    for first in range(0, max(1, halves - 1), PASSAGES):  # the last half is part of the passage before it
+        upto = min(first + PASSAGES, max(1, halves - 1))
+        terms = np.sort(np.concatenate([padded[first:upto], padded[first + 1 : upto + 1]], axis=1), axis=1)
+        terms[:, 1:][terms[:, 1:] == terms[:, :-1]] = other  # each term counts once
+        passages, blocks = np.nonzero(index.bounds[terms].sum(axis=1) >= 1 - _SLACK)
         for p, b in zip(passages.tolist(), blocks.tolist()):
-            if p != seen:
-                terms, seen = np.unique(part[starts[p] : ends[p]]), p
-            first = b * BLOCK_ITEMS
-            scores = index.impacts[terms, first : first + BLOCK_ITEMS].sum(axis=0)
+            at = b * BLOCK_ITEMS
+            scores = index.impacts[terms[p], at : at + BLOCK_ITEMS].sum(axis=0)
             for k in np.flatnonzero(scores >= 1 - _SLACK).tolist():
-                yield at + int(starts[p]), at + int(ends[p]), first + k, float(scores[k])
+                start = (first + p) * step
+                yield start, min(start + 2 * step, len(ids)), at + k, float(scores[k])
 
 
 def leaks_in(index: Index, text: str) -> list[tuple[int | None, float, float, float]]:

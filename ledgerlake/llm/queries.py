@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, chat, decontam, pii, quality, simhash, urlfilter, warc
+from ledgerlake.llm import bpe, chat, decontam, pii, quality, simhash, suffixdedup, urlfilter, warc
 from ledgerlake.llm.common import ship, staging
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -69,6 +69,11 @@ def op9_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.assemble(rows.unionByName(added), RANKS), RANKS)
 
 
+def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = suffixdedup.deduplicated(_table(spark, folder, "documents"), staging(spark, "op10"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 _NAMED = (
     op1_simhash_bktree,
     op2_quality_ranking,
@@ -78,6 +83,7 @@ _NAMED = (
     op7_byte_bpe,
     op8_url_filter,
     op9_chat_format,
+    op10_suffix_dedup,
 )
 
 
