@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import bpe, chat, decontam, pii, quality, simhash, suffixdedup, urlfilter, warc
+from ledgerlake.llm import (
+    bpe,
+    chat,
+    decontam,
+    pii,
+    quality,
+    simhash,
+    spotsigs,
+    suffixdedup,
+    urlfilter,
+    warc,
+)
 from ledgerlake.llm.common import ship, staging
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -46,6 +57,10 @@ def op4_warc_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(_table(spark, folder, "pages"), staging(spark, "op4"))
 
 
+def op5_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
+    return spotsigs.edited_and_next(_table(spark, folder, "documents"), staging(spark, "op5"))
+
+
 def op6_bm25_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontam.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
@@ -79,6 +94,7 @@ _NAMED = (
     op2_quality_ranking,
     op3_pii_spans,
     op4_warc_roundtrip,
+    op5_spotsigs,
     op6_bm25_decontamination,
     op7_byte_bpe,
     op8_url_filter,
