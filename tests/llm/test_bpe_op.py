@@ -1,0 +1,45 @@
+"""Token ids against the library on the uncut text."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+
+from ledgerlake.llm import bpe
+
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+TEXTS = [
+    "", None, "Hello  world!\n\n  it's 12345 é😀", " ", "\n" * 50 + "x", "<|endoftext|> is text", "a" * 3000, " " * 3000,
+    "\u2003\u0085\x1c mixed\xa0blanks \r\n", "日本語のテキスト " * 40, "it's  we'll   'tis\t\tx",
+]
+
+
+def test_pattern_is_the_files_own():
+    assert bpe.PATTERN == public_tokenizers.PATTERN
+
+
+def test_segments_change_no_id():
+    encode = bpe.encoding(RANKS).encode_ordinary
+    r = random.Random(2)
+    for n in range(150):
+        text = "".join(r.choice(["a", "Z", " ", " ", "\n", "'s", "7", "é", "😀", "!", "\t", "\x1c", "\u2003", "wort"]) for _ in range(r.randrange(1, 120)))
+        assert "".join(bpe.segments(text, 7)) == text
+        assert bpe.encode_text(text, RANKS, 7).tolist() == encode(text), repr(text)
+
+
+def test_ids_and_bytes(make_docs):
+    rows = [*enumerate(TEXTS), (99, TEXTS[2]), (99, TEXTS[2]), (None, "x"), (100, "word " * 40_000)]
+    encoded = bpe.encode(make_docs(rows), RANKS)
+    encode = bpe.encoding(RANKS).encode_ordinary
+    want = sorted((i is None, i or 0, len(encode(t or "")), hashlib.sha256(np.array(encode(t or ""), "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()) for i, t in rows)
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.token_report(encoded, RANKS).collect())
+    assert got == want
+    whole = {r.doc_id: bytes(r.content) for r in bpe.decode(encoded, RANKS).collect()}
+    assert whole[2] == TEXTS[2].encode()
+
+
+def test_empty_table(make_docs):
+    assert bpe.token_report(bpe.encode(make_docs([]).limit(0), RANKS), RANKS).collect() == []

@@ -1,0 +1,86 @@
+"""Removal of repeated strings against a dictionary of all windows."""
+
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from ledgerlake.llm import suffixdedup
+
+
+def brute(rows: list[tuple[int, str | None]]) -> list[tuple]:
+    seen, found = set(), []
+    for doc, text in rows:
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for at in range(len(data) - 99):
+            window = data[at : at + 100]
+            if window in seen:
+                gone[at : at + 100] = b"\1" * 100
+            seen.add(window)
+        kept = bytes(x for x, g in zip(data, gone) if not g)
+        runs = sum(bool(gone[i]) and (i == 0 or not gone[i - 1]) for i in range(len(data)))
+        found.append((doc, len(data), sum(gone), runs, kept))
+    return found
+
+
+def texts() -> list[tuple[int, str | None]]:
+    r = random.Random(1)
+    base = "".join(r.choice("abcdefgh \n") for _ in range(2500))
+    rows = [(i, base[r.randrange(2000) :][: r.randrange(50, 600)] + "".join(r.choice("abcé") for _ in range(r.randrange(150)))) for i in range(40)]
+    odd = ["a" * 3000, "ab" * 1500, "", None, "a" * 99, "a" * 100, base * 2, base, "x" * 40 + base[100:260] + "y", "\0" * 300, ("z" * 150 + base[:300]) * 3]
+    return rows + [(60 + i, t) for i, t in enumerate(odd)]
+
+
+def rows_of(frame) -> list[tuple]:
+    return [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in frame.collect()]
+
+
+def test_against_all_windows(make_docs, stage):
+    rows = texts()
+    assert sorted(rows_of(suffixdedup.deduplicated(make_docs(rows), stage))) == sorted(brute(rows))
+
+
+def test_repeated_rows_and_null_ids(make_docs, stage):
+    text = "".join(random.Random(1).choice("abcdefgh") for _ in range(150))
+    got = rows_of(suffixdedup.deduplicated(make_docs([(5, text), (5, text), (None, text), (None, text)]), stage))
+    assert sorted((r[0] is None, r[2]) for r in got) == [(False, 0), (False, 150), (True, 150), (True, 150)]
+
+
+def test_empty_table(make_docs, stage):
+    assert suffixdedup.deduplicated(make_docs([]).limit(0), stage).collect() == []
+
+
+def test_slices_have_the_anchors_of_the_whole(monkeypatch):
+    r = random.Random(4)
+    text = "".join(r.choice("abcd") for _ in range(5000)).encode()
+    whole, h = suffixdedup.anchors(np.frombuffer(text, np.uint8), np.full(len(text), len(text)))
+    monkeypatch.setattr(suffixdedup, "SLICE", 700)
+    batch = pa.RecordBatch.from_arrays([pa.array([text])], names=["bytes"])
+    found = set()
+    for at, parts in suffixdedup._slices(batch):
+        for (_, offset), part in zip(at, parts):
+            places, hashes = suffixdedup.anchors(np.frombuffer(part, np.uint8), np.full(len(part), len(part)))
+            found |= set(zip((places + offset).tolist(), hashes.tolist()))
+    assert found == set(zip(whole.tolist(), h.tolist()))
+
+
+@pytest.mark.parametrize("broken", [False, True])
+def test_suffix_order_survives_misleading_hashes(broken):
+    r = random.Random(6)
+    group = np.sort(np.array([r.randrange(6) for _ in range(200)]))
+    lengths = np.array([r.randrange(0, 9) for _ in range(200)])
+    rows = np.array([[r.randrange(2) if j < n else 0 for j in range(8)] for n in lengths], dtype=np.uint8)
+    suffixes = suffixdedup.Suffixes(rows, lengths)
+    if broken:
+        suffixes.sums[:] = 0  # every two prefixes seem equal
+    order, shared = suffixes.classes(group)
+    keys = [(group[i], bytes(rows[i][: lengths[i]])) for i in order]
+    assert keys == sorted(keys)
+    for at in range(1, 200):
+        a, b = keys[at - 1], keys[at]
+        common = next((k for k in range(min(len(a[1]), len(b[1]))) if a[1][k] != b[1][k]), min(len(a[1]), len(b[1])))
+        assert shared[at] == (common if a[0] == b[0] else -1)

@@ -1,0 +1,73 @@
+"""WARC archives: what is read back against digests taken directly."""
+
+from __future__ import annotations
+
+import base64
+import gzip
+import hashlib
+import random
+from pathlib import Path
+
+from ledgerlake.llm import warc
+
+SCHEMA = "page_id long, url string, html string, record long, digest string, chunk string"
+_R = random.Random(3)
+ROWS = [
+    (3, "http://a/b", "<p>x</p>"), (1, "http://a/ü b\r\nX: y", "<p>x</p>"), (2, None, None), (4, "u", ""), (5, "u", "WARC/1.1\r\n" * 5 + "WARC/1.1"),
+    (6, "u", "".join(_R.choice("aé😀\n") for _ in range(400))), (7, "u", "\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\nabc"), (None, "u", "<p>x</p>"),
+    (None, "u", "<p>x</p>"), (8, "u", "dup"), (8, "u", "dup"),
+]
+
+
+def digest(text: str | None) -> str:
+    return base64.b32encode(hashlib.sha1((text or "").encode()).digest()).decode()
+
+
+def frame(spark):
+    return spark.createDataFrame([(*r, 1, "d", "c") for r in ROWS], SCHEMA).repartition(3)
+
+
+def test_round_trip_in_small_chunks(spark, stage):
+    for size in (7, 50, warc.CHUNK):
+        got = warc.archived(frame(spark), stage, size=size).collect()
+        assert sorted((r.page_id is None, r.page_id or 0, r.payload_bytes, r.payload_digest) for r in got) == sorted(
+            (i is None, i or 0, len((t or "").encode()), digest(t)) for i, _, t in ROWS
+        )
+        kinds = sorted((r.page_id or 0, r.record_type, r.refers_to) for r in got if r.page_id in (1, 3, 2, 4, 8))
+        assert kinds == [
+            (1, "response", None), (2, "response", None), (3, "revisit", 1), (4, "revisit", 2), (8, "response", None), (8, "revisit", 8),
+        ]
+        assert all(r.record_type == "response" for r in got if r.page_id is None)
+
+
+def test_small_payloads_are_not_revisited(spark, stage):
+    got = warc.archived(frame(spark), stage, least=5).collect()
+    assert sorted(r.page_id for r in got if r.record_type == "revisit") == [3]
+
+
+def test_files_are_warc_records(spark, stage, tmp_path):
+    chunks = stage.keep(warc.chunk_table(frame(spark), 64), "chunks")
+    path = str(tmp_path / "warc")
+    warc.write_archives(chunks, warc.revisits(chunks), path)
+    data = b"".join(gzip.decompress(p.read_bytes()) for p in Path(path).glob("part-*"))
+    n = 0
+    while data:
+        head, _, rest = data.partition(b"\r\n\r\n")
+        lines = head.split(b"\r\n")
+        assert lines[0] == b"WARC/1.1" and all(b": " in x for x in lines[1:])
+        length = int(dict(x.split(b": ", 1) for x in lines[1:])[b"Content-Length"])
+        assert length <= 64 and rest[length : length + 4] == b"\r\n\r\n"
+        data, n = rest[length + 4 :], n + 1
+    assert n >= len(ROWS)
+
+
+def test_chunks_never_hold_a_separator():
+    data = ("x" * 5 + warc.SEPARATOR) * 9
+    for size in (4, 11, 64, 10_000):
+        cuts = list(warc.chunk_bounds(data.encode(), size))
+        assert b"".join(data.encode()[a:b] for a, b in cuts) == data.encode()
+        assert all(warc.SEPARATOR.encode() not in data.encode()[a:b] and b - a <= size for a, b in cuts)
+
+
+def test_empty_table(spark, stage):
+    assert warc.archived(spark.createDataFrame([], SCHEMA), stage).collect() == []
