@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -39,6 +40,11 @@ HEADLINE = [
     "partitioned_roundtrip",
     "profile_fact",
     "star_report",
+    "day_partition_refresh",
+    "incremental_new_rows",
+    "key_audit",
+    "full_load_fact",
+    "incremental_load_fact",
 ]
 
 
@@ -53,6 +59,7 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "8g"))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED") or tempfile.mkdtemp(prefix="ledgerlake-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

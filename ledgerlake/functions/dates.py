@@ -32,16 +32,18 @@ def with_iso_parts(df: DataFrame, column: str = "created_at") -> DataFrame:
     return df.withColumn(day, iso_day(column)).withColumns(parts).drop(day)
 
 
+def compact_day(column: str | Column) -> Column:
+    """Calendar day of a text that begins with yyyyMMdd; NULL when it does not, or names no day."""
+    text = F.col(column) if isinstance(column, str) else column
+    dashed = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    return F.when(text.rlike("^[0-9]{8}"), dashed.try_cast("date"))
+
+
 def with_compact_parts(df: DataFrame, column: str = "event_date") -> DataFrame:
     """Add cryear, crmonth, crday of a yyyyMMdd text."""
-    text = F.col(column)
-    return df.withColumns(
-        {
-            "cryear": F.substring(text, 1, 4).try_cast("int"),
-            "crmonth": F.substring(text, 5, 2).try_cast("int"),
-            "crday": F.substring(text, 7, 2).try_cast("int"),
-        }
-    )
+    day = "_day"
+    parts = {"cryear": F.year(day), "crmonth": F.month(day), "crday": F.dayofmonth(day)}
+    return df.withColumn(day, compact_day(column)).withColumns(parts).drop(day)
 
 
 def parts_date() -> Column:

@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.functions.dates import parts_date
 from ledgerlake.operators.skew import key_counts
 
 
@@ -32,11 +33,17 @@ def orphan_rows(table: DataFrame, key: str, parent: DataFrame, parent_key: str,
     return lost.agg(count).select(F.lit(check).alias("check_name"), "violations")
 
 
+def undated_rows(table: DataFrame, check: str) -> DataFrame:
+    """How many rows have no calendar day."""
+    count = F.count(F.when(parts_date().isNull(), 1)).alias("violations")
+    return table.agg(count).select(F.lit(check).alias("check_name"), "violations")
+
+
 def key_audit(
     fact: DataFrame, user_dim: DataFrame, trans_dim: DataFrame, analytics_dim: DataFrame, date_dim: DataFrame
 ) -> DataFrame:
-    """One row per check: repeated keys, fact rows without a dimension row, and the transactions that the
-    fact leaves out because their user or their user's events are unknown."""
+    """One row per check: repeated surrogate and natural keys, fact rows without a dimension row, and the
+    transactions that the fact leaves out because their user, their user's events or their day are unknown."""
     dims = {
         "user": (user_dim, "user_id_pk", "user_id_fk"),
         "trans": (trans_dim, "trans_id_pk", "trans_id_fk"),
@@ -47,6 +54,13 @@ def key_audit(
     for name, (dim, pk, fk) in dims.items():
         checks.append(duplicate_keys(dim, pk, f"{name}_dim repeated keys"))
         checks.append(orphan_rows(fact, fk, dim, pk, f"profile_fact rows without {name}_dim"))
+    for dim, key, check in (
+        (user_dim, "user_id", "user_dim repeated users"),
+        (trans_dim, "transaction_id", "trans_dim repeated transactions"),
+        (analytics_dim, "user_id", "analytics_dim repeated users"),
+    ):
+        checks.append(duplicate_keys(dim, key, check))
+    checks.append(undated_rows(trans_dim, "transactions without day"))
     checks.append(orphan_rows(trans_dim, "user_id", user_dim, "user_id", "transactions without user"))
     checks.append(orphan_rows(trans_dim, "user_id", analytics_dim, "user_id", "transactions without events"))
     return _union(checks)

@@ -41,6 +41,21 @@ def dedupe_users(users: DataFrame) -> DataFrame:
     return first_per_key(users, ["user_id"], order)
 
 
+def dedupe_transactions(transactions: DataFrame) -> DataFrame:
+    """One row per transaction id: the earliest, by a total order over the feed's columns.
+
+    A later day or poll never changes what an earlier one has brought, so loads of any rhythm agree.
+    """
+    rest = ["user_id", "business_id", "amount", "transaction_type", "type"]
+    order = [F.col("created_at").asc_nulls_last(), *[F.col(c) for c in rest]]
+    return first_per_key(transactions, ["transaction_id"], order)
+
+
+def dedupe_events(events: DataFrame) -> DataFrame:
+    """One row per event: feeds without an identifier send exact copies, which count once."""
+    return events.dropDuplicates([c for c in events.columns if c != "processed_at"])
+
+
 def curate_users(users: DataFrame, ctx: RunContext) -> DataFrame:
     """Fill the rating, add the days since sign-up, cast to the contract."""
     shaped = users.withColumns(

@@ -9,20 +9,25 @@ from ledgerlake import schemas
 from ledgerlake.functions.dates import parts_date
 from ledgerlake.functions.money import money
 from ledgerlake.operators.keys import dense_key
-from ledgerlake.operators.skew import broadcast_checked, join_unique
+from ledgerlake.operators.skew import fits, join_unique
 from ledgerlake.sinks.stage import Stage
 
-# A calendar of this many days (some 270 years) is a few megabytes in memory; a longer one is shuffled.
-MAX_CALENDAR_BROADCAST = 100_000
+
+
+def calendar_of(days: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """The calendar, to be broadcast: whole, or if one junk year has stretched it, the days that occur."""
+    occurring = days if fits(days) else days.join(rows.select(key).distinct(), key, "left_semi")
+    # One row per day that occurs in the rows.
+    return F.broadcast(occurring)
 
 
 def star_rows(
-    trans_dim: DataFrame, user_dim: DataFrame, analytics_dim: DataFrame, date_dim: DataFrame, profile: DataFrame
+    trans_dim: DataFrame, user_dim: DataFrame, analytics_dim: DataFrame, date_dim: DataFrame, per_user: DataFrame
 ) -> DataFrame:
     """Transactions whose user, events and day are all known, with the keys of each dimension.
 
     The two user-sized dimensions are joined to each other first, on narrow rows, so the transactions are
-    shuffled once; the stored ``profile`` tells which users are heavy.
+    shuffled once; ``per_user`` holds the number of these transactions per user in ``rows``.
     """
     users = user_dim.select("user_id", "user_id_pk").join(
         analytics_dim.select("user_id", "analytics_id_pk"), "user_id"
@@ -30,18 +35,14 @@ def star_rows(
     trans = trans_dim.select(
         "trans_id_pk", "transaction_id", "user_id", money().alias("amount"), parts_date().alias("trans_date")
     )
-    days = broadcast_checked(
-        date_dim.select("trans_date", "date_id_pk", "trans_year", "trans_month"), MAX_CALENDAR_BROADCAST
-    )
+    days = calendar_of(date_dim.select("trans_date", "date_id_pk", "trans_year", "trans_month"), trans, "trans_date")
     known = join_unique(
         trans,
         users,
         ["user_id"],
         "inner",
-        profile.where(F.col("user_id").isNotNull()).select("user_id", "trans_rows"),
+        per_user.where(F.col("user_id").isNotNull()).select("user_id", "rows"),
         F.col("trans_id_pk"),
-        rows="trans_rows",
-        bound=analytics_dim,
     )
     return known.join(days, "trans_date")
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.context import RunContext
-from ledgerlake.operators.skew import BROADCAST_ROWS, fits, join_unique, key_counts, row_id
+from ledgerlake.operators.skew import fits, join_unique, key_counts, row_id
 from ledgerlake.sources.layers import day_slice
 
 
@@ -33,14 +33,14 @@ def new_rows(source: DataFrame, existing: DataFrame, keys: Sequence[str], unique
     once, which saves reducing it to that.
     """
     valid = with_key(source, keys)
-    if fits(source, BROADCAST_ROWS):
+    if fits(source):
         wanted = F.broadcast(valid.select(*keys).distinct())
         found = existing.select(*keys).join(wanted, list(keys), "left_semi").distinct()
         return valid.join(F.broadcast(found), list(keys), "left_anti").select(*source.columns)
     known = existing.select(*keys)
     if not unique:
         known = known.distinct()
-    rows = join_unique(valid, known, keys, "left_anti", key_counts(valid, keys), row_id(), bound=existing)
+    rows = join_unique(valid, known, keys, "left_anti", key_counts(valid, keys), row_id())
     return rows.select(*source.columns)
 
 

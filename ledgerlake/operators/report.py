@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.fact import MAX_CALENDAR_BROADCAST
-from ledgerlake.operators.skew import broadcast_checked, join_unique, key_counts
+from ledgerlake.operators.fact import calendar_of
+from ledgerlake.operators.skew import join_unique, key_counts
 
 REPORT_COLUMNS = [
     "user_id", "rating", "signup_since_days", "gmv_per_month", "avgtranspermonth", "trans_date", "trans_year",
@@ -34,7 +34,7 @@ def _joined(
     spread = F.col("profile_id_pk")
     per_user = key_counts(fact, ["user_id_fk"])
     per_event = key_counts(fact, ["analytics_id_fk"])
-    rows = fact.join(broadcast_checked(days, MAX_CALENDAR_BROADCAST), "date_id_fk")
+    rows = fact.join(calendar_of(days, fact, "date_id_fk"), "date_id_fk")
     rows = join_unique(rows, users, ["user_id_fk"], "inner", per_user, spread)
     rows = join_unique(rows, events, ["analytics_id_fk"], "inner", per_event, spread)
     return rows.join(trans, "trans_id_fk")

@@ -13,8 +13,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A unique side of at most this many rows is broadcast; a few hundred bytes a row, tens of megabytes.
-BROADCAST_ROWS = 100_000
+# A side whose files hold at most this much is broadcast; Parquet grows some four times in memory.
+BROADCAST_BYTES = 16 << 20
 
 _PIECES = "_pieces"
 _PIECE = "_piece"
@@ -50,20 +50,20 @@ def hot_keys(counts: DataFrame, keys: Sequence[str], rows: str = "rows", pieces:
     )
 
 
-def fits(df: DataFrame, max_rows: int) -> bool:
-    """Whether a stored table has at most ``max_rows`` rows.
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the files a frame is made of, from the file listing: no job is run.
 
-    Reads no columns and stops once it has seen one row too many, so a large table costs a few tasks.
+    For frames that filter, project or aggregate stored tables, or add columns to them by joins that keep
+    their rows, this bounds the frame up to compression.  Files are counted whole, whatever columns are
+    read.  A source without known size counts as endless.
     """
-    return df.select().offset(max_rows).isEmpty()
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def broadcast_checked(df: DataFrame, max_rows: int) -> DataFrame:
-    """Hint a broadcast only if ``df`` is counted to have at most ``max_rows`` rows.
-
-    Beyond that the frame is returned as it is and the planner shuffles.
-    """
-    return F.broadcast(df) if fits(df, max_rows) else df
+def fits(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether a frame is small enough to be broadcast."""
+    return stored_bytes(df) <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
 def join_unique(
@@ -74,20 +74,16 @@ def join_unique(
     counts: DataFrame,
     spread: Column,
     rows: str = "rows",
-    bound: DataFrame | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """``left`` joined to ``right``, where ``right`` has at most one row per key.
 
-    A ``right`` counted to be small is broadcast: then nothing is shuffled and no key is hot.  Otherwise
-    both sides are shuffled by key and piece.  ``bound`` is a stored table with at least as many rows as
-    ``right``, to be counted in its place when ``right`` is more than a scan.  ``counts`` holds the left rows per key in ``rows``;
-    ``spread`` tells the left rows of one key apart: a unique column, or ``row_id()``.  Rows with a NULL
+    A ``right`` of few stored bytes is broadcast: then nothing is shuffled and no key is hot.  Otherwise
+    both sides are shuffled by key and piece.  ``counts`` holds the left rows per key in ``rows``; ``spread`` tells the left rows of one key apart: a unique column, or ``row_id()``.  Rows with a NULL
     key match nothing but survive a left or anti join, so they are spread out too.  ``how`` is inner, left
     or left_anti.
     """
     keys = list(keys)
-    if fits(right if bound is None else bound, broadcast_rows):
+    if fits(right):
         return left.join(F.broadcast(right), keys, how)
     hot = F.broadcast(hot_keys(counts, keys, rows))
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))

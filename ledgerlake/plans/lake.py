@@ -34,16 +34,23 @@ class Lake:
     def folder(self, table: str) -> str:
         return f"{self.root}/{table.replace('.', '/')}"
 
-    def _versions(self, table: str) -> list[str]:
-        folder = self.folder(table)
-        return [v for v in child_folders(self.spark, folder) if exists(self.spark, f"{folder}/{v}/_SUCCESS")]
+    def _taken(self, table: str) -> list[int]:
+        """Numbers of all version folders, finished or not, in order."""
+        names = child_folders(self.spark, self.folder(table))
+        return sorted(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit())
+
+    def _version(self, table: str, number: int) -> str:
+        return f"{self.folder(table)}/v{number:04d}"
+
+    def _versions(self, table: str) -> list[int]:
+        return [n for n in self._taken(table) if exists(self.spark, f"{self._version(table, n)}/_SUCCESS")]
 
     def path(self, table: str) -> str:
         """Folder of the current version."""
         versions = self._versions(table)
         if not versions:
             raise FileNotFoundError(f"{table} has not been loaded under {self.root}")
-        return f"{self.folder(table)}/{versions[-1]}"
+        return self._version(table, versions[-1])
 
     def exists(self, table: str) -> bool:
         return bool(self._versions(table))
@@ -78,14 +85,11 @@ class Lake:
 
     def write_version(self, table: str, df: DataFrame) -> int:
         """Write a new version of the whole table; returns its row count."""
-        folder, parts = self.folder(table), schemas.STORED[table][1]
-        taken = child_folders(self.spark, folder)
-        number = int(taken[-1][1:]) + 1 if taken else 1
-        path = f"{folder}/v{number:04d}"
+        number = max(self._taken(table), default=0) + 1
         df = df.select(*schemas.names(schemas.STORED[table][0]))
-        rows = self._write(df, path, parts, "errorifexists")
-        for old in child_folders(self.spark, folder)[:-KEPT_VERSIONS]:
-            delete_tree(self.spark, f"{folder}/{old}")
+        rows = self._write(df, self._version(table, number), schemas.STORED[table][1], "errorifexists")
+        for old in self._taken(table)[:-KEPT_VERSIONS]:
+            delete_tree(self.spark, self._version(table, old))
         return rows
 
     def create_missing(self) -> None:

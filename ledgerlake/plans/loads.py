@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,11 +19,12 @@ from ledgerlake.functions.dates import on_day, with_compact_parts, with_iso_part
 from ledgerlake.operators import curate, dims, fact
 from ledgerlake.operators.flatten import flatten_analytics
 from ledgerlake.operators.newrows import incremental_new_rows, new_rows, with_key, without_key
+from ledgerlake.operators.skew import join_unique, key_counts
 from ledgerlake.plans.lake import Lake
 from ledgerlake.plans.together import together
 from ledgerlake.sinks.partitions import late_day_refresh, replace_day, stamp
 from ledgerlake.sinks.stage import Stage
-from ledgerlake.sources.feeds import CORRUPT, bad_line_count, bad_lines, good_rows, scan_feed
+from ledgerlake.sources.feeds import LANDED, bad_line_count, bad_lines, good_rows, scan_feed
 
 FEED_NAMES = ("users", "transactions", "analytics")
 
@@ -51,30 +52,41 @@ def shape_feed(feed: str, rows: DataFrame, ctx: RunContext) -> DataFrame:
     return stamp(dated, ctx).select(*schemas.names(schemas.STORED[f"raw.{feed}"][0]))
 
 
-def _scan(spark: SparkSession, feed: str, path: str, ctx: RunContext) -> tuple[DataFrame, Observation]:
-    """The shaped feed, and an observation of the lines that did not parse."""
-    seen = Observation()
-    scan = scan_feed(spark, feed, path).observe(seen, bad_line_count().alias("lines"))
-    return shape_feed(feed, good_rows(scan), ctx), seen
-
-
-def _keep_bad_lines(
-    spark: SparkSession, lake: Lake, feed: str, path: str, seen: Observation, ctx: RunContext, report: LoadReport
-) -> None:
-    lines = seen.get["lines"]
-    report.rejects[f"{feed} lines"] = lines
-    if lines:
-        text = bad_lines(scan_feed(spark, feed, path)).select(CORRUPT)
-        text.write.mode("overwrite").parquet(_set_aside(lake, f"{feed}_lines", ctx))
+class _Landing:
+    """One feed on its way in: every line is landed, set aside as unreadable, or set aside as undated."""
+
+    def __init__(self, spark: SparkSession, feed: str, path: str, ctx: RunContext) -> None:
+        self._lines, self._undated = Observation(), Observation()
+        self.feed, self.ctx = feed, ctx
+        self._scan = scan_feed(spark, feed, path, LANDED[feed])
+        counted = self._scan.observe(self._lines, bad_line_count().alias("n"))
+        shaped = shape_feed(feed, good_rows(counted), ctx)
+        # A row without a day is in no day's folder, so no run could ever come back to it.
+        without_day = F.count(F.when(F.col("cryear").isNull(), 1))
+        self.rows = shaped.observe(self._undated, without_day.alias("n")).where(F.col("cryear").isNotNull())
+
+    def set_aside(self, lake: Lake, report: LoadReport) -> None:
+        """Keep what was not landed, once ``rows`` has been written."""
+        lost = {
+            "lines": (self._lines, lambda: bad_lines(self._scan)),
+            "undated": (
+                self._undated,
+                lambda: shape_feed(self.feed, good_rows(self._scan), self.ctx).where(F.col("cryear").isNull()),
+            ),
+        }
+        for name, (seen, rows) in lost.items():
+            report.rejects[f"{self.feed} {name}"] = seen.get["n"]
+            if seen.get["n"]:
+                rows().write.mode("overwrite").parquet(_set_aside(lake, f"{self.feed}_{name}", self.ctx))
 
 
 def land_all(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: RunContext, report: LoadReport) -> None:
     """Land whole feeds."""
 
     def land(feed: str) -> None:
-        rows, seen = _scan(spark, feed, inputs[feed], ctx)
-        _rewrite(lake, f"raw.{feed}", rows, report)
-        _keep_bad_lines(spark, lake, feed, inputs[feed], seen, ctx, report)
+        landing = _Landing(spark, feed, inputs[feed], ctx)
+        _rewrite(lake, f"raw.{feed}", landing.rows, report)
+        landing.set_aside(lake, report)
 
     together(*[partial(land, feed) for feed in FEED_NAMES])
 
@@ -83,9 +95,10 @@ def land_day(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: Ru
     """Replace the run's day of every feed."""
 
     def land(feed: str) -> None:
-        rows, seen = _scan(spark, feed, inputs[feed], ctx)
-        report.rows[f"raw.{feed}"] = late_day_refresh(rows, lake.path(f"raw.{feed}"), ctx)
-        _keep_bad_lines(spark, lake, feed, inputs[feed], seen, ctx, report)
+        landing = _Landing(spark, feed, inputs[feed], ctx)
+        # A feed that is empty or all of another day still has to be read to the end to be counted.
+        report.rows[f"raw.{feed}"] = late_day_refresh(landing.rows, lake.path(f"raw.{feed}"), ctx)
+        landing.set_aside(lake, report)
 
     together(*[partial(land, feed) for feed in FEED_NAMES])
 
@@ -123,7 +136,7 @@ def full_load(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: R
         lambda: _curate_all_users(lake, ctx, report),
         lambda: _curate_all_transactions(lake, ctx, report),
         lambda: _rewrite(
-            lake, "curated.analytics", curate.curate_analytics(lake.stored("raw.analytics")), report
+            lake, "curated.analytics", _curated_events(lake.stored("raw.analytics")), report
         ),
     )
     with Stage(spark) as stage:
@@ -145,13 +158,19 @@ def full_load(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: R
                 report,
             ),
         )
-        rows = stage.keep(_star_rows(lake, lake.stored("consumption.trans_dim")), "star")
+        # The lifetime profile holds the rows per user of a whole load.
+        per_user = lake.stored("curated.trans_profile").select("user_id", F.col("trans_rows").alias("rows"))
+        rows = stage.keep(_star_rows(lake, lake.stored("consumption.trans_dim"), per_user), "star")
         _rewrite(lake, "consumption.profile_fact", fact.number_fact(rows, stage), report)
     gmv = fact.gmv_per_month(lake.stored("consumption.profile_fact"))
-    _rewrite(lake, "consumption.gmv_per_month", gmv.coalesce(1), report)
+    _rewrite(lake, "consumption.gmv_per_month", _in_month_order(gmv), report)
     return report
 
 
+def _curated_events(events: DataFrame) -> DataFrame:
+    return curate.dedupe_events(curate.curate_analytics(events))
+
+
 def _rewrite(lake: Lake, table: str, df: DataFrame, report: LoadReport) -> None:
     report.rows[table] = lake.write_version(table, df)
 
@@ -165,7 +184,7 @@ def _curate_all_transactions(lake: Lake, ctx: RunContext, report: LoadReport) ->
     valid = _quarantine(
         lake, "transactions", lake.stored("raw.transactions"), ["transaction_id"], ctx, report
     )
-    core, seen = _curate_trans(valid)
+    core, seen = _curate_trans(curate.dedupe_transactions(valid))
     _rewrite(lake, "curated.transactions", core, report)
     report.rejects["transactions amounts"] = seen.get["amounts"]
     daily = curate.trans_daily(lake.stored("curated.transactions"))
@@ -178,13 +197,13 @@ def _rewrite_profile(lake: Lake, report: LoadReport) -> None:
     _rewrite(lake, "curated.trans_profile", profile, report)
 
 
-def _star_rows(lake: Lake, trans: DataFrame) -> DataFrame:
+def _star_rows(lake: Lake, trans: DataFrame, per_user: DataFrame) -> DataFrame:
     return fact.star_rows(
         trans,
         lake.stored("consumption.user_dim"),
         lake.stored("consumption.analytics_dim"),
         lake.stored("consumption.date_dim"),
-        lake.stored("curated.trans_profile"),
+        per_user,
     )
 
 
@@ -194,9 +213,9 @@ def _star_rows(lake: Lake, trans: DataFrame) -> DataFrame:
 def incremental_load(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: RunContext) -> LoadReport:
     """Add one day to every layer.
 
-    Work follows the day, not the history: old transactions and fact rows are not rewritten.  What a step
-    adds is decided by comparing the day with what is stored, so a run can be repeated, also after it
-    failed half-way.
+    Old transactions and fact rows are not rewritten.  What a step adds is decided by comparing the day with
+    what is stored, so a run can be repeated, also after it failed half-way.  What grows with the history is
+    read narrowly: the id column of the transactions, the daily sums per user, the last surrogate keys.
     """
     report = LoadReport()
     day = ctx.slice_day
@@ -232,10 +251,12 @@ def _curate_users_of_day(lake: Lake, ctx: RunContext, stage: Stage, report: Load
 def _curate_transactions_of_day(lake: Lake, ctx: RunContext, stage: Stage, report: LoadReport) -> None:
     day, key = ctx.slice_day, ["transaction_id"]
     valid = _quarantine(lake, "transactions", lake.day("raw.transactions", day), key, ctx, report)
-    core, seen = _curate_trans(valid)
+    core, seen = _curate_trans(curate.dedupe_transactions(valid))
     core = stage.keep(core, "core")
     report.rejects["transactions amounts"] = seen.get["amounts"]
-    core = incremental_new_rows(core, lake.stored("curated.transactions"), ctx, key, True)
+    # All days and not this one only: an id that is sent again under another day stays one row.  Of the other
+    # days the id column alone is read.
+    core = new_rows(core, lake.stored("curated.transactions"), key, unique=True)
     _add(lake, "curated.transactions", core, report)
     daily = curate.trans_daily(lake.day("curated.transactions", day))
     report.rows["curated.trans_daily"] = replace_day(daily, lake.path("curated.trans_daily"), day)
@@ -243,7 +264,7 @@ def _curate_transactions_of_day(lake: Lake, ctx: RunContext, stage: Stage, repor
 
 
 def _curate_events_of_day(lake: Lake, ctx: RunContext, report: LoadReport) -> None:
-    events = curate.curate_analytics(lake.day("raw.analytics", ctx.slice_day))
+    events = _curated_events(lake.day("raw.analytics", ctx.slice_day))
     record = [c for c in schemas.names(schemas.CURATED_ANALYTICS) if c != "processed_at"]
     events = incremental_new_rows(events, lake.stored("curated.analytics"), ctx, record, False)
     _add(lake, "curated.analytics", events, report)
@@ -283,15 +304,24 @@ def _extend_fact(lake: Lake, day: date, stage: Stage, report: LoadReport) -> Non
     waiting = stage.keep(_users_with_older_rows(lake, day), "waiting")
     if not waiting.isEmpty():
         candidates = candidates.unionByName(_older_rows(lake, waiting, day))
-    rows = stage.keep(_star_rows(lake, candidates), "star")
+    # Who is heavy is a matter of these rows, not of the history.
+    rows = stage.keep(_star_rows(lake, candidates, key_counts(candidates, ["user_id"])), "star")
     stored = lake.stored(table)
-    have = stored.withColumnRenamed("trans_id_fk", "trans_id_pk")
+    # Only the months at hand are read of the fact.
+    have = _of_months(stored, rows).withColumnRenamed("trans_id_fk", "trans_id_pk")
     rows = stage.keep(new_rows(rows, have, ["trans_id_pk"], unique=True), "fresh")
     start = dims.highest_key(stored, "profile_id_pk")
     report.rows[table] = lake.append(table, fact.number_fact(rows, stage, start))
     _refresh_gmv(lake, rows, day, stage, report)
 
 
+def _of_months(stored: DataFrame, rows: DataFrame) -> DataFrame:
+    """The month folders of a table that some rows fall into: one per calendar month at most, most often one."""
+    found = rows.select(*schemas.MONTH_PARTS).distinct().collect()
+    picked = [(F.col("trans_year") == m["trans_year"]) & (F.col("trans_month") == m["trans_month"]) for m in found]
+    return stored.where(reduce(lambda a, b: a | b, picked, F.lit(False)))
+
+
 def _users_with_older_rows(lake: Lake, day: date) -> DataFrame:
     """Users who became known on ``day`` and have transactions on other days, by comparing their lifetime
     row count with that of the day; transactions themselves are not read."""
@@ -315,16 +345,23 @@ def _older_rows(lake: Lake, users: DataFrame, day: date) -> DataFrame:
     # At most one row per calendar day.
     days = F.broadcast(daily.join(users, "user_id", "left_semi").select(*parts).distinct())
     trans = lake.stored("consumption.trans_dim").where(other)
-    return trans.join(days, parts, "left_semi").join(users, "user_id", "left_semi").select(*trans.columns)
+    counts = daily.join(users, "user_id", "left_semi").groupBy("user_id").agg(F.sum("trans_rows").alias("rows"))
+    there = trans.join(days, parts, "left_semi")
+    return join_unique(there, users, ["user_id"], "inner", counts, F.col("trans_id_pk")).select(*trans.columns)
 
 
 def _refresh_gmv(lake: Lake, fresh: DataFrame, day: date, stage: Stage, report: LoadReport) -> None:
     """Recompute the months this run touched from their fact partitions; keep the others."""
     table, parts = "consumption.gmv_per_month", list(schemas.MONTH_PARTS)
     this = fresh.sparkSession.createDataFrame([(day.year, day.month)], "trans_year int, trans_month int")
-    # At most one row per calendar month; the broadcast also prunes the fact's month folders.
+    # At most one row per calendar month.
     months = F.broadcast(stage.keep(fresh.select(*parts).union(this).distinct().coalesce(1), "months"))
-    touched = lake.stored("consumption.profile_fact").join(months, parts, "left_semi")
+    touched = _of_months(lake.stored("consumption.profile_fact"), months)
     others = lake.stored(table).join(months, parts, "left_anti")
     gmv = fact.gmv_per_month(touched).unionByName(others)
-    _rewrite(lake, table, gmv.coalesce(1), report)
+    _rewrite(lake, table, _in_month_order(gmv), report)
+
+
+def _in_month_order(gmv: DataFrame) -> DataFrame:
+    """The monthly table is one small file, by year and month."""
+    return gmv.coalesce(1).sortWithinPartitions(*schemas.MONTH_PARTS)

@@ -45,7 +45,7 @@ TRANSACTIONS_FEED = _strings(
     "transaction_id", "user_id", "business_id", "amount", "transaction_type", "type", "created_at"
 )
 
-_PARAMS = T.ArrayType(
+PARAMS = T.ArrayType(
     T.StructType(
         [
             T.StructField("key", T.StringType(), True),
@@ -65,13 +65,13 @@ TRAFFIC_SOURCE = _strings("name", "medium", "source")
 
 ANALYTICS_FEED = T.StructType(
     _strings("event_date", "event_timestamp", "event_name").fields
-    + [T.StructField("event_params", _PARAMS, True)]
+    + [T.StructField("event_params", PARAMS, True)]
     + _strings(
         "event_previous_timestamp", "event_bundle_sequence_id", "event_server_timestamp_offset", "user_id",
         "user_pseudo_id",
     ).fields
     + [
-        T.StructField("user_properties", _PARAMS, True),
+        T.StructField("user_properties", PARAMS, True),
         T.StructField("user_first_touch_timestamp", T.StringType(), True),
         T.StructField("device", DEVICE, True),
         T.StructField("geo", GEO, True),
@@ -82,6 +82,23 @@ ANALYTICS_FEED = T.StructType(
     + [T.StructField("items", T.ArrayType(T.StringType()), True)]
 )
 
+# The fields of an event that the source layer keeps.
+ANALYTICS_LANDED = T.StructType(
+    _strings("user_id", "event_date").fields
+    + [
+        T.StructField(
+            "device",
+            _strings(
+                "category", "mobile_brand_name", "mobile_model_name", "mobile_os_hardware_model", "operating_system",
+                "operating_system_version",
+            ),
+            True,
+        ),
+        T.StructField("geo", _strings("city", "country"), True),
+        T.StructField("app_info", _strings("version"), True),
+    ]
+)
+
 # --- source layer --------------------------------------------------------------------------------------
 
 _ANALYTICS_TEXT = """user_id string, event_date string, category string, mobile_brand_name string,

@@ -6,22 +6,43 @@ lost executor costs a re-read and not a recomputation, and so that every reader
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlake.sinks.files import delete_tree
 
 
+_LOCAL: list[str] = []
+_WATCHERS: list[list["Stage"]] = []
+
+
+def use_local_folder(folder: str) -> None:
+    """Where a local session without ``spark.checkpoint.dir`` stages; on a cluster it is not used."""
+    _LOCAL[:] = [folder.rstrip("/")]
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local session without one gets a temporary folder."""
+    """The cluster's shared folder."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    return tempfile.mkdtemp(prefix="ledgerlake-")
+    if _LOCAL and spark.sparkContext.master.startswith("local["):
+        return _LOCAL[0]
+    raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+
+
+@contextmanager
+def created_stages() -> Iterator[list["Stage"]]:
+    """Collects the stages that are made inside, so that their owner can close them later."""
+    made: list[Stage] = []
+    _WATCHERS.append(made)
+    try:
+        yield made
+    finally:
+        _WATCHERS.remove(made)
 
 
 class Stage:
@@ -30,6 +51,13 @@ class Stage:
     def __init__(self, spark: SparkSession, folder: str | None = None) -> None:
         self.spark = spark
         self.folder = f"{folder or shared_folder(spark)}/ledgerlake-{uuid.uuid4().hex}"
+        self._endings: list[Callable[[], object]] = []
+        for made in _WATCHERS:
+            made.append(self)
+
+    def at_end(self, ending: Callable[[], object]) -> None:
+        """Something else to undo when the stage is closed, such as a catalog table over its files."""
+        self._endings.append(ending)
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}-{uuid.uuid4().hex[:8]}"
@@ -41,6 +69,8 @@ class Stage:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
+        while self._endings:
+            self._endings.pop()()
         delete_tree(self.spark, self.folder)
 
     def __enter__(self) -> "Stage":

@@ -21,12 +21,15 @@ FEEDS = {
     "analytics": schemas.ANALYTICS_FEED,
 }
 
+# The part of each feed that is landed.
+LANDED = FEEDS | {"analytics": schemas.ANALYTICS_LANDED}
 
-def scan_feed(spark: SparkSession, feed: str, path: str) -> DataFrame:
+
+def scan_feed(spark: SparkSession, feed: str, path: str, contract: T.StructType | None = None) -> DataFrame:
     """Every line of a feed under its contract, plus ``_corrupt_record``."""
-    schema = T.StructType(FEEDS[feed].fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    fields = (contract or FEEDS[feed]).fields
     return (
-        spark.read.schema(schema)
+        spark.read.schema(T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)]))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
@@ -38,10 +41,13 @@ def good_rows(scan: DataFrame) -> DataFrame:
 
 
 def bad_lines(scan: DataFrame) -> DataFrame:
-    """The text of the lines that did not parse."""
-    # Another column must stay in the scan: Spark refuses a read of the corrupt column alone.
-    first = scan.columns[0]
-    return scan.where(F.col(CORRUPT).isNotNull() & F.col(first).isNull()).select(CORRUPT, first)
+    """The text of the lines that did not parse, with what could be read of them in ``parsed``.
+
+    Whether a line parses depends on the columns that are read: a wrong type in a column nobody asks for goes
+    unseen.  ``parsed`` asks for all of them, as the landing does, so a line is either landed or set aside.
+    """
+    parsed = F.to_json(F.struct(*[c for c in scan.columns if c != CORRUPT])).alias("parsed")
+    return scan.where(F.col(CORRUPT).isNotNull()).select(CORRUPT, parsed)
 
 
 def bad_line_count() -> Column:
@@ -64,4 +70,4 @@ def analytics_feed(spark: SparkSession, path: str) -> DataFrame:
 
 def flat_analytics_feed(spark: SparkSession, path: str) -> DataFrame:
     """Events as eleven flat columns; only the nested fields in use are parsed."""
-    return flatten_analytics(analytics_feed(spark, path))
+    return flatten_analytics(good_rows(scan_feed(spark, "analytics", path, LANDED["analytics"])))

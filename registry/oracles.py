@@ -158,6 +158,11 @@ def _key_audit() -> str:
                              ("adim", "analytics", "analytics_dim"), ("dates", "date", "date_dim")):
         checks.append(_repeated(table, f"{dim}_id_pk", name))
         checks.append(_orphans("fact", f"{dim}_id_fk", table, f"{dim}_id_pk", f"profile_fact rows without {name}"))
+    for table, key, name in (("udim", "user_id", "user_dim repeated users"), ("tdim", "transaction_id", "trans_dim repeated transactions"),
+                             ("adim", "user_id", "analytics_dim repeated users")):
+        checks.append(f"""SELECT '{name}' AS check_name, COUNT(*) AS violations
+        FROM (SELECT {key} FROM {table} GROUP BY {key} HAVING COUNT(*) > 1) x""")
+    checks.append("SELECT 'transactions without day' AS check_name, COUNT(*) AS violations FROM src_transactions WHERE day IS NULL")
     checks.append(_orphans("src_transactions", "user_id", "src_users", "user_id", "transactions without user"))
     checks.append(_orphans("src_transactions", "user_id", "src_analytics", "user_id", "transactions without events"))
     return "\nUNION ALL\n".join(checks)
@@ -196,16 +201,45 @@ _SAME_EVENT = " AND ".join(
     f"e.{c} = n.{c}" for c in _FLAT.replace("\n", " ").replace(" ", "").split(",")
 )
 
+# Leaf fields of the event feed that the shared tables have nothing for.
+_UNSENT = ", ".join(
+    f"CAST(NULL AS VARCHAR) AS {c}"
+    for c in """event_previous_timestamp event_bundle_sequence_id event_server_timestamp_offset user_pseudo_id
+        user_properties user_first_touch_timestamp device_mobile_marketing_name device_advertising_id device_language
+        device_is_limited_ad_tracking device_time_zone_offset_seconds geo_continent geo_region geo_sub_continent
+        geo_metro app_info_id app_info_firebase_app_id app_info_install_source traffic_source_name
+        traffic_source_medium traffic_source_source stream_id platform items""".split()
+)
+_LOADED = """SELECT t.transaction_id, t.user_id, t.user_id AS event_user_id, d.trans_date, f.gmv_per_month, f.avgtranspermonth
+    FROM fact f JOIN tdim t ON f.trans_id_fk = t.trans_id_pk JOIN dates d ON f.date_id_fk = d.date_id_pk"""
+
+
+def _rejected_rows() -> str:
+    counts = []
+    for feed, table, key in (("users", "customer", "c_custkey"), ("transactions", "orders", "o_orderkey"), ("analytics", "events", "event_id")):
+        kind = f"(CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 4) AS INTEGER) % 10)"
+        for name, which in (("landed", f"{kind} > 1"), ("lines", f"{kind} = 0"), ("undated", f"{kind} = 1")):
+            counts.append(f"SELECT '{feed} {name}' AS table_name, COUNT(*) AS row_count FROM {table} WHERE {which}")
+    return "\nUNION ALL\n".join(counts)
+
+
 ORACLES: dict[str, str] = {
     "ingest_users": _with("SELECT * FROM src_users", "src_users"),
     "ingest_transactions": _with(f"SELECT {_TRANS_FEED} FROM src_transactions", "src_transactions"),
     "ingest_analytics": _with(
-        """SELECT user_id, event_date, strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS event_timestamp,
-          category AS event_name, 'k' AS param_key, appversion AS param_value, mobile_os_hardware_model AS hardware,
-          CAST(NULL AS VARCHAR) AS marketing_name, city, appversion
+        f"""SELECT user_id, event_date, strftime(event_ts, '%Y-%m-%d %H:%M:%S') AS event_timestamp,
+          category AS event_name, 'k.int_value=' || appversion AS event_params, category AS device_category,
+          mobile_brand_name AS device_mobile_brand_name, mobile_model_name AS device_mobile_model_name,
+          mobile_os_hardware_model AS device_mobile_os_hardware_model, operating_system AS device_operating_system,
+          operating_system_version AS device_operating_system_version, city AS geo_city, country AS geo_country,
+          appversion AS app_info_version, {_UNSENT}
         FROM src_analytics""",
         "src_analytics",
     ),
+    "rejected_rows": _rejected_rows(),
+    "dedupe_transactions": _with(f"SELECT {_TRANS_FEED} FROM src_transactions", "src_transactions"),
+    "full_load_fact": _with(_LOADED, "fact", "tdim", "udim", "dates"),
+    "incremental_load_fact": _with(_LOADED, "fact", "tdim", "udim", "dates"),
     "day_slice_scan": _with(
         f"SELECT {_FLAT}, {_LANDED} FROM src_analytics WHERE cryear = 2024 AND crmonth = 1 AND crday = 15",
         "src_analytics",
@@ -263,7 +297,7 @@ ORACLES: dict[str, str] = {
     ),
     "trans_profile": _with("SELECT * FROM profile", "profile"),
     "curate_transactions": _with("SELECT * FROM cur_trans", "cur_trans"),
-    "gmv_per_month": _with("SELECT * FROM gmv", "gmv"),
+    "gmv_per_month": _with("SELECT * FROM gmv ORDER BY trans_year, trans_month", "gmv"),
     "trans_date_bounds": _with(
         """SELECT MIN(created_at) AS min_trans_dt, MAX(created_at) AS max_trans_dt, MIN(day) AS min_trans_date,
           MAX(day) AS max_trans_date

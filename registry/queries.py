@@ -4,13 +4,15 @@ their own and read back what they wrote."""
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
+from functools import wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake import schemas
-from ledgerlake.context import INCREMENTAL_LOAD, RunContext
+from ledgerlake.context import FULL_LOAD, INCREMENTAL_LOAD, RunContext
 from ledgerlake.functions.dates import with_compact_parts, with_iso_parts
 from ledgerlake.operators import audit, curate, dims, fact, report
 from ledgerlake.operators.flatten import flatten_analytics
@@ -18,9 +20,12 @@ from ledgerlake.operators.keys import dense_key
 from ledgerlake.operators.newrows import incremental_new_rows, new_rows
 from ledgerlake.operators.skew import key_counts
 from ledgerlake.operators.slices import compact_day_slice, incremental_slice
+from ledgerlake.plans.lake import Lake
+from ledgerlake.plans.loads import LoadReport, land_all, load
 from ledgerlake.plans.together import together
 from ledgerlake.sinks import partitions, tables
-from ledgerlake.sinks.stage import Stage
+from ledgerlake.sinks.files import exists
+from ledgerlake.sinks.stage import Stage, created_stages
 from ledgerlake.sources import feeds, sample_tables
 from ledgerlake.sources.layers import day_slice, scan_table
 
@@ -92,26 +97,70 @@ def ingest_transactions(spark: SparkSession, folder: str) -> DataFrame:
 def ingest_analytics(spark: SparkSession, folder: str) -> DataFrame:
     nested = sample_tables.nested_events(spark, folder).select(*schemas.names(schemas.ANALYTICS_FEED))
     read = feeds.analytics_feed(spark, _as_json(nested, Stage(spark), "analytics"))
-    param = F.col("event_params")[0]
-    return read.select(
-        "user_id",
-        "event_date",
-        "event_timestamp",
-        "event_name",
-        param["key"].alias("param_key"),
-        param["value"]["int_value"].alias("param_value"),
-        F.col("device.mobile_os_hardware_model").alias("hardware"),
-        F.col("device.mobile_marketing_name").alias("marketing_name"),
-        F.col("geo.city").alias("city"),
-        F.col("app_info.version").alias("appversion"),
-    )
+    return read.select(*_leaves(schemas.ANALYTICS_FEED))
+
+
+def _leaves(feed: T.StructType) -> list[Column]:
+    """Every leaf field of the feed; parameters as ``key.kind=value`` texts, joined by commas."""
+    columns = []
+    for field in feed.fields:
+        if isinstance(field.dataType, T.StructType):
+            columns += [F.col(f"{field.name}.{n}").alias(f"{field.name}_{n}") for n in field.dataType.names]
+        elif field.dataType == schemas.PARAMS:
+            columns.append(F.array_join(F.flatten(F.transform(field.name, _param_texts)), ",").alias(field.name))
+        elif isinstance(field.dataType, T.ArrayType):
+            columns.append(F.array_join(field.name, ",").alias(field.name))
+        else:
+            columns.append(F.col(field.name))
+    return columns
+
+
+def _param_texts(param: Column) -> Column:
+    entries = F.map_entries(param["value"])
+    return F.transform(entries, lambda e: F.concat(param["key"], F.lit("."), e["key"], F.lit("="), e["value"]))
+
+
+# Every tenth transaction arrives as half a line, every tenth under no day, and so with the other feeds.
+def _spoiled(df: DataFrame, key: str, day: str) -> DataFrame:
+    """Feed lines, some cut short and some with an impossible date."""
+    kind = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 4), 16, 10).cast("int") % 10
+    undated = df.withColumn(day, F.when(kind == 1, F.lit("2024-13-45")).otherwise(F.col(day)))
+    line = F.to_json(F.struct(*[c for c in undated.columns if c != "_key"]))
+    return undated.select(F.when(kind == 0, F.substring(line, 1, 12)).otherwise(line).alias("value"))
+
+
+def rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows landed and set aside per feed; together they are the lines of the feed."""
+    stage = Stage(spark)
+    events = sample_tables.nested_events(spark, folder)
+    feeds_of = {
+        "users": _spoiled(sample_tables.users(spark, folder).withColumn("_key", F.col("user_id")), "_key", "created_at"),
+        "transactions": _spoiled(
+            sample_tables.transactions(spark, folder).withColumn("_key", F.col("transaction_id")), "_key", "created_at"
+        ),
+        "analytics": _spoiled(
+            events.select(*schemas.names(schemas.ANALYTICS_FEED), F.col("event_id").alias("_key")), "_key", "event_date"
+        ),
+    }
+    inputs = {name: stage.path(name) for name in feeds_of}
+    for name, lines in feeds_of.items():
+        lines.write.text(inputs[name])
+    lake = Lake(spark, stage.path("lake"))
+    land_all(spark, inputs, lake, CTX, LoadReport())
+    parts = {f"{name} landed": lake.stored(f"raw.{name}") for name in feeds_of}
+    for name in feeds_of:
+        for kind in ("lines", "undated"):
+            path = f"{lake.root}/quarantine/{name}_{kind}/full"
+            if exists(spark, path):
+                parts[f"{name} {kind}"] = spark.read.parquet(path)
+    return audit.row_counts(parts)
 
 
 # --- landing ---------------------------------------------------------------------------------------------
 
 
-def _land_events(spark: SparkSession, folder: str, name: str) -> str:
-    path = Stage(spark).path(name)
+def _land_events(spark: SparkSession, folder: str, name: str, stage: Stage | None = None) -> str:
+    path = (stage or Stage(spark)).path(name)
     partitions.write_partitioned(_events(spark, folder), path)
     return path
 
@@ -139,22 +188,25 @@ def day_partition_refresh(spark: SparkSession, folder: str) -> DataFrame:
     return _read_events(spark, path)
 
 
-def _register(spark: SparkSession, path: str, name: str) -> str:
+def _register(spark: SparkSession, stage: Stage, path: str, name: str) -> str:
     table = f"ledgerlake_{name}_{path.rsplit('-', 1)[-1]}"
+    stage.at_end(lambda: tables.drop_tables(spark, [table]))
     tables.create_table(spark, table, schemas.SOURCE_ANALYTICS, schemas.DAY_PARTS, path)
     return table
 
 
 def register_partitions(spark: SparkSession, folder: str) -> DataFrame:
-    table = _register(spark, _land_events(spark, folder, "register"), "register")
+    stage = Stage(spark)
+    table = _register(spark, stage, _land_events(spark, folder, "register", stage), "register")
     for _ in range(2):
         tables.register_partitions(spark, table)
     return spark.table(table).groupBy(*schemas.DAY_PARTS).agg(F.count(F.lit(1)).alias("row_count"))
 
 
 def swap_day_partition(spark: SparkSession, folder: str) -> DataFrame:
-    path = _land_events(spark, folder, "swap")
-    table = _register(spark, path, "swap")
+    stage = Stage(spark)
+    path = _land_events(spark, folder, "swap", stage)
+    table = _register(spark, stage, path, "swap")
     tables.register_partitions(spark, table)
     corrected = _events(spark, folder).withColumn("category", F.upper("category"))
     partitions.replace_day(corrected, path, EVENT_CTX.as_of)
@@ -224,8 +276,10 @@ def incremental_new_rows_of_day(spark: SparkSession, folder: str) -> DataFrame:
 
 def append_new_rows(spark: SparkSession, folder: str) -> DataFrame:
     """Users seen in the app are in the table; the others are appended, and a second run adds nothing."""
-    path = Stage(spark).path("append")
+    stage = Stage(spark)
+    path = stage.path("append")
     table = f"ledgerlake_append_{path.rsplit('-', 1)[-1]}"
+    stage.at_end(lambda: tables.drop_tables(spark, [table]))
     users = sample_tables.users(spark, folder)
     seen = sample_tables.nested_events(spark, folder).select("user_id").distinct()
     tables.append_rows(users.join(seen, "user_id", "left_semi"), table, location=path)
@@ -242,6 +296,15 @@ def dedupe_users(spark: SparkSession, folder: str) -> DataFrame:
     return curate.dedupe_users(sample_tables.user_sightings(spark, folder))
 
 
+def dedupe_transactions(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per id of a feed that sends open orders again a day later and repeats every line of failed ones."""
+    sent = sample_tables.transactions(spark, folder)
+    later = F.concat(F.date_add(F.substring("created_at", 1, 10).cast("date"), 1).cast("string"), F.lit("T00:00:00"))
+    again = sent.where("transaction_type = 'debit'").withColumns({"created_at": later, "amount": F.lit("0.00")})
+    copies = sent.where("transaction_type = 'credit'")
+    return curate.dedupe_transactions(sent.unionByName(again).unionByName(copies))
+
+
 def trans_type_counts(spark: SparkSession, folder: str) -> DataFrame:
     return curate.trans_type_counts(sample_tables.transactions(spark, folder))
 
@@ -314,9 +377,9 @@ def gmv_per_month(spark: SparkSession, folder: str) -> DataFrame:
         sample_tables.users(spark, folder).withColumn("user_id_pk", same),
         active,
         days,
-        key_counts(core, ["user_id"], "trans_rows"),
+        key_counts(core, ["user_id"]),
     )
-    return fact.gmv_per_month(rows)
+    return fact.gmv_per_month(rows).orderBy("trans_year", "trans_month")
 
 
 class _Star:
@@ -335,7 +398,8 @@ class _Star:
             lambda: analytics_dim(spark, folder),
             lambda: stage.keep(dims.date_dim(core).coalesce(1), "date_dim"),
         )
-        star = fact.star_rows(self.trans_store, self.user_dim, self.analytics_dim, self.date_dim, self.profile)
+        per_user = self.profile.select("user_id", F.col("trans_rows").alias("rows"))
+        star = fact.star_rows(self.trans_store, self.user_dim, self.analytics_dim, self.date_dim, per_user)
         self.fact_store = fact.number_fact(stage.keep(star, "rows"), stage)
         self.gmv = stage.keep(fact.gmv_per_month(self.fact_store).coalesce(1), "gmv")
 
@@ -390,7 +454,86 @@ def layer_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+# --- whole loads -----------------------------------------------------------------------------------------
+
+# The last day with orders and the last day with events; both are loaded incrementally, the latter twice.
+LAST_ORDERS, LAST_EVENTS = date(2001, 8, 1), date(2024, 1, 30)
+
+
+def _feeds_before(spark: SparkSession, folder: str, stage: Stage, orders: date, events: date) -> dict[str, str]:
+    """Feeds as full dumps of what has happened before two days."""
+    sent = sample_tables.transactions(spark, folder).where(F.substring("created_at", 1, 10) < orders.isoformat())
+    seen = sample_tables.nested_events(spark, folder).where(F.col("event_date") < events.strftime("%Y%m%d"))
+    return {
+        "users": _as_json(sample_tables.users(spark, folder), stage, "users"),
+        "transactions": _as_json(sent, stage, "transactions"),
+        "analytics": _as_json(seen.select(*schemas.names(schemas.ANALYTICS_FEED)), stage, "analytics"),
+    }
+
+
+def _loaded_fact(lake: Lake) -> DataFrame:
+    """The fact by natural keys; surrogate keys depend on the order of the loads."""
+    stored = lake.read("consumption.profile_fact")
+    trans = lake.stored("consumption.trans_dim").select(F.col("trans_id_pk").alias("trans_id_fk"), "transaction_id")
+    users = lake.stored("consumption.user_dim").select(F.col("user_id_pk").alias("user_id_fk"), "user_id")
+    seen = lake.stored("consumption.analytics_dim").select(
+        F.col("analytics_id_pk").alias("analytics_id_fk"), F.col("user_id").alias("event_user_id")
+    )
+    days = lake.stored("consumption.date_dim").select(F.col("date_id_pk").alias("date_id_fk"), "trans_date")
+    rows = stored.join(trans, "trans_id_fk").join(users, "user_id_fk").join(seen, "analytics_id_fk")
+    return rows.join(days, "date_id_fk").select(
+        "transaction_id", "user_id", "event_user_id", "trans_date", "gmv_per_month", "avgtranspermonth"
+    )
+
+
+def full_load_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """Feeds as JSON through every layer in one load."""
+    stage = Stage(spark)
+    lake = Lake(spark, stage.path("lake"))
+    ever = date(9999, 12, 31)
+    load(spark, _feeds_before(spark, folder, stage, ever, ever), lake, RunContext(CTX.as_of, CTX.processed_at, FULL_LOAD))
+    return _loaded_fact(lake)
+
+
+def incremental_load_fact(spark: SparkSession, folder: str) -> DataFrame:
+    """A full load of all but the last days, then those days one by one, the last of them twice."""
+    stage = Stage(spark)
+    lake = Lake(spark, stage.path("lake"))
+    before = _feeds_before(spark, folder, stage, LAST_ORDERS, LAST_EVENTS)
+    load(spark, before, lake, RunContext(CTX.as_of, CTX.processed_at, FULL_LOAD))
+    after = [timedelta(days=n) for n in (0, 1)]
+    feeds_by_day = [_feeds_before(spark, folder, stage, LAST_ORDERS + after[1], LAST_EVENTS + n) for n in after]
+    for inputs, day in ((feeds_by_day[0], LAST_ORDERS), (feeds_by_day[1], LAST_EVENTS), (feeds_by_day[1], LAST_EVENTS)):
+        load(spark, inputs, lake, RunContext(day, datetime(day.year, day.month, day.day, 18), INCREMENTAL_LOAD))
+    return _loaded_fact(lake)
+
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+# Stages of each query's last call: a result reads them until the query is called again.
+_OPEN: dict[tuple[str, str], list[Stage]] = {}
+
+
+def _tidy(name: str, query: Query) -> Query:
+    """The query, removing what its last call has staged."""
+
+    @wraps(query)
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        key = (spark.sparkContext.applicationId, name)
+        for stage in _OPEN.pop(key, []):
+            stage.close()
+        with created_stages() as made:
+            result = query(spark, folder)
+        _OPEN[key] = made
+        return result
+
+    return run
+
+
+# Queries whose rows come in an order, and the columns that order them.
+ORDERED = {"gmv_per_month": ["trans_year", "trans_month"], "star_report_top20": ["profile_id_pk"]}
+
+_ALL: dict[str, Query] = {
     "ingest_users": ingest_users,
     "ingest_transactions": ingest_transactions,
     "ingest_analytics": ingest_analytics,
@@ -428,4 +571,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "star_report": star_report,
     "star_report_top20": star_report_top20,
     "late_day_refresh": late_day_refresh,
+    "rejected_rows": rejected_rows,
+    "dedupe_transactions": dedupe_transactions,
+    "full_load_fact": full_load_fact,
+    "incremental_load_fact": incremental_load_fact,
 }
+
+QUERIES = {name: _tidy(name, query) for name, query in _ALL.items()}

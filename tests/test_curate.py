@@ -114,9 +114,11 @@ def skewed(spark, stage):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
-def test_join_of_pieces_equals_plain_join(skewed, how, values):
+def test_join_of_pieces_equals_plain_join(skewed, how, values, monkeypatch):
     left, right = skewed
-    got = join_unique(left, right, ["k"], how, key_counts(left, ["k"]), row_id(), broadcast_rows=0)
+    with monkeypatch.context() as patch:
+        patch.setattr(skew, "BROADCAST_BYTES", -1)
+        got = join_unique(left, right, ["k"], how, key_counts(left, ["k"]), row_id())
     want = left.join(right, "k", how)
     assert values(got, *want.columns) == values(want, *want.columns)
     small = join_unique(left, right, ["k"], how, key_counts(left, ["k"]), row_id())
@@ -133,13 +135,14 @@ def test_heavy_keys_are_cut_up(spark, skewed):
     assert len(many) <= 100 and sum(r["_pieces"] for r in many) <= 200
 
 
-def test_no_task_gets_the_heavy_key(spark, skewed):
+def test_no_task_gets_the_heavy_key(spark, skewed, monkeypatch):
     """Rows per shuffle partition of the joined result stay near an even share."""
     left, right = skewed
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        rows = join_unique(left, right, ["k"], "left", key_counts(left, ["k"]), row_id(), broadcast_rows=0)
+        rows = join_unique(left, right, ["k"], "left", key_counts(left, ["k"]), row_id())
         sizes = [r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect()]
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
@@ -149,7 +152,27 @@ def test_no_task_gets_the_heavy_key(spark, skewed):
 
 def test_fits(spark, stage):
     df = stage.keep(spark.range(10), "ten")
-    assert fits(df, 10) and not fits(df, 9) and fits(df.limit(0), 0)
+    size = skew.stored_bytes(df)
+    assert 0 < size < 100_000 and fits(df, size) and not fits(df, size - 1)
+    # Columns joined on add the files they come from; a source of unknown size never fits.
+    assert skew.stored_bytes(df.join(df.withColumnRenamed("id", "other"), F.col("id") == F.col("other"))) == 2 * size
+    assert not fits(spark.createDataFrame([(1,)], "k int").rdd.toDF())
+
+
+def test_sizes_cost_no_job(spark, stage):
+    """A join on a table of 400 files looks at no file but those it joins."""
+    many = stage.keep(spark.range(400).repartition(400).withColumnRenamed("id", "k"), "many")
+    few = stage.keep(spark.range(5).withColumnRenamed("id", "k"), "few")
+    counts = key_counts(few, ["k"])
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+    context.setJobGroup("sizes", "sizes")
+    try:
+        joined = join_unique(few, many, ["k"], "left", counts, row_id())
+        fresh = new_rows(few, many, ["k"], unique=True)
+        assert list(tracker.getJobIdsForGroup("sizes")) == []
+    finally:
+        context._jsc.clearJobGroup()
+    assert joined.count() == 5 and fresh.count() == 0
 
 
 # --- new rows --------------------------------------------------------------------------------------------
@@ -165,8 +188,7 @@ def test_new_rows_and_null_keys(spark, stage, values):
 @pytest.mark.parametrize("unique", [True, False])
 def test_new_rows_of_a_large_source(spark, stage, values, monkeypatch, unique):
     """The shuffled path, with one key on a third of the source rows."""
-    monkeypatch.setattr(newrows, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(skew, "fits", lambda df, rows: False)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
     source = stage.keep(spark.createDataFrame([("hot" if i % 3 == 0 else f"k{i}", i) for i in range(600)], "k string, v int"), "s")
     known = ["hot"] + [f"k{i}" for i in range(0, 600, 7)]
     existing = stage.keep(spark.createDataFrame([(k,) for k in (known if unique else known * 3)], "k string"), "e")
@@ -185,8 +207,7 @@ def test_new_records_compare_nulls(spark, values):
 
 def test_new_records_of_a_large_source(spark, stage, values, monkeypatch):
     """The shuffled path on whole records: a third are exact copies, some fields are NULL."""
-    monkeypatch.setattr(newrows, "BROADCAST_ROWS", 0)
-    monkeypatch.setattr(skew, "fits", lambda df, rows: False)
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
     columns = "user_id string, city string"
     rows = [("copy", None) if i % 3 == 0 else (f"u{i}", None if i % 2 else "x") for i in range(600)]
     source = stage.keep(spark.createDataFrame(rows, columns), "s")

@@ -21,6 +21,20 @@ def test_bad_line_is_set_aside(spark, write_lines):
     assert feeds.bad_lines(scan).collect()[0][0] == '{"user_id": '
 
 
+def test_a_wrong_type_is_set_aside(spark, write_lines):
+    """A line of which some fields could be read is not landed, and not lost."""
+    good = {"event_date": "20240301", "user_id": "1", "device": {"category": "a"}}
+    bad = '{"event_date": "20240301", "user_id": "2", "device": "oops"}'
+    for contract in (None, feeds.LANDED["analytics"]):
+        scan = feeds.scan_feed(spark, "analytics", write_lines("a", [good, bad]), contract)
+        assert [r.user_id for r in feeds.good_rows(scan).collect()] == ["1"]
+        assert [r[0] for r in feeds.bad_lines(scan).collect()] == [bad]
+    # Of fields that are not landed nothing is asked.
+    extra = '{"event_date": "20240301", "user_id": "3", "items": "no list"}'
+    scan = feeds.scan_feed(spark, "analytics", write_lines("b", [extra]), feeds.LANDED["analytics"])
+    assert len(feeds.good_rows(scan).collect()) == 1 and feeds.bad_lines(scan).collect() == []
+
+
 def test_map_values_become_text(spark, write_lines):
     event = {"user_id": "1", "event_params": [{"key": "n", "value": {"int_value": 3}}], "items": ["a"]}
     row = feeds.analytics_feed(spark, write_lines("a", [event])).head()
@@ -58,8 +72,8 @@ def test_iso_parts(spark):
 
 
 def test_compact_parts(spark):
-    df = with_compact_parts(spark.createDataFrame([("20240109",), ("x",), (None,)], "event_date string"))
-    assert [tuple(r) for r in df.select(*schemas.DAY_PARTS).collect()] == [(2024, 1, 9), (None, None, None), (None, None, None)]
+    df = with_compact_parts(spark.createDataFrame([("20240109",), ("x",), (None,), ("20241301",), ("20230229",), ("2024 1 9",), ("20240109T10",)], "event_date string"))
+    assert [tuple(r) for r in df.select(*schemas.DAY_PARTS).collect()] == [(2024, 1, 9), *[(None, None, None)] * 5, (2024, 1, 9)]
 
 
 def test_slices_cross_month_ends(spark):

@@ -97,7 +97,8 @@ def test_full_equals_day_by_day(spark, write_lines, lake_of, values):
     assert report.rows["raw.users"] == 6 and report.rows["curated.users"] == 4
     assert report.rejects == {
         "users lines": 0, "transactions lines": 0, "analytics lines": 0, "users without key": 1,
-        "transactions without key": 0, "transactions amounts": 1,
+        "transactions without key": 0, "transactions amounts": 1, "users undated": 0, "transactions undated": 0,
+        "analytics undated": 0,
     }
 
     # Running a day again changes nothing, keys included.
@@ -180,6 +181,106 @@ def test_contracts_and_catalog(spark, write_lines, lake_of):
     assert spark.sql("SELECT count(*) FROM loadtest_consumption.profile_fact WHERE trans_month = 3").head()[0] == 5
 
 
+def _odd_feeds(write_lines, day):
+    """Feeds with lines of the wrong type, bad dates, and ids and events sent again in later polls."""
+    users = _through(USERS, day) + [dict(_user("lost", 1), created_at="soon"), dict(_user("never", 1), created_at="2024-13-01T00:00:00Z")]
+    trans = _through(TRANS, day) + [_trans("10", "u1", "100.10", "debit", 1), dict(_trans("17", "u1", "3", "debit", 1), created_at=None), '{"transaction_id": ']
+    events = _through(EVENTS, day) + [{"user_id": "u9", "event_date": "20241340"}, '{"event_date": "20240301", "user_id": "u8", "device": "oops"}']
+    if day > 1:
+        trans += [_trans("10", "u1", "555", "debit", 2), _trans("11", "u3", "8", "credit", 2)]
+        events += [_event("u1", 1, "a"), _event("u3", 2, "c")]
+    return {"users": write_lines(f"ou{day}", users), "transactions": write_lines(f"ot{day}", trans), "analytics": write_lines(f"oa{day}", events)}
+
+
+def test_odd_feeds_load_alike(spark, write_lines, lake_of, values):
+    """Nothing is lost, and two polls of a day, or a full load, agree."""
+    full, daily = lake_of("full"), lake_of("daily")
+    inputs = _odd_feeds(write_lines, 3)
+    report = load(spark, inputs, full, _run(3, FULL_LOAD))
+    for day, hour in ((1, 9), (1, 18), (2, 9), (2, 18), (3, 9)):
+        polled = load(spark, _odd_feeds(write_lines, day), daily, _run(day, INCREMENTAL_LOAD, hour))
+    want, got = _content(full, values), _content(daily, values)
+    # The raw layer holds what was sent: the copy of an event of day 1 that came on day 2 is in the full dump alone.
+    assert {k: v for k, v in got.items() if k != "raw.analytics"} == {k: v for k, v in want.items() if k != "raw.analytics"}
+    ids = [r.transaction_id for r in full.read("curated.transactions").collect()]
+    assert len(ids) == len(set(ids)) and full.read("curated.transactions").where("transaction_id = '10'").head().amount == "100.10"
+    for feed, path in inputs.items():
+        lines = spark.read.text(path).count()
+        assert report.rows[f"raw.{feed}"] + report.rejects[f"{feed} lines"] + report.rejects[f"{feed} undated"] == lines
+        for kind in ("lines", "undated"):
+            assert polled.rejects[f"{feed} {kind}"] == report.rejects[f"{feed} {kind}"]
+            for lake, run in ((full, "full"), (daily, "2024-03-03")):
+                if report.rejects[f"{feed} {kind}"]:
+                    kept = spark.read.parquet(f"{lake.root}/quarantine/{feed}_{kind}/{run}")
+                    assert len(kept.collect()) == report.rejects[f"{feed} {kind}"]
+    assert report.rejects["users undated"] == 2 and report.rejects["transactions undated"] == 1
+    assert report.rejects["analytics undated"] == 1 and report.rejects["analytics lines"] == 1
+
+
+def test_versions_are_numbers(spark, lake_of):
+    lake = lake_of("lake")
+    table = "curated.trans_profile"
+    rows = lambda n: spark.createDataFrame([(str(n), *[None] * 7)], schemas.PROFILE_STORE)
+    rows(0).write.parquet(f"{lake.folder(table)}/v9999")
+    for n in (10000, 10001):
+        lake.write_version(table, rows(n))
+        assert lake.path(table).endswith(f"/v{n}")
+        assert lake.read(table).head().user_id == str(n)
+    assert lake._taken(table) == [10000, 10001]
+
+
+def test_a_user_who_is_heavy_only_today(spark, write_lines, lake_of, values, monkeypatch):
+    """The shuffled joins of an incremental load, with most of the day on one user who was quiet before."""
+    from ledgerlake.operators import skew
+
+    trans = {1: [_trans(f"a{i}", f"u{i % 3 + 1}", "1", "debit", 1) for i in range(60)], 2: [_trans(f"b{i}", "u1", "2", "credit", 2) for i in range(40)]}
+    inputs = lambda day: {"users": write_lines(f"hu{day}", _through(USERS, 3)), "transactions": write_lines(f"ht{day}", _through(trans, day)), "analytics": write_lines(f"ha{day}", _through(EVENTS, 3))}
+    full, daily = lake_of("full"), lake_of("daily")
+    load(spark, inputs(2), full, _run(2, FULL_LOAD))
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
+    load(spark, inputs(1), daily, _run(3, FULL_LOAD))
+    load(spark, inputs(2), daily, _run(2, INCREMENTAL_LOAD))
+    got, want = _content(daily, values), _content(full, values)
+    assert got["fact"] == want["fact"] and len(want["fact"]) == 100
+    assert got["curated.trans_profile"] == want["curated.trans_profile"]
+
+
+def test_the_fact_is_read_by_month(spark, write_lines, lake_of):
+    """Of the fact, a run reads the month folders of its rows only."""
+    from ledgerlake.plans.loads import _of_months
+
+    lake = lake_of("lake")
+    inputs = _inputs(write_lines, 3)
+    trans = [*_through(TRANS, 3), _trans("20", "u1", "4", "debit", 1, month=1), _trans("21", "u1", "4", "debit", 1, month=2)]
+    load(spark, inputs | {"transactions": write_lines("months", trans)}, lake, _run(3, FULL_LOAD))
+    stored = lake.stored("consumption.profile_fact")
+    day = spark.createDataFrame([(2024, 2)], "trans_year int, trans_month int")
+    picked = _of_months(stored, day)
+    plan = picked._jdf.queryExecution().executedPlan().toString()
+    filters = plan[plan.index("PartitionFilters") :].split("], PushedFilters")[0]
+    assert "isnotnull(trans_month" in filters and "= 2024)" in filters
+    assert stored.count() == 7 and picked.count() == 1
+    assert _of_months(stored, day.limit(0)).count() == 0
+
+
+def test_staged_folders_do_not_add_up(spark):
+    from pathlib import Path
+
+    from registry.queries import QUERIES
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir"))
+    names = lambda: {p.name for p in folder.glob("ledgerlake-*")}
+    QUERIES["star_report"](spark, "/root/testdata/sf0.001")
+    once = names()
+    QUERIES["star_report"](spark, "/root/testdata/sf0.001")
+    assert len(names()) == len(once) and names() != once
+    QUERIES["register_partitions"](spark, "/root/testdata/sf0.001")
+    tables = lambda: [t.name for t in spark.catalog.listTables() if t.name.startswith("ledgerlake_register")]
+    first = tables()
+    QUERIES["register_partitions"](spark, "/root/testdata/sf0.001")
+    assert len(tables()) == 1 and tables() != first
+
+
 def test_mode_is_checked():
     with pytest.raises(ValueError):
         RunContext(date(2024, 1, 1), datetime(2024, 1, 1), "Sometimes")

@@ -8,7 +8,7 @@ import pytest
 
 from registry.oracles import ORACLES
 from registry.queries import QUERIES
-from tools.compare import connect, rows_by_name
+from tools.compare import connect, in_order, rows_by_name
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -26,5 +26,7 @@ def test_query(spark, name):
     result = connect(FOLDER).execute(ORACLES[name])
     columns = [c[0] for c in result.description]
     assert sorted(df.columns) == sorted(columns)
-    assert rows_by_name(df.columns, got) == rows_by_name(columns, result.fetchall())
+    want = result.fetchall()
+    assert rows_by_name(df.columns, got) == rows_by_name(columns, want)
+    assert in_order(name, df.columns, got) == in_order(name, columns, want)
     assert got

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerlake import schemas
 from ledgerlake.functions.dates import with_iso_parts
 from ledgerlake.operators import audit, curate, dims, fact, report
+from ledgerlake.operators.skew import key_counts
 from ledgerlake.operators.keys import dense_key, extend_keys
 from ledgerlake.sinks.partitions import stamp
 
@@ -147,7 +148,7 @@ def star(spark, stage, ctx):
         "analytics_dim": dims.analytics_dim(dims.analytics_latest(events), stage),
         "date_dim": stage.keep(dims.date_dim(core), "date_dim"),
     }
-    rows = fact.star_rows(tables["trans_store"], tables["user_dim"], tables["analytics_dim"], tables["date_dim"], profile)
+    rows = fact.star_rows(tables["trans_store"], tables["user_dim"], tables["analytics_dim"], tables["date_dim"], key_counts(core, ["user_id"]))
     tables["store"] = fact.number_fact(stage.keep(rows, "rows"), stage)
     tables["gmv"] = stage.keep(fact.gmv_per_month(tables["store"]), "gmv")
     tables["fact"] = fact.profile_fact(tables["store"], tables["gmv"])
@@ -183,7 +184,7 @@ def test_audit_of_a_sound_star(star):
     got = {r.check_name: r.violations for r in audit.key_audit(star["store"], star["user_dim"], star["trans_store"], star["analytics_dim"], star["date_dim"]).collect()}
     assert got.pop("transactions without user") == 2  # the stranger's and the one without a user
     assert got.pop("transactions without events") == 2
-    assert len(got) == 9 and set(got.values()) == {0}
+    assert len(got) == 13 and set(got.values()) == {0}
 
 
 def test_audit_finds_faults(star):
@@ -192,6 +193,25 @@ def test_audit_finds_faults(star):
     got = {r.check_name: r.violations for r in audit.key_audit(star["store"], broken, twice, star["analytics_dim"], star["date_dim"]).collect()}
     assert got["profile_fact rows without user_dim"] == 2
     assert got["trans_dim repeated keys"] == 1
+    assert got["trans_dim repeated transactions"] == 1
+    undated = star["trans_store"].withColumn("cryear", F.when(F.col("transaction_id") != "11", F.col("cryear")))
+    users = star["user_dim"].unionByName(star["user_dim"].limit(1))
+    events = star["analytics_dim"].unionByName(star["analytics_dim"].limit(1))
+    got = {r.check_name: r.violations for r in audit.key_audit(star["store"], users, undated, events, star["date_dim"]).collect()}
+    assert got["transactions without day"] == 1
+    assert got["user_dim repeated users"] == 1 and got["analytics_dim repeated users"] == 1
+
+
+def test_a_junk_year_does_not_stretch_the_broadcast(spark, star, monkeypatch):
+    """With a calendar from year 1 on, only the days that occur are sent to the tasks."""
+    from ledgerlake.operators import skew
+
+    days = dims.calendar(spark.createDataFrame([(date(1, 1, 1), date(2024, 6, 1))], "min_trans_date date, max_trans_date date"))
+    assert not skew.fits(days)
+    rows = fact.star_rows(star["trans_store"], star["user_dim"], star["analytics_dim"], days, key_counts(star["trans_store"], ["user_id"]))
+    assert sorted(r.transaction_id for r in rows.collect()) == ["10", "11", "12", "16"]
+    sent = fact.calendar_of(days, star["trans_store"].select(fact.parts_date().alias("trans_date")), "trans_date")
+    assert sent.count() == 5
 
 
 def test_row_counts(spark):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from collections import Counter
 from pathlib import Path
@@ -13,7 +14,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
 from registry.oracles import ORACLES  # noqa: E402
-from registry.queries import QUERIES  # noqa: E402
+from registry.queries import ORDERED, QUERIES  # noqa: E402
 
 
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
@@ -28,6 +29,11 @@ def rows_by_name(columns: list[str], rows: list[tuple]) -> Counter:
     return Counter(tuple(row[i] for i in order) for row in rows)
 
 
+def in_order(name: str, columns: list[str], rows: list[tuple]) -> list[tuple]:
+    """The ordering columns of an ordered query's rows, as they came; nothing for the others."""
+    return [tuple(row[columns.index(c)] for c in ORDERED[name]) for row in rows] if name in ORDERED else []
+
+
 def main(folder: str, names: list[str]) -> int:
     con = connect(folder)
     spark = (
@@ -35,6 +41,7 @@ def main(folder: str, names: list[str]) -> int:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerlake-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -53,6 +60,7 @@ def main(folder: str, names: list[str]) -> int:
         want_columns, want = [c[0] for c in result.description], result.fetchall()
         same_columns = sorted(got_columns) == sorted(want_columns)
         same = same_columns and rows_by_name(got_columns, got) == rows_by_name(want_columns, want)
+        same = same and in_order(name, got_columns, got) == in_order(name, want_columns, want)
         print(f"{name:32} {'ok' if same else 'DIFFERS':8} {len(got):7} rows {took:6.2f}s", flush=True)
         if not same:
             bad += 1
