@@ -29,29 +29,36 @@ COMMON = (
 ).split()
 
 _COMMON = "(?:" + "|".join(sorted(set(COMMON))) + ")"
-# A blank, then (seen but not consumed) an anchor, two content words, and any common words before each.
-_CHAIN = f" (?=({_COMMON} (?:{_COMMON} )*+[^ ]++ (?:{_COMMON} )*+[^ ]++) )"
+# A run of anchors (group 1), and seen but not consumed the two content words behind it with any common words
+# between them (group 2, empty where the text ends before).  Runs are consumed whole, so the time is linear.
+_CHAIN = f" ((?:{_COMMON} )++)(?:(?=([^ ]++ (?:{_COMMON} )*+[^ ]++) )|)"
 LEAST = 0.05
 
 
 def with_signatures(frame: DataFrame, sets: dict[str, str]) -> DataFrame:
     """Adds the sorted set of signature hashes of text columns; ``sets`` maps new columns to text columns.
 
-    The chains are a column of their own, so that the search for them runs once per text.
+    Anchors of one run share their content words.  What is found is kept in columns of its own, so that each
+    search runs once per text.
     """
     words = {
         name: F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " ")), F.lit(" "))
         for name, text in sets.items()
     }
-    found = frame.withColumns({f"_{n}": F.regexp_extract_all(w, F.lit(_CHAIN), F.lit(1)) for n, w in words.items()})
+    normal = frame.withColumns({f"_w_{n}": w for n, w in words.items()})
+    found = normal.withColumns(
+        {f"_{g}_{n}": F.regexp_extract_all(f"_w_{n}", F.lit(_CHAIN), F.lit(i)) for n in sets for i, g in ((1, "run"), (2, "tail"))}
+    )
+
+    def chains(run: Column, tail: Column) -> Column:
+        first, second = F.substring_index(tail, " ", 1), F.substring_index(tail, " ", -1)
+        own = F.transform(F.array_distinct(F.split(F.trim(run), " ")), lambda anchor: F.hash(anchor, first, second))
+        return F.when(tail != "", own).otherwise(F.array().cast("array<int>"))
 
-    def hashes(chains: str) -> Column:
-        # One pass over all chains takes the common words out from between the content words.
-        clean = F.split(F.regexp_replace(F.array_join(chains, "\n"), f" (?:{_COMMON} )+", " "), "\n")
-        own = F.sort_array(F.array_distinct(F.transform(clean, lambda c: F.hash(c))))
-        return F.when(F.size(chains) > 0, own).otherwise(F.array().cast("array<int>"))
+    def hashes(name: str) -> Column:
+        return F.sort_array(F.array_distinct(F.flatten(F.zip_with(f"_run_{name}", f"_tail_{name}", chains))))
 
-    return found.withColumns({n: hashes(f"_{n}") for n in sets}).drop(*[f"_{n}" for n in sets])
+    return found.withColumns({n: hashes(n) for n in sets}).drop(*[f"_{g}_{n}" for n in sets for g in ("w", "run", "tail")])
 
 
 def as_text(fingerprint: Column) -> Column:

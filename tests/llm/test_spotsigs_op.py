@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from itertools import islice
 
 import regex
 
@@ -21,7 +22,7 @@ def chains(text: str) -> set[tuple]:
     found = set()
     for i, word in enumerate(words):
         if word in COMMON:
-            rest = [w for w in words[i + 1 : i + 40] if w not in COMMON][:2]
+            rest = list(islice((w for w in words[i + 1 :] if w not in COMMON), 2))
             if len(rest) == 2:
                 found.add((word, *rest))
     return found
@@ -58,6 +59,13 @@ def test_equal_texts_have_equal_fingerprints(make_docs, stage):
     assert all(r.near_next == 1.0 for r in got)
 
 
+def test_long_runs_of_common_words_take_linear_time(make_docs):
+    """Neither the stack nor the output may grow with the square of a run."""
+    rows = [(1, "the of " * 100_000), (2, "the of " * 100_000 + "cat dog"), (3, "the cat " + "of the " * 100_000 + "dog")]
+    got = {r.doc_id: r.fingerprint for r in spotsigs.fingerprints(make_docs(rows)).collect()}
+    assert [len(got[i]) for i in (1, 2, 3)] == [0, 2, 1]
+
+
 def test_one_row_and_none(make_docs, stage):
     assert spotsigs.edited_and_next(make_docs([(3, "abc")]), stage).first().next_id == 3
     assert spotsigs.edited_and_next(make_docs([]).limit(0), stage).collect() == []
