@@ -408,8 +408,9 @@ class _Star:
         return fact.profile_fact(self.fact_store, self.gmv)
 
     @property
-    def trans_dim(self) -> DataFrame:
-        return _wide_trans_dim(self.trans_store, self.profile)
+    def tables(self) -> tuple[DataFrame, ...]:
+        """What the report is made of."""
+        return self.fact, self.user_dim, self.trans_store, self.date_dim, self.analytics_dim, self.profile
 
 
 def profile_fact(spark: SparkSession, folder: str) -> DataFrame:
@@ -418,13 +419,13 @@ def profile_fact(spark: SparkSession, folder: str) -> DataFrame:
 
 def star_report(spark: SparkSession, folder: str) -> DataFrame:
     star = _Star(spark, folder)
-    rows = report.star_report(star.fact, star.user_dim, star.trans_dim, star.date_dim, star.analytics_dim)
-    return rows.withColumn("amount", F.col("amount").cast("double"))
+    rows = report.star_report(*star.tables)
+    return rows.drop("profile_id_pk").withColumn("amount", F.col("amount").cast("double"))
 
 
 def star_report_top20(spark: SparkSession, folder: str) -> DataFrame:
     star = _Star(spark, folder)
-    rows = report.star_report_top(star.fact, star.user_dim, star.trans_dim, star.date_dim, star.analytics_dim)
+    rows = report.star_report_top(*star.tables)
     return rows.withColumn("amount", F.col("amount").cast("double"))
 
 

@@ -153,6 +153,7 @@ def star(spark, stage, ctx):
     tables["gmv"] = stage.keep(fact.gmv_per_month(tables["store"]), "gmv")
     tables["fact"] = fact.profile_fact(tables["store"], tables["gmv"])
     wide = curate.curate_transactions(tables["trans_store"], profile, ("trans_id_pk", "isActive"))
+    tables["profile"] = profile
     tables["trans_dim"] = wide.select(*schemas.names(schemas.TRANS_DIM))
     return tables
 
@@ -167,17 +168,44 @@ def test_fact_and_monthly_measures(star, values):
     assert float(total) == sum(r.gmv_per_month or 0 for r in star["gmv"].collect())
 
 
+def _report_tables(star):
+    return star["fact"], star["user_dim"], star["trans_dim"], star["date_dim"], star["analytics_dim"], star["profile"]
+
+
 def test_report(star):
-    df = report.star_report(star["fact"], star["user_dim"], star["trans_dim"], star["date_dim"], star["analytics_dim"])
-    assert df.columns == report.REPORT_COLUMNS
+    df = report.star_report(*_report_tables(star))
+    assert df.columns == ["profile_id_pk", *report.REPORT_COLUMNS]
     got = {(r.user_id, r.trans_date, r.amount, r.total_trans_count) for r in df.collect()}
     assert got == {
         ("u1", date(2024, 3, 1), "10", 2), ("u1", date(2024, 3, 5), "30", 2), ("u2", date(2024, 4, 5), "7", 2),
         ("u2", date(2024, 5, 5), None, 2),
     }
-    top = report.star_report_top(star["fact"], star["user_dim"], star["trans_dim"], star["date_dim"], star["analytics_dim"], rows=2)
-    assert sorted(r.profile_id_pk for r in top.collect()) == [1, 2]
-    assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
+    top = report.star_report_top(*_report_tables(star), rows=2)
+    want = sorted((tuple(r) for r in df.collect()), key=lambda r: r[0])[:2]
+    assert [tuple(r) for r in top.collect()] == want
+    # Facts whose user is gone are no part of the report, nor of its first rows.
+    broken = list(_report_tables(star))
+    broken[1] = broken[1].where("user_id != 'u1'")
+    assert [r.profile_id_pk for r in report.star_report_top(*broken, rows=2).collect()] == [3, 4]
+
+
+def test_report_shuffles_transactions_once(spark, star, monkeypatch):
+    """On the path of large dimensions: the transactions in one exchange, the fact in two."""
+    import re
+
+    from ledgerlake.operators import skew
+
+    monkeypatch.setattr(skew, "BROADCAST_BYTES", -1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = report.star_report(star["fact"], star["user_dim"], star["trans_store"], star["date_dim"], star["analytics_dim"], star["profile"])
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        keyed = [re.sub(r"#[0-9]+L?", "", x) for x in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)]
+        assert sum(x.startswith("trans_id_fk") for x in keyed) == 2  # the fact, and the transactions
+        assert sum("_piece" in x for x in keyed) == 2  # the fact, and the users
+        assert df.count() == 4
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_audit_of_a_sound_star(star):
