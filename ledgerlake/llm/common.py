@@ -12,11 +12,14 @@ from pyspark.sql import functions as F
 
 from ledgerlake.sinks.stage import Stage
 
+BATCH_ROWS = 512
+_BATCH, _BATCH_DEFAULT = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000"
+
 _STAGES: dict[tuple[str, str], Stage] = {}
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors once per application, as ``--py-files`` would."""
+    """Send this package to the executors once per application, as ``--py-files`` would, and size Arrow batches."""
     context = spark.sparkContext
     if getattr(context, "_ledgerlake_shipped", False):
         return
@@ -27,6 +30,9 @@ def ship(spark: SparkSession) -> None:
             for path in sorted(package.rglob("*.py")):
                 out.write(path, path.relative_to(package.parent))
         context.addPyFile(archive)
+    # Rows are whole texts: small batches keep a Python worker's memory small.  A setting of the user's own stays.
+    if spark.conf.get(_BATCH) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH, BATCH_ROWS)
     context._ledgerlake_shipped = True
 
 

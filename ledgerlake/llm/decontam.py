@@ -77,7 +77,7 @@ class _Terms(dict):
     def __missing__(self, raw: str) -> int:
         own = word(raw)
         number = self.vocabulary.get(own, -1) if own else -2
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         self[raw] = number
         return number

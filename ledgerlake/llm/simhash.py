@@ -344,7 +344,8 @@ def near_groups(docs: DataFrame, stage: Stage, words: int = 5, similarity: float
     shared = shards.groupBy("shard").count().where("count > 1").select("shard")
     dealt = shards.join(shared, "shard", "left_semi").repartition(n, "shard").sortWithinPartitions("shard", "doc_id")
     candidates = stage.keep(dealt.mapInArrow(_candidates, "shard long, root long, doc_id long, fp long"), "candidates")
-    wanted = own.join(candidates.select("doc_id").distinct(), "doc_id", "left_semi")
+    # Lists of ids grow with the corpus, so the two joins that bring them to the texts never broadcast them.
+    wanted = own.join(candidates.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
     sets = wanted.mapInArrow(_shingle_sets(words), "doc_id long, shingles binary").dropDuplicates(["doc_id"])
     pieces = _pieces(candidates).join(sets, "doc_id")
     links = (
@@ -364,4 +365,4 @@ def one_of_each(docs: DataFrame, stage: Stage, words: int = 5, similarity: float
     """
     groups = near_groups(docs, stage, words, similarity)
     dropped = stage.keep(groups.where("doc_id <> group_id").select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
-    return docs.join(dropped, docs["doc_id"] == dropped["_dropped"], "left_anti")
+    return docs.join(dropped.hint("merge"), docs["doc_id"] == dropped["_dropped"], "left_anti")
