@@ -7,8 +7,9 @@ smaller id, or further up in the same one.  All strings are judged on the input.
    equal windows have equal anchors at equal places.  Anchors whose hash occurs twice are kept: tasks settle
    repeats of their own and send the rest, packed, to the bucket of the hash.
 2. *Contexts.*  The bytes around each repeated anchor that any window over it can reach go to the task of the
-   anchor's hash.  Equal contexts of one task are reduced to the first of them before that, so a passage in very
-   many documents is sent once per task.
+   anchor's hash.  Equal contexts of one task are reduced to the first of them before that.  An anchor with more
+   than ``MEMBERS`` places is hot: its windows go by their own hashes, so that a passage in very many documents
+   is sent once per task, and the surroundings in which they differ spread over all tasks.
 3. *Suffix sort.*  The suffixes from the anchor on, and those running backwards from it, are merge-sorted.  Two
    suffixes are compared by binary search over polynomial prefix hashes for the length of their common part, and
    then by the byte behind it.  Neighbours in the order are verified byte by byte; if a hash has misled the
@@ -28,6 +29,8 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +41,10 @@ LENGTH = 100
 GRAM = 32
 REACH = LENGTH - GRAM  # how far a window can extend on either side of an anchor
 SLICE = 1 << 20
-MEMBERS = 1 << 14
+MEMBERS = 1 << 14  # places of an anchor beyond which it is hot
+SORTED = 1 << 13  # suffixes sorted together
+HOT_ANCHORS = 100_000
+REMEMBERED = 40_000  # contexts a task keeps to settle repeats
 
 _BASE = 0x9E3779B97F4A7C15
 _NO_ID = np.iinfo(np.int64).max
@@ -190,27 +196,75 @@ _CONTEXTS = pa.schema(
 )
 
 
-def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The surroundings of repeated anchors; where one batch has equal ones, all but the first are settled here."""
-    for batch in batches:
-        ranks, records = batch.column("rank").to_numpy(), batch.column("record").to_numpy()
-        seen: set[tuple[int, bytes]] = set()
-        rows: list[tuple] = []
-        for i in np.lexsort([records, ranks]).tolist():
-            data, rank, record = batch.column("bytes")[i].as_py(), int(ranks[i]), int(records[i])
-            hits = {(h["place"], h["hash"]) for h in batch.column("hits")[i].as_py()}
-            for place, h in sorted(hits):
-                start, end = max(0, place - REACH), min(len(data), place + LENGTH)
-                context = data[start:end]
-                key = (h, place - start, context)
-                settled = key in seen
-                seen.add(key)
-                rows.append((h, rank, record, place, place - start, end - place, None if settled else context))
-            if len(rows) > 20_000:
+def _windows(data: bytes, place: int) -> Iterator[tuple[int, bytes]]:
+    """All windows of a text that hold the gram at ``place``."""
+    for start in range(max(0, place - REACH), min(place, len(data) - LENGTH) + 1):
+        yield start, data[start : start + LENGTH]
+
+
+def _contexts(hot: Broadcast):
+    """The surroundings of repeated anchors, to meet by the anchor's hash.
+
+    One that follows an equal one of the same task is settled here.  Those of a hot anchor meet window by
+    window instead, by the hash of the window: what very many documents share is settled in the task, and
+    what differs goes to different tasks.  The memory of what was sent is bounded; once it is full it starts
+    anew, and more is sent.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The first place that was sent, in the order of documents; an earlier one is sent as well.
+        seen: dict[tuple[int, int, bytes], tuple[int, int, int]] = {}
+        windows: dict[bytes, tuple[int, int, int]] = {}
+        for batch in batches:
+            ranks, records = batch.column("rank").to_numpy(), batch.column("record").to_numpy()
+            sent: set[tuple[int, int]] = set()
+            rows: list[tuple] = []
+            for i in np.lexsort([records, ranks]).tolist():
+                data, rank, record = batch.column("bytes")[i].as_py(), int(ranks[i]), int(records[i])
+                settled: list[tuple[int, int]] = []
+                for memory in (seen, windows):
+                    if len(memory) > REMEMBERED:
+                        memory.clear()
+                for place, h in sorted({(x["place"], x["hash"]) for x in batch.column("hits")[i].as_py()}):
+                    start, end = max(0, place - REACH), min(len(data), place + LENGTH)
+                    if end - start < LENGTH:
+                        continue
+                    context = data[start:end]
+                    key, own = (h, place - start, context), (rank, record, place)
+                    if seen.get(key, own) < own:
+                        settled.append((start, end))
+                        continue
+                    seen[key] = own
+                    if h not in hot.value:
+                        rows.append((h, rank, record, place, place - start, end - place, context))
+                        continue
+                    for at, window in _windows(data, place):
+                        own = (rank, record, at)
+                        if windows.get(window, own) < own:
+                            settled.append((at, at + LENGTH))
+                        elif (record, at) not in sent:  # two hot anchors may share a window
+                            windows[window] = own
+                            sent.add((record, at))
+                            rows.append((xxhash.xxh3_64_intdigest(window) >> 1, rank, record, at, 0, LENGTH, window))
+                # Settled stretches need no company; they travel by their document.
+                rows += [(record, rank, record, start, 0, end - start, None) for start, end in _united(settled)]
+                if len(rows) > 20_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _CONTEXTS)], schema=_CONTEXTS)
+                    rows = []
+            if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _CONTEXTS)], schema=_CONTEXTS)
-                rows = []
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _CONTEXTS)], schema=_CONTEXTS)
+
+    return run
+
+
+def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    found: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if found and start <= found[-1][1]:
+            found[-1] = (found[-1][0], max(end, found[-1][1]))
+        else:
+            found.append((start, end))
+    return found
 
 
 class Suffixes:
@@ -366,15 +420,14 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     size = 0
     for batch in batches:
         settled = batch.filter(batch.column("context").is_null())
-        whole = settled.column("left").to_numpy() + settled.column("right").to_numpy() >= LENGTH
-        place, left, right = (settled.column(c).to_numpy()[whole] for c in ("place", "left", "right"))
-        yield _span_batch(settled.column("record").to_numpy()[whole], place - left, place + right)
+        record, place, right = (settled.column(c).to_numpy() for c in ("record", "place", "right"))
+        yield _span_batch(record, place, place + right)
         batch = batch.filter(batch.column("context").is_valid())
         if not batch.num_rows:
             continue
         held.append(batch)
         size += batch.num_rows
-        if size >= MEMBERS:
+        if size >= SORTED:
             table = pa.Table.from_batches(held)
             group = table.column("hash").to_numpy()
             cut = int(np.searchsorted(group, group[-1], side="left"))  # the last group may go on
@@ -395,6 +448,14 @@ def _rows(docs: DataFrame) -> DataFrame:
     )
 
 
+def _hot_anchors(hits: DataFrame) -> frozenset[int]:
+    """Hashes of anchors with more places than one task should sort: at most ``HOT_ANCHORS``, whatever the size."""
+    counts = hits.select(F.explode("hits.hash").alias("hash")).groupBy("hash").count()
+    total = F.sum(F.size("hits"))
+    fair = max(MEMBERS, (hits.agg(total.alias("n")).first()["n"] or 0) // HOT_ANCHORS)
+    return frozenset(r["hash"] for r in counts.where(F.col("count") > fair).select("hash").collect())
+
+
 def removed_spans(docs: DataFrame, stage: Stage) -> DataFrame:
     """``record, start, end``: stretches to remove, in bytes; they may overlap and repeat."""
     n = partitions(docs.sparkSession)
@@ -402,28 +463,19 @@ def removed_spans(docs: DataFrame, stage: Stage) -> DataFrame:
     blobs = rows.select("record", "bytes").mapInArrow(_anchor_blobs(n), "bucket int, sent binary, known binary")
     repeats = blobs.repartition(n, "bucket").mapInArrow(_repeats, "record long, hash long, place long")
     hits = stage.keep(repeats.groupBy("record").agg(F.collect_list(F.struct("hash", "place")).alias("hits")), "anchors")
+    hot = docs.sparkSession.sparkContext.broadcast(_hot_anchors(hits))
     contexts = rows.join(hits, "record").select("record", "rank", "bytes", "hits").mapInArrow(
-        _contexts, "hash long, rank long, record long, place long, left int, right int, context binary"
+        _contexts(hot), "hash long, rank long, record long, place long, left int, right int, context binary"
     )
     grouped = contexts.repartition(n, "hash").sortWithinPartitions("hash", "rank", "record", "place")
     return grouped.mapInArrow(_sorted_windows, "record long, start long, end long")
 
 
-def _united(spans: list[dict]) -> list[tuple[int, int]]:
-    found: list[tuple[int, int]] = []
-    for start, end in sorted((s["start"], s["end"]) for s in spans):
-        if found and start <= found[-1][1]:
-            found[-1] = (found[-1][0], max(end, found[-1][1]))
-        else:
-            found.append((start, end))
-    return found
-
-
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         counts, kept = [], []
         for data, spans in zip(batch.column("bytes"), batch.column("spans")):
-            data, stretches = data.as_py(), _united(spans.as_py() or [])
+            data, stretches = data.as_py(), _united([(x["start"], x["end"]) for x in spans.as_py() or []])
             at, parts = 0, []
             for start, end in stretches:
                 parts.append(data[at:start])

@@ -39,13 +39,17 @@ def rows_of(frame) -> list[tuple]:
     return [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in frame.collect()]
 
 
-def test_against_all_windows(make_docs, stage):
+@pytest.mark.parametrize("members", [1 << 14, 3])
+def test_against_all_windows(make_docs, stage, monkeypatch, members):
+    """Also with almost every anchor hot."""
+    monkeypatch.setattr(suffixdedup, "MEMBERS", members)
     rows = texts()
     assert sorted(rows_of(suffixdedup.deduplicated(make_docs(rows), stage))) == sorted(brute(rows))
 
 
 def test_repeated_rows_and_null_ids(make_docs, stage):
-    text = "".join(random.Random(1).choice("abcdefgh") for _ in range(150))
+    r = random.Random(1)
+    text = "".join(r.choice("abcdefgh") for _ in range(150))
     got = rows_of(suffixdedup.deduplicated(make_docs([(5, text), (5, text), (None, text), (None, text)]), stage))
     assert sorted((r[0] is None, r[2]) for r in got) == [(False, 0), (False, 150), (True, 150), (True, 150)]
 
