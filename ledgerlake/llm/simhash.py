@@ -39,8 +39,8 @@ from ledgerlake.sinks.stage import Stage
 
 SEED = 42
 SHARD_MAX = 4096
-RADIUS = 16  # of 64 bits; at a Jaccard similarity of 0.8 about 10 bits differ
-BANDS, ROWS = 6, 2
+RADIUS = 26  # of 64 bits; at a Jaccard similarity of 0.8 about 10 bits differ, of unlike sets about 32
+BANDS, ROWS = 9, 2
 PIECE_MAX = 4096
 
 _MULTIPLIERS = np.random.default_rng(SEED).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -241,7 +241,7 @@ def classes(docs: DataFrame, stage: Stage, words: int = 3, radius: int = 2) -> D
 
 
 def sketch(text: str, words: int) -> tuple[int, bytes, list[int]]:
-    """Fingerprint, identity of the shingle set, and shard keys of one text."""
+    """Fingerprint and identity of the shingle set, and shard keys of one text."""
     hashes = shingle_hashes(text, words)
     own = np.unique(hashes)
     if not len(own):
@@ -250,7 +250,7 @@ def sketch(text: str, words: int) -> tuple[int, bytes, list[int]]:
         (own[:, None] * _MULTIPLIERS[at : at + ROWS] + _OFFSETS[at : at + ROWS]).min(axis=0) for at in range(0, BANDS * ROWS, ROWS)
     ])
     keys = [int(np.uint64(xxhash.xxh64_intdigest(mins[at : at + ROWS].tobytes(), at)).astype(np.int64)) for at in range(0, BANDS * ROWS, ROWS)]
-    return fingerprint(hashes), xxhash.xxh128_digest(own.tobytes()), keys
+    return fingerprint(own), xxhash.xxh128_digest(own.tobytes()), keys
 
 
 def _sketches(words: int):

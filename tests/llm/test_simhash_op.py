@@ -126,3 +126,13 @@ def test_bk_tree_follows_all_edges_in_reach():
         tree.add(v, i)
     for q in values[:40]:
         assert sorted(i for _, i in tree.near(q, 3)) == [i for i, v in enumerate(values) if (v ^ q).bit_count() <= 3]
+
+
+def test_repeats_of_a_shingle_do_not_hide_near_copies(make_docs, stage):
+    r = random.Random(11)
+    rows = []
+    for i in range(20):
+        text, line = [f"w{r.randrange(10**6)}" for _ in range(300)], [f"l{r.randrange(10**6)}" for _ in range(8)]
+        rows += [(2 * i, " ".join(text + line)), (2 * i + 1, " ".join(text + line * 60))]
+    got = simhash.near_groups(make_docs(rows), stage).collect()
+    assert {x.doc_id: x.group_id for x in got} == {i: i // 2 * 2 for i in range(40)}
