@@ -136,3 +136,27 @@ def test_repeats_of_a_shingle_do_not_hide_near_copies(make_docs, stage):
         rows += [(2 * i, " ".join(text + line)), (2 * i + 1, " ".join(text + line * 60))]
     got = simhash.near_groups(make_docs(rows), stage).collect()
     assert {x.doc_id: x.group_id for x in got} == {i: i // 2 * 2 for i in range(40)}
+
+
+def test_a_crowded_shard_is_dealt_to_many_tasks(make_docs, stage, monkeypatch):
+    """Largest group of rows that one key brings together, with a group of near copies that is 25 times as large."""
+    monkeypatch.setattr(simhash, "PIECE_MAX", 16)
+    r = random.Random(12)
+    base = [f"w{r.randrange(10**6)}" for _ in range(200)]
+    rows = []
+    for i in range(400):
+        own = list(base)
+        own[r.randrange(200)] = f"v{i}"
+        if i % 50 == 0:  # alike to few others
+            for at in range(0, 200, 32):
+                own[at] = f"u{i}-{at}"
+        rows.append((i, " ".join(own)))
+    held = []
+    pieces = simhash._pieces
+    monkeypatch.setattr(simhash, "_pieces", lambda left: held.append(pieces(left)) or held[-1])
+    sets = [frozenset(simhash.shingle_hashes(t, 5).tolist()) for _, t in rows]
+    classes = brute_classes(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
+    got = simhash.near_groups(make_docs(rows), stage).collect()
+    assert {x.doc_id: x.group_id for x in got} == dict(enumerate(classes))
+    counts = [x["count"] for h in held for x in h.groupBy("piece").count().collect()]
+    assert held and all(c <= 2 * 2 * 16 for c in counts) and sum(counts) < 10 * len(rows)
