@@ -7,7 +7,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.sinks.stage import Stage
@@ -55,5 +55,28 @@ def documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
 
 
+ROW = "_row_number"
+_ROW_BITS = 40  # for the place in a file; the rest of the positive numbers is for 8 million files
+
+
+def numbered(docs: DataFrame, stage: Stage) -> DataFrame:
+    """``docs`` with a number ``ROW`` for every row that is the same in each job that reads it.
+
+    ``monotonically_increasing_id`` depends on how files are split, and Spark splits them anew in every job by the
+    cores at hand.  Rows of a file scan are numbered by file and place in the file; only the numbers of the files
+    are staged.  Rows of any other plan are staged whole with their numbers.
+    """
+    plan = getattr(docs, "_jdf", None)
+    if plan is not None and docs.inputFiles() and plan.queryExecution().analyzed().children().isEmpty():
+        place = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+        files = place.select("_file").distinct()
+        # One row per file in one task, as in the driver's own list of files.
+        order = F.row_number().over(Window.orderBy("_file")) - 1
+        files = stage.keep(files.select("_file", order.cast("long").alias("_number")), "files")
+        number = F.shiftleft(F.col("_number"), _ROW_BITS).bitwiseOR(F.col("_place")).alias(ROW)
+        return place.join(F.broadcast(files), "_file").select(number, *docs.columns)
+    return stage.keep(docs.select(F.monotonically_increasing_id().alias(ROW), *docs.columns), "numbered")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

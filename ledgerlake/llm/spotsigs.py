@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import whole_text
+from ledgerlake.llm.common import ROW, numbered, whole_text
 from ledgerlake.operators.keys import dense_key
 from ledgerlake.sinks.stage import Stage
 
@@ -89,19 +89,19 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return with_signatures(own, {"fingerprint": "text"}).select("doc_id", "fingerprint")
 
 
-def _rows(docs: DataFrame) -> DataFrame:
+def _rows(docs: DataFrame, stage: Stage) -> DataFrame:
     text = whole_text()
-    return docs.select(
-        F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")
+    return numbered(docs, stage).select(
+        F.col(ROW).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")
     )
 
 
-def successors(docs: DataFrame, stage: Stage) -> DataFrame:
+def successors(rows: DataFrame, stage: Stage) -> DataFrame:
     """``row, previous, need``: the row before each row by descending id, and half that row's characters.
 
     The first row follows the last one.  Only ids and lengths are ranked, never texts.
     """
-    light = stage.keep(_rows(docs).select("row", "doc_id", F.length("text").cast("long").alias("n_chars")), "lengths")
+    light = stage.keep(rows.select("row", "doc_id", F.length("text").cast("long").alias("n_chars")), "lengths")
     ranked = stage.keep(dense_key(light, [F.col("doc_id").desc_nulls_last(), F.col("row")], "rank", stage), "ranked")
     total = light.count()
     after = F.when(F.col("rank") == total, 1).otherwise(F.col("rank") + 1)
@@ -115,8 +115,8 @@ def edited_and_next(docs: DataFrame, stage: Stage, least: float = LEAST) -> Data
     In the edited form the second half of a text is replaced by as much of the next document's beginning.
     Each text goes over the network once as itself and, cut to what is needed, once to its predecessor.
     """
-    rows = _rows(docs)
-    marked = rows.join(stage.keep(successors(docs, stage), "successors"), "row")
+    rows = _rows(docs, stage)
+    marked = rows.join(stage.keep(successors(rows, stage), "successors"), "row")
     given = with_signatures(marked, {"next_set": "text"}).select(
         F.col("previous").alias("row"), F.col("doc_id").alias("next_id"), "next_set",
         F.substring("text", F.lit(1), F.col("need")).alias("filler"),

@@ -34,7 +34,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import partitions
+from ledgerlake.llm.common import ROW, numbered, partitions
 from ledgerlake.sinks.stage import Stage
 
 LENGTH = 100
@@ -439,9 +439,9 @@ def _sorted_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield _judged(pa.Table.from_batches(held))
 
 
-def _rows(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.monotonically_increasing_id().alias("record"),
+def _rows(docs: DataFrame, stage: Stage) -> DataFrame:
+    return numbered(docs, stage).select(
+        F.col(ROW).alias("record"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce("doc_id", F.lit(int(_NO_ID))).cast("long").alias("rank"),
         F.coalesce("text", F.lit("")).cast("binary").alias("bytes"),
@@ -456,14 +456,13 @@ def _hot_anchors(hits: DataFrame) -> frozenset[int]:
     return frozenset(r["hash"] for r in counts.where(F.col("count") > fair).select("hash").collect())
 
 
-def removed_spans(docs: DataFrame, stage: Stage) -> DataFrame:
+def removed_spans(rows: DataFrame, stage: Stage) -> DataFrame:
     """``record, start, end``: stretches to remove, in bytes; they may overlap and repeat."""
-    n = partitions(docs.sparkSession)
-    rows = _rows(docs)
+    n = partitions(rows.sparkSession)
     blobs = rows.select("record", "bytes").mapInArrow(_anchor_blobs(n), "bucket int, sent binary, known binary")
     repeats = blobs.repartition(n, "bucket").mapInArrow(_repeats, "record long, hash long, place long")
     hits = stage.keep(repeats.groupBy("record").agg(F.collect_list(F.struct("hash", "place")).alias("hits")), "anchors")
-    hot = docs.sparkSession.sparkContext.broadcast(_hot_anchors(hits))
+    hot = rows.sparkSession.sparkContext.broadcast(_hot_anchors(hits))
     contexts = rows.join(hits, "record").select("record", "rank", "bytes", "hits").mapInArrow(
         _contexts(hot), "hash long, rank long, record long, place long, left int, right int, context binary"
     )
@@ -488,7 +487,8 @@ def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def deduplicated(docs: DataFrame, stage: Stage) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` per row of ``docs``; ``kept`` holds the bytes that remain."""
-    spans = stage.keep(removed_spans(docs, stage), "spans")
+    rows = _rows(docs, stage)
+    spans = stage.keep(removed_spans(rows, stage), "spans")
     by_record = spans.groupBy("record").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    joined = _rows(docs).join(by_record, "record", "left").select("doc_id", "bytes", "spans")
+    joined = rows.join(by_record, "record", "left").select("doc_id", "bytes", "spans")
     return joined.mapInArrow(_without, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")

@@ -24,3 +24,21 @@ def make_docs(spark, tmp_path):
         return spark.read.parquet(path)
 
     return make
+
+
+@pytest.fixture
+def other_splits(spark, stage, monkeypatch):
+    """After each staged table files are split otherwise, as when executors come or go."""
+    name, keep = "spark.sql.files.openCostInBytes", stage.keep
+    before = spark.conf.get(name)
+
+    def kept(frame, table):
+        done = keep(frame, table)
+        kept.n += 1
+        spark.conf.set(name, str(1 << 27) if kept.n % 2 else "1")
+        return done
+
+    kept.n = 0
+    monkeypatch.setattr(stage, "keep", kept)
+    yield stage
+    spark.conf.set(name, before)

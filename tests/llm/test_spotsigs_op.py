@@ -79,3 +79,14 @@ def test_pruning_by_length_loses_nothing(spark):
     for a, b, exact, pruned in frame.select("a", "b", spotsigs.likeness(F.col("a"), F.col("b"), 0.001), spotsigs.likeness(F.col("a"), F.col("b"), 0.5)).collect():
         assert pruned == (exact if exact >= 0.5 else pruned)
         assert pruned in (0.0, exact)
+
+
+def test_other_file_splits_in_each_job(make_docs, other_splits):
+    texts = {i: f"text{i} is a " * (i + 3) for i in range(40)}
+    got = {r.doc_id: r for r in spotsigs.edited_and_next(make_docs(list(texts.items()), files=7), other_splits).collect()}
+    assert len(got) == 40
+    for i, own in texts.items():
+        after = texts[(i - 1) % 40]
+        half = len(own) // 2
+        assert got[i].next_id == (i - 1) % 40
+        assert got[i].edited_sha256 == hashlib.sha256((own[: len(own) - half] + after[:half]).encode()).hexdigest()

@@ -88,3 +88,11 @@ def test_suffix_order_survives_misleading_hashes(broken):
         a, b = keys[at - 1], keys[at]
         common = next((k for k in range(min(len(a[1]), len(b[1]))) if a[1][k] != b[1][k]), min(len(a[1]), len(b[1])))
         assert shared[at] == (common if a[0] == b[0] else -1)
+
+
+@pytest.mark.parametrize("derived", [False, True])
+def test_other_file_splits_in_each_job(make_docs, other_splits, derived):
+    rows = texts()
+    docs = make_docs(rows, files=7)
+    docs = docs.where("doc_id IS NOT NULL") if derived else docs
+    assert sorted(rows_of(suffixdedup.deduplicated(docs, other_splits))) == sorted(brute(rows))
