@@ -4,9 +4,12 @@ Passages are overlapping windows of a document, twice as long as the longest ite
 lies whole in one of them.  The index holds BM25 impacts divided by the item's threshold (``SHARE`` of the score
 an item gives itself), in blocks of items with the largest impact of each term per block.  As in block-max WAND,
 a block is scored only for passages whose bound over the block reaches the threshold; all items above it are
-retrieved, not a top k.  What is retrieved is verified: of the five-word shingles of the item's question and of
-its answer, each part must be in the passage to ``OVERLAP``.  A copy that passes verification and keeps its rare
-words scores above the threshold.
+retrieved, not a top k.  What is retrieved is verified.  It is a leak if the passage holds ``OVERLAP`` of the
+five-word shingles of the item's question and of its answer each, or of the words of each where the item is laid
+beside its best place in the passage (a changed word breaks up to five shingles, but is one word).  A part may also
+lack one word if the item keeps ``ALIGNED`` of its words, and half of its words if the passage holds ``OVERLAP`` of the
+shingles of the whole item; so a question without its answer is no leak.  A copy that passes verification and keeps
+its rare words scores above the threshold.
 
 The last sentence of an item is its answer, the words before it are its question; an item of one sentence is
 halved.  Words are runs without white space, lower case, less all that is not a letter or digit.  Items
@@ -39,6 +42,7 @@ K1, B = 1.2, 0.75
 SHARE = 0.5
 SHINGLE = 5
 OVERLAP = 0.8
+ALIGNED = 0.9
 LEAST_WINDOW = 64
 PASSAGES = 256  # passages scored at a time
 
@@ -71,6 +75,41 @@ def parts_of(ids: list[int], question: int) -> tuple[set[tuple], set[tuple]]:
     return ask, answer
 
 
+def common_subsequence(own: list[int], other: list[int]) -> int:
+    """Length of the longest common subsequence, a bit of one number for each element of the first list."""
+    places: dict[int, int] = {}
+    for i, x in enumerate(own):
+        places[x] = places.get(x, 0) | 1 << i
+    full = (1 << len(own)) - 1
+    row = full
+    for x in other:
+        hit = row & places.get(x, 0)
+        row = (row + hit | row - hit) & full
+    return len(own) - row.bit_count()
+
+
+def aligned(item: list[int], question: int, passage: list[int]) -> tuple[int, int]:
+    """How many words of question and answer are in the passage in order, where the item is laid beside its best place.
+
+    The best place is the shift with the most equal words; a fifth of the item's length is added on both sides.
+    """
+    places: dict[int, list[int]] = {}
+    for at, x in enumerate(passage):
+        places.setdefault(x, []).append(at)
+    shifts = Counter(at - i for i, x in enumerate(item) for at in places.get(x, ()))
+    if not shifts:
+        return 0, 0
+    best = max(shifts.values())
+    shift, slack = min(s for s, c in shifts.items() if c == best), len(item) // 5 + 1
+    start = max(0, shift - slack)
+    cut = max(start, shift + question)
+    upto = shift + len(item) + slack
+    return (
+        common_subsequence(item[:question], passage[start : cut + slack]),
+        common_subsequence(item[question:], passage[max(start, cut - slack) : upto]),
+    )
+
+
 class _Terms(dict):
     """Raw token to term number: -1 for words of no item, -2 for tokens without a word."""
 
@@ -92,6 +131,7 @@ class Index:
     impacts: np.ndarray
     bounds: np.ndarray
     parts: list[tuple[set[tuple], set[tuple]]]
+    words: list[tuple[list[int], int]]  # and how many of them are the question's
     window: int
     terms: _Terms = field(default_factory=_Terms)
 
@@ -127,7 +167,8 @@ def build_index(items: list[tuple[int | None, str]]) -> Index:
     longest = max(map(len, rows), default=1)
     index = Index(
         [x[0] for x in texts], vocabulary, impacts, bounds,
-        [parts_of(r, question_length(x[1])) for r, x in zip(rows, texts)], max(LEAST_WINDOW, 2 * longest) // 2 * 2,
+        [parts_of(r, question_length(x[1])) for r, x in zip(rows, texts)],
+        [(r, question_length(x[1])) for r, x in zip(rows, texts)], max(LEAST_WINDOW, 2 * longest) // 2 * 2,
     )
     index.terms.vocabulary = vocabulary
     return index
@@ -153,6 +194,27 @@ def retrieved(index: Index, ids: np.ndarray) -> Iterator[tuple[int, int, int, fl
                 yield start, min(start + 2 * step, len(ids)), at + k, float(scores[k])
 
 
+def near_copy(index: Index, item: int, passage: list[int], inside: set[tuple]) -> tuple[float, float] | None:
+    """Shares of question and answer in a passage if it holds a copy with some words changed."""
+    words, question = index.words[item]
+    n = len(words)
+    if n <= SHINGLE or not 0 < question < n:
+        return None
+    shingles = {tuple(words[i : i + SHINGLE]) for i in range(n - SHINGLE + 1)}
+    whole = len(shingles & inside) >= OVERLAP * len(shingles)
+    if not whole and sum(x in passage for x in words) < OVERLAP * n:
+        return None
+    q, a = aligned(words, question, passage)
+    least = 1 if q + a >= ALIGNED * n else 0
+
+    def enough(found: int, size: int) -> bool:
+        return found >= OVERLAP * size or found >= size - least or whole and 2 * found >= size
+
+    if enough(q, question) and enough(a, n - question):
+        return q / question, a / (n - question)
+    return None
+
+
 def leaks_in(index: Index, text: str) -> list[tuple[int | None, float, float, float]]:
     """``item_id, score, question, answer`` of the items that a text contains, each with its best passage."""
     if not index.item_ids:
@@ -173,7 +235,10 @@ def leaks_in(index: Index, text: str) -> list[tuple[int | None, float, float, fl
         else:
             inside = shingles
         q, a = len(ask & inside) / len(ask), len(answer & inside) / len(answer)
-        if min(q, a) >= OVERLAP and (item not in best or best[item] < (q + a, score)):
+        found = min(q, a) >= OVERLAP
+        if not found and (near := near_copy(index, item, ids[start:end].tolist(), inside)):
+            (q, a), found = near, True
+        if found and (item not in best or best[item] < (q + a, score)):
             best[item] = (q + a, score, q, a)
     return [(index.item_ids[i], s * SHARE, q, a) for i, (_, s, q, a) in sorted(best.items())]
 

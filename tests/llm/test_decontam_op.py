@@ -83,3 +83,20 @@ def test_bounds_lose_no_item_above_the_threshold():
         terms = np.unique(ids[start : start + 2 * step])
         scores = index.impacts[terms[terms >= 0]].sum(axis=0)
         assert {k for k in np.flatnonzero(scores >= 1)} <= {k for s, k in got if s == start}
+
+
+def test_every_one_word_edit_is_found_and_a_question_alone_is_not(spark, make_docs):
+    benchmark = [(i, t) for i, t in items()[:40]][:8]
+    rows, n = [], 0
+    for _, text in benchmark:
+        words = text.split()
+        for at in range(len(words)):
+            changed = "other." if words[at].endswith(".") else "other"
+            rows.append((n, " ".join([*words[:at], changed, *words[at + 1 :]])))
+            n += 1
+    short = (99, "bako23 gide4 fuba77 coda12 dibe81 gafu5 bice19 cofi33 dubo62 gebi7 fada90 cuge14. bofa3 digu8.")
+    words = short[1].split()
+    rows += [(n + i, " ".join([*words[:i], "new", *words[i:]])) for i in range(len(words))]
+    rows += [(-1, " ".join(words[:7])), (-2, " ".join(reversed(words)))]
+    got = decontam.contaminated(make_docs(rows), spark.createDataFrame([*benchmark, short], "item_id long, text string")).collect()
+    assert {x.doc_id for x in got} == {i for i, _ in rows if i >= 0}
