@@ -3,8 +3,9 @@
 A payload is never handled as one block beyond the cell it arrives in: it becomes rows of record number,
 chunk number, a chunk of at most ``CHUNK`` bytes and the running SHA-1 and size so far.  Each chunk is then
 one WARC record; chunks after the first are ``continuation`` records (segmentation as in WARC 1.1).  Chunks
-end between characters, and also inside any occurrence of the record separator, so that an archive can be
-split at separators by parallel readers whatever the payloads hold.
+end between characters, and also inside any occurrence of the record separator and of its visible part at a chunk's
+end, which the line end behind the chunk would complete.  So an archive can be split at separators by parallel
+readers whatever the payloads hold.
 
 Of records with equal payloads (same SHA-1 and size, at least ``least`` bytes) the one with the smallest
 page id is a ``response``, the others are ``revisit`` records that refer to it.  A NULL payload is empty;
@@ -45,8 +46,9 @@ def base32_sha1(digest) -> str:
 
 
 def chunk_bounds(data: bytes, size: int) -> Iterator[tuple[int, int]]:
-    """Where a payload is cut: by size, between characters, and within each separator."""
+    """Where a payload is cut: by size, between characters, and within each separator, also one that a line end completes."""
     mark = SEPARATOR.encode()
+    open_mark = mark.rstrip()
     start, at = 0, data.find(mark)
     while True:
         end = min(len(data), start + size)
@@ -55,8 +57,10 @@ def chunk_bounds(data: bytes, size: int) -> Iterator[tuple[int, int]]:
         while start < end < len(data) and data[end] & 0xC0 == 0x80:
             end -= 1
         if 0 <= at < end - len(mark) + 1:
-            end = at + len(mark) - 2
+            end = at + len(open_mark) - 1
             at = data.find(mark, end)
+        elif data.endswith(open_mark, start, end):
+            end -= 1
         yield start, end
         if end >= len(data):
             return
@@ -128,8 +132,9 @@ def write_archives(chunks: DataFrame, repeated: DataFrame, path: str) -> None:
     again = repeated.select("record", "refers_to", F.col("digest").alias("of_digest"), F.col("bytes").alias("of_bytes"))
     rows = chunks.join(again, "record", "left").where(F.col("refers_to").isNull() | (F.col("chunk_no") == 0))
     revisit = F.col("refers_to").isNotNull()
-    # Blanks, control and other characters in a URL must not end its header line.
-    uri = F.when(F.col("url").rlike(r"\A[!-~]*\z"), F.col("url")).otherwise(F.url_encode("url"))
+    # Blanks, control and other characters in a URL must not end its header line, nor its line end make a separator.
+    plain = F.col("url").rlike(r"\A[!-~]*\z") & ~F.col("url").endswith(SEPARATOR.rstrip())
+    uri = F.when(plain, F.col("url")).otherwise(F.url_encode("url"))
     chunk = F.when(revisit, F.lit("")).otherwise(F.col("chunk").cast("string"))
     size = F.when(revisit, F.lit(0)).otherwise(F.octet_length("chunk"))
     identity = F.concat(F.lit("<urn:record:"), F.col("record").cast("string"))

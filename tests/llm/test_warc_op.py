@@ -71,3 +71,15 @@ def test_chunks_never_hold_a_separator():
 
 def test_empty_table(spark, stage):
     assert warc.archived(spark.createDataFrame([], SCHEMA), stage).collect() == []
+
+
+def test_no_line_end_completes_a_separator(spark, stage):
+    texts = ["a WARC/1.1\r\nb", "ends in WARC/1.1", "WARC/1.1", "xWARC/1.1WARC/1.1\r\nWARC/1.1"]
+    for size in (8, 12, 18, 64):
+        for data in (t.encode() for t in texts):
+            cuts = list(warc.chunk_bounds(data, size))
+            assert b"".join(data[a:b] for a, b in cuts) == data and all(a < b for a, b in cuts)
+            assert all(warc.SEPARATOR.encode() not in data[a:b] + b"\r\n" for a, b in cuts)
+    rows = [(i, "http://a/WARC/1.1", t, 1, "d", "c") for i, t in enumerate(texts)]
+    got = warc.archived(spark.createDataFrame(rows, SCHEMA), stage).collect()
+    assert sorted((r.page_id, r.payload_digest) for r in got) == [(i, digest(t)) for i, t in enumerate(texts)]
