@@ -12,12 +12,15 @@ from ledgerlake.llm import (
     bpe,
     chat,
     decontam,
+    divergence,
     pii,
     quality,
     simhash,
     spotsigs,
     suffixdedup,
+    topk,
     urlfilter,
+    vectorcodes,
     warc,
 )
 from ledgerlake.llm.common import ship, staging
@@ -89,6 +92,21 @@ def op10_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op11_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, staging(spark, "op11"))
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    stage = staging(spark, "op12")
+    codes, books = vectorcodes.compress(_table(spark, folder, "embeddings"), stage)
+    done = vectorcodes.with_label_errors(codes, stage)
+    return done.select("vec_id", "code", "error", "label_error", F.lit(vectorcodes.digest(books)).alias("codebooks_sha256"))
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence.audit(_table(spark, folder, "documents"), staging(spark, "op13"))
+
+
 _NAMED = (
     op1_simhash_bktree,
     op2_quality_ranking,
@@ -100,6 +118,9 @@ _NAMED = (
     op8_url_filter,
     op9_chat_format,
     op10_suffix_dedup,
+    op11_exact_topk,
+    op12_vector_codes,
+    op13_source_divergence,
 )
 
 

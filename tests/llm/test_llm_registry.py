@@ -26,11 +26,14 @@ COLUMNS = {
     "op8": ["page_id", "host", "path", "rule", "verdict"],
     "op9": ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
     "op10": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+    "op11": ["query_id", "rank", "vec_id", "score"],
+    "op12": ["vec_id", "code", "error", "label_error", "codebooks_sha256"],
+    "op13": ["lang", "source", "part", "item", "value", "rank"],
 }
 
 
 def test_one_query_for_each_operator():
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
