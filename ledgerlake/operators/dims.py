@@ -54,7 +54,7 @@ def calendar(bounds: DataFrame, first_key: int = 1) -> DataFrame:
 
 
 def day_bounds(table: DataFrame) -> DataFrame:
-    """First and last day of a day-partitioned table, from its partition columns alone."""
+    """First and last day of a table, from its date columns alone."""
     days = table.select(*schemas.DAY_PARTS).distinct().select(parts_date().alias("_day"))
     return days.agg(F.min("_day").alias("min_trans_date"), F.max("_day").alias("max_trans_date"))
 

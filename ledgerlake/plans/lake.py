@@ -8,6 +8,7 @@ and nothing overwrites a folder it is reading.
 from __future__ import annotations
 
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +16,11 @@ from pyspark.sql import functions as F
 from ledgerlake import schemas
 from ledgerlake.operators.curate import curate_transactions
 from ledgerlake.operators.fact import profile_fact
+from ledgerlake.plans.together import together
 from ledgerlake.sinks.files import child_folders, delete_tree, exists
-from ledgerlake.sinks.partitions import write_partitioned
+from ledgerlake.sinks.partitions import day_folder, month_folder, replace_day, replace_day_in_month, write_partitioned
 from ledgerlake.sinks.tables import create_table, drop_tables, register_partitions
-from ledgerlake.sources.layers import day_slice, scan_table
+from ledgerlake.sources.layers import day_slice, scan_folder, scan_table
 
 # Readers that started before a switch may still be on the previous version.
 KEPT_VERSIONS = 2
@@ -62,7 +64,12 @@ class Lake:
         return scan_table(self.spark, self.path(table), schemas.STORED[table][0])
 
     def day(self, table: str, day: date) -> DataFrame:
-        return day_slice(self.stored(table), day)
+        """One day of a table; of its folders only the one that may hold the day is looked at."""
+        schema, parts = schemas.STORED[table]
+        path = self.path(table)
+        folder = (day_folder if parts == schemas.DAY_PARTS else month_folder)(path, day)
+        rows = scan_folder(self.spark, path, folder, schema) if exists(self.spark, folder) else self.stored(table)
+        return day_slice(rows, day)
 
     def read(self, table: str) -> DataFrame:
         """The table under its full contract, with the measures of the user or the month joined on."""
@@ -94,15 +101,27 @@ class Lake:
 
     def create_missing(self) -> None:
         """Give every table that has not been loaded an empty first version."""
-        for table, (schema, _) in schemas.STORED.items():
-            if not self.exists(table):
-                self.write_version(table, self.spark.createDataFrame([], schema).coalesce(1))
+        missing = [t for t in schemas.STORED if not self.exists(t)]
+
+        def create(table: str) -> int:
+            return self.write_version(table, self.spark.createDataFrame([], schemas.STORED[table][0]).coalesce(1))
+
+        if missing:
+            together(*[partial(create, table) for table in missing])
 
     def append(self, table: str, df: DataFrame) -> int:
         """Add rows to the current version."""
         df = df.select(*schemas.names(schemas.STORED[table][0]))
         return self._write(df, self.path(table), schemas.STORED[table][1], "append")
 
+    def replace_day(self, table: str, df: DataFrame, day: date) -> int:
+        """Make ``df``'s rows of ``day`` the only ones of that day in the current version."""
+        schema, parts = schemas.STORED[table]
+        df = df.select(*schemas.names(schema))
+        if parts == schemas.DAY_PARTS:
+            return replace_day(df, self.path(table), day)
+        return replace_day_in_month(df, self.stored(table), self.path(table), day)
+
     @staticmethod
     def _write(df: DataFrame, path: str, parts: tuple[str, ...], mode: str) -> int:
         if parts:

@@ -22,7 +22,8 @@ from ledgerlake.operators.newrows import incremental_new_rows, new_rows, with_ke
 from ledgerlake.operators.skew import join_unique, key_counts
 from ledgerlake.plans.lake import Lake
 from ledgerlake.plans.together import together
-from ledgerlake.sinks.partitions import late_day_refresh, replace_day, stamp
+from ledgerlake.sinks.files import delete_tree
+from ledgerlake.sinks.partitions import late_day_refresh, many_folders, stamp
 from ledgerlake.sinks.stage import Stage
 from ledgerlake.sources.feeds import LANDED, bad_line_count, bad_lines, good_rows, scan_feed
 
@@ -88,7 +89,8 @@ def land_all(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: Ru
         _rewrite(lake, f"raw.{feed}", landing.rows, report)
         landing.set_aside(lake, report)
 
-    together(*[partial(land, feed) for feed in FEED_NAMES])
+    with many_folders(spark):
+        together(*[partial(land, feed) for feed in FEED_NAMES])
 
 
 def land_day(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: RunContext, report: LoadReport) -> None:
@@ -112,15 +114,22 @@ def _set_aside(lake: Lake, name: str, ctx: RunContext) -> str:
     return f"{lake.root}/quarantine/{name}/{run}"
 
 
-def _quarantine(
-    lake: Lake, feed: str, source: DataFrame, keys: list[str], ctx: RunContext, report: LoadReport
-) -> DataFrame:
-    """Set rows without a natural key aside; returns the others."""
-    seen = Observation()
-    lost = without_key(source, keys).observe(seen, F.count(F.lit(1)).alias("rows"))
-    lost.write.mode("overwrite").parquet(_set_aside(lake, f"{feed}_without_key", ctx))
-    report.rejects[f"{feed} without key"] = seen.get["rows"]
-    return with_key(source, keys)
+class _Keyed:
+    """Source rows with a natural key; those without one are counted on the way and set aside afterwards."""
+
+    def __init__(self, feed: str, source: DataFrame, keys: list[str]) -> None:
+        self._feed, self._source, self._keys, self._lost = feed, source, keys, Observation()
+        missing = F.greatest(*[F.col(k).isNull() for k in keys]) if len(keys) > 1 else F.col(keys[0]).isNull()
+        self.rows = with_key(source.observe(self._lost, F.count(F.when(missing, 1)).alias("n")), keys)
+
+    def set_aside(self, lake: Lake, ctx: RunContext, report: LoadReport) -> None:
+        """Keep the rows without a key, once ``rows`` has been read to the end. Most often there are none to read."""
+        lost, path = self._lost.get["n"], _set_aside(lake, f"{self._feed}_without_key", ctx)
+        report.rejects[f"{self._feed} without key"] = lost
+        if lost:
+            without_key(self._source, self._keys).write.mode("overwrite").parquet(path)
+        else:
+            delete_tree(lake.spark, path)
 
 
 def _curate_trans(valid: DataFrame) -> tuple[DataFrame, Observation]:
@@ -176,16 +185,16 @@ def _rewrite(lake: Lake, table: str, df: DataFrame, report: LoadReport) -> None:
 
 
 def _curate_all_users(lake: Lake, ctx: RunContext, report: LoadReport) -> None:
-    valid = _quarantine(lake, "users", lake.stored("raw.users"), ["user_id"], ctx, report)
-    _rewrite(lake, "curated.users", curate.curate_users(curate.dedupe_users(valid), ctx), report)
+    keyed = _Keyed("users", lake.stored("raw.users"), ["user_id"])
+    _rewrite(lake, "curated.users", curate.curate_users(curate.dedupe_users(keyed.rows), ctx), report)
+    keyed.set_aside(lake, ctx, report)
 
 
 def _curate_all_transactions(lake: Lake, ctx: RunContext, report: LoadReport) -> None:
-    valid = _quarantine(
-        lake, "transactions", lake.stored("raw.transactions"), ["transaction_id"], ctx, report
-    )
-    core, seen = _curate_trans(curate.dedupe_transactions(valid))
+    keyed = _Keyed("transactions", lake.stored("raw.transactions"), ["transaction_id"])
+    core, seen = _curate_trans(curate.dedupe_transactions(keyed.rows))
     _rewrite(lake, "curated.transactions", core, report)
+    keyed.set_aside(lake, ctx, report)
     report.rejects["transactions amounts"] = seen.get["amounts"]
     daily = curate.trans_daily(lake.stored("curated.transactions"))
     _rewrite(lake, "curated.trans_daily", daily, report)
@@ -241,8 +250,9 @@ def _add(lake: Lake, table: str, df: DataFrame, report: LoadReport) -> None:
 
 
 def _curate_users_of_day(lake: Lake, ctx: RunContext, stage: Stage, report: LoadReport) -> None:
-    valid = _quarantine(lake, "users", lake.day("raw.users", ctx.slice_day), ["user_id"], ctx, report)
-    users = stage.keep(curate.dedupe_users(valid), "users")
+    keyed = _Keyed("users", lake.day("raw.users", ctx.slice_day), ["user_id"])
+    users = stage.keep(curate.dedupe_users(keyed.rows), "users")
+    keyed.set_aside(lake, ctx, report)
     # All curated users, not one day of them: a user sent again on a later day stays one row.
     users = new_rows(users, lake.stored("curated.users"), ["user_id"], unique=True)
     _add(lake, "curated.users", curate.curate_users(users, ctx), report)
@@ -250,16 +260,17 @@ def _curate_users_of_day(lake: Lake, ctx: RunContext, stage: Stage, report: Load
 
 def _curate_transactions_of_day(lake: Lake, ctx: RunContext, stage: Stage, report: LoadReport) -> None:
     day, key = ctx.slice_day, ["transaction_id"]
-    valid = _quarantine(lake, "transactions", lake.day("raw.transactions", day), key, ctx, report)
-    core, seen = _curate_trans(curate.dedupe_transactions(valid))
+    keyed = _Keyed("transactions", lake.day("raw.transactions", day), key)
+    core, seen = _curate_trans(curate.dedupe_transactions(keyed.rows))
     core = stage.keep(core, "core")
+    keyed.set_aside(lake, ctx, report)
     report.rejects["transactions amounts"] = seen.get["amounts"]
     # All days and not this one only: an id that is sent again under another day stays one row.  Of the other
     # days the id column alone is read.
     core = new_rows(core, lake.stored("curated.transactions"), key, unique=True)
     _add(lake, "curated.transactions", core, report)
     daily = curate.trans_daily(lake.day("curated.transactions", day))
-    report.rows["curated.trans_daily"] = replace_day(daily, lake.path("curated.trans_daily"), day)
+    report.rows["curated.trans_daily"] = lake.replace_day("curated.trans_daily", daily, day)
     _rewrite_profile(lake, report)
 
 
@@ -338,7 +349,7 @@ def _users_with_older_rows(lake: Lake, day: date) -> DataFrame:
 
 
 def _older_rows(lake: Lake, users: DataFrame, day: date) -> DataFrame:
-    """Transactions of ``users`` on other days, read from the folders of the days they occur on."""
+    """Transactions of ``users`` on other days, read from the months they occur in."""
     other = ~F.coalesce(on_day(day), F.lit(False))
     parts = list(schemas.DAY_PARTS)
     daily = lake.stored("curated.trans_daily").where(other)

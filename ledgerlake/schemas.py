@@ -22,6 +22,10 @@ _TYPES = {
 MONEY = "decimal(28,6)"
 
 DAY_PARTS = ("cryear", "crmonth", "crday")
+# Above the raw layer a table has a folder per month; within it rows lie by day, so that the minima and maxima of
+# Parquet row groups find a day. A folder per day would make as many files as there are days, however few the rows.
+DAY_MONTHS = DAY_PARTS[:2]
+DAY_IN_MONTH = DAY_PARTS[2:]
 
 
 def _contract(text: str) -> T.StructType:
@@ -186,15 +190,20 @@ STORED = {
     "raw.users": (SOURCE_USERS, DAY_PARTS),
     "raw.transactions": (SOURCE_TRANSACTIONS, DAY_PARTS),
     "raw.analytics": (SOURCE_ANALYTICS, DAY_PARTS),
-    "curated.users": (CURATED_USERS, DAY_PARTS),
-    "curated.transactions": (TRANS_CORE, DAY_PARTS),
-    "curated.trans_daily": (TRANS_DAILY, DAY_PARTS),
+    "curated.users": (CURATED_USERS, DAY_MONTHS),
+    "curated.transactions": (TRANS_CORE, DAY_MONTHS),
+    "curated.trans_daily": (TRANS_DAILY, DAY_MONTHS),
     "curated.trans_profile": (PROFILE_STORE, ()),
-    "curated.analytics": (CURATED_ANALYTICS, DAY_PARTS),
+    "curated.analytics": (CURATED_ANALYTICS, DAY_MONTHS),
     "consumption.date_dim": (DATE_DIM, ()),
     "consumption.user_dim": (USER_DIM_STORE, ()),
-    "consumption.trans_dim": (TRANS_DIM_STORE, DAY_PARTS),
+    "consumption.trans_dim": (TRANS_DIM_STORE, DAY_MONTHS),
     "consumption.analytics_dim": (ANALYTICS_DIM_STORE, ()),
     "consumption.profile_fact": (FACT_STORE, MONTH_PARTS),
     "consumption.gmv_per_month": (GMV, ()),
 }
+
+
+def order_within(parts: tuple[str, ...]) -> tuple[str, ...]:
+    """The columns that order rows within the folders of a table partitioned by ``parts``."""
+    return DAY_IN_MONTH if parts == DAY_MONTHS else ()

@@ -1,16 +1,28 @@
-"""Day-partitioned Parquet: append, replace a day, late-day refresh."""
+"""Partitioned Parquet: append, replace a day, late-day refresh.
+
+Two layouts: a folder per day (the raw layer, where days are registered and replaced), and a folder per month with
+rows in day order (all else).
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake.context import RunContext
 from ledgerlake.functions.dates import on_day, without_parts
-from ledgerlake.schemas import DAY_PARTS
+from ledgerlake.schemas import DAY_MONTHS, DAY_PARTS, order_within
+
+# Row groups of a month in day order: small ones leave more to skip when a day is read.
+ROW_GROUP_BYTES = 32 << 20
+
+# Adaptive planning joins shuffle partitions up to this size, whatever the number of folders they are written to.
+_LEAST_PARTITION = "spark.sql.adaptive.coalescePartitions.minPartitionSize"
+_LEAST_BYTES = "4k"
 
 
 def stamp(df: DataFrame, ctx: RunContext) -> DataFrame:
@@ -29,6 +41,27 @@ def rebalance(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.hint("rebalance", *[F.col(c) for c in by])
 
 
+@contextmanager
+def many_folders(spark: SparkSession) -> Iterator[None]:
+    """For writes into far more folders than their bytes suggest: few rows of many days are written by all cores.
+
+    Opening a file costs some milliseconds. Without this, up to a megabyte is written by one task, which may be years
+    of days. Large writes are not affected, as each of their tasks is beyond either size.
+    """
+    before = spark.conf.get(_LEAST_PARTITION)
+    spark.conf.set(_LEAST_PARTITION, _LEAST_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.set(_LEAST_PARTITION, before)
+
+
+def in_folder_order(df: DataFrame, parts: Sequence[str], by: Sequence[str] | None = None) -> DataFrame:
+    """Rows brought together by folder, and in the order they have within one."""
+    together, within = rebalance(df, by or parts), order_within(tuple(parts))
+    return together.sortWithinPartitions(*parts, *within) if within else together
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
@@ -43,10 +76,11 @@ def write_partitioned(
     """
     seen = Observation()
     (
-        rebalance(df, by or parts)
+        in_folder_order(df, parts, by)
         .observe(seen, F.count(F.lit(1)).alias("rows"))
         .write.mode(mode)
         .option("compression", "snappy")
+        .option("parquet.block.size", ROW_GROUP_BYTES)
         .option("partitionOverwriteMode", "static")
         .partitionBy(*parts)
         .parquet(path)
@@ -78,8 +112,40 @@ def replace_day(df: DataFrame, path: str, day: date) -> int:
     return written
 
 
+def replace_day_in_month(df: DataFrame, stored: DataFrame, path: str, day: date) -> int:
+    """``replace_day`` for a table with month folders; returns the number of ``df``'s rows of ``day``.
+
+    The month is written again, with the other days' rows of ``stored``, and no other month is read or written. The
+    new files are complete before the old ones go; a repeated run gives the same.
+    """
+    fresh, seen = df.where(on_day(day)), Observation()
+    month = (F.col("cryear") == day.year) & (F.col("crmonth") == day.month)
+    others = stored.where(month & ~F.coalesce(F.col("crday") == day.day, F.lit(False)))
+    both = fresh.select(*stored.columns).unionByName(others)
+    of_day = F.count(F.when(F.col("crday") == day.day, 1))
+    (
+        in_folder_order(both, DAY_MONTHS)
+        .observe(seen, of_day.alias("rows"), F.count(F.lit(1)).alias("all"))
+        .write.mode("overwrite")
+        .option("compression", "snappy")
+        .option("parquet.block.size", ROW_GROUP_BYTES)
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*DAY_MONTHS)
+        .parquet(path)
+    )
+    if seen.get["all"] == 0:
+        # Dynamic overwrite leaves a folder alone when there is nothing to write into it.
+        empty = stored.drop(*DAY_MONTHS).limit(0)
+        empty.write.mode("overwrite").option("compression", "snappy").parquet(month_folder(path, day))
+    return seen.get["rows"]
+
+
+def month_folder(path: str, day: date) -> str:
+    return f"{path}/cryear={day.year}/crmonth={day.month}"
+
+
 def day_folder(path: str, day: date) -> str:
-    return f"{path}/cryear={day.year}/crmonth={day.month}/crday={day.day}"
+    return f"{month_folder(path, day)}/crday={day.day}"
 
 
 def late_day_refresh(feed: DataFrame, path: str, ctx: RunContext) -> int:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
+from pyspark.sql import functions as F
+
 from ledgerlake import schemas
 from ledgerlake.context import INCREMENTAL_LOAD, RunContext, load_clock, save_clock
 from ledgerlake.functions.dates import with_compact_parts, with_iso_parts
@@ -168,3 +170,48 @@ def test_append_matches_columns_by_name(spark):
     tables.append_rows(a.select("business_id", "user_id"), "append_users")
     assert [tuple(r) for r in spark.table("append_users").collect()] == [("1", "x")] * 2
     tables.drop_tables(spark, ["append_users"])
+
+
+def test_a_day_of_a_month_touches_few_row_groups(spark, tmp_path, monkeypatch):
+    """Month folders in day order: footers alone tell which row groups may hold a day."""
+    import pyarrow.parquet as pq
+
+    monkeypatch.setattr(partitions, "ROW_GROUP_BYTES", 1 << 14)
+    rows = spark.range(60_000).select(
+        F.lit(2024).alias("cryear"), (F.col("id") % 2 + 1).cast("int").alias("crmonth"),
+        (F.xxhash64("id") % 14 + 15).cast("int").alias("crday"), F.md5(F.col("id").cast("string")).alias("text"),
+    )
+    path = str(tmp_path / "months")
+    assert partitions.write_partitioned(rows, path, schemas.DAY_MONTHS) == 60_000
+    groups, touched = 0, 0
+    for file in (tmp_path / "months" / "cryear=2024" / "crmonth=1").glob("*.parquet"):
+        footer = pq.read_metadata(file)
+        place = footer.schema.names.index("crday")
+        for g in range(footer.num_row_groups):
+            stats = footer.row_group(g).column(place).statistics
+            groups, touched = groups + 1, touched + (stats.min <= 9 <= stats.max)
+    assert groups >= 20 and 1 <= touched <= groups / 5
+    schema = rows.schema
+    day = day_slice(scan_table(spark, path, schema), date(2024, 1, 9))
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(crday,9)" in plan and "crmonth" in plan[plan.index("PartitionFilters") :].split("PushedFilters")[0]
+    assert day.count() == rows.where("crmonth = 1 and crday = 9").count() > 0
+
+
+def test_replace_a_day_within_its_month(spark, tmp_path):
+    schema = "text string, cryear int, crmonth int, crday int"
+    path = str(tmp_path / "t")
+    day = date(2024, 2, 3)
+    make = lambda *rows: spark.createDataFrame([(t, 2024, m, d) for t, m, d in rows], schema)
+    stored = lambda: scan_table(spark, path, make(("x", 1, 1)).schema)
+    kept = lambda: sorted((r.text, r.crmonth, r.crday) for r in stored().collect())
+    partitions.write_partitioned(make(("a", 1, 3), ("b", 2, 3), ("c", 2, 3), ("d", 2, 4)), path, schemas.DAY_MONTHS)
+    other = sorted((tmp_path / "t" / "cryear=2024" / "crmonth=1").glob("*.parquet"))
+    for _ in range(2):
+        assert partitions.replace_day_in_month(make(("e", 2, 3), ("f", 2, 9)), stored(), path, day) == 1
+        assert kept() == [("a", 1, 3), ("d", 2, 4), ("e", 2, 3)]
+    assert sorted((tmp_path / "t" / "cryear=2024" / "crmonth=1").glob("*.parquet")) == other
+    assert partitions.replace_day_in_month(make(("z", 5, 5)), stored(), path, day) == 0
+    assert kept() == [("a", 1, 3), ("d", 2, 4)]
+    assert partitions.replace_day_in_month(make(("z", 5, 5)), stored(), path, date(2024, 2, 4)) == 0
+    assert kept() == [("a", 1, 3)]

@@ -12,7 +12,6 @@ from ledgerlake.context import FULL_LOAD, INCREMENTAL_LOAD, RunContext
 from ledgerlake.operators import audit
 from ledgerlake.plans.lake import Lake
 from ledgerlake.plans.loads import load
-from ledgerlake.sinks.partitions import replace_day
 
 
 def _user(u, day, rating=None):
@@ -145,7 +144,7 @@ def test_resent_transaction(spark, write_lines, lake_of):
     load(spark, inputs, lake, _run(1, INCREMENTAL_LOAD, 20))
     assert amount("10") == "100.10"
     fresh = lake.stored("raw.transactions").withColumn("trans_date", F.concat_ws("-", *schemas.DAY_PARTS))
-    replace_day(fresh.select(*schemas.names(schemas.TRANS_CORE)), lake.path("curated.transactions"), date(2024, 3, 1))
+    lake.replace_day("curated.transactions", fresh, date(2024, 3, 1))
     assert amount("10") == "555"
 
 
