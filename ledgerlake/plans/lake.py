@@ -17,6 +17,7 @@ from ledgerlake import schemas
 from ledgerlake.operators.curate import curate_transactions
 from ledgerlake.operators.fact import profile_fact
 from ledgerlake.plans.together import together
+from ledgerlake.sinks.compact import TARGET_BYTES, is_worth_it, table_files, write_packed
 from ledgerlake.sinks.files import child_folders, delete_tree, exists
 from ledgerlake.sinks.partitions import day_folder, month_folder, replace_day, replace_day_in_month, write_partitioned
 from ledgerlake.sinks.tables import create_table, drop_tables, register_partitions
@@ -95,9 +96,28 @@ class Lake:
         number = max(self._taken(table), default=0) + 1
         df = df.select(*schemas.names(schemas.STORED[table][0]))
         rows = self._write(df, self._version(table, number), schemas.STORED[table][1], "errorifexists")
+        self._tidy(table)
+        return rows
+
+    def compact(self, table: str, target: int = TARGET_BYTES) -> int:
+        """Write the small files of a table together, as a new version; returns the number of files after it.
+
+        Nothing is written when that would not save a file. Readers of the version before are not disturbed. Nothing
+        may append to the table meanwhile, as with every rewrite.
+        """
+        schema, parts = schemas.STORED[table]
+        path = self.path(table)
+        files = table_files(self.spark, path)
+        if not is_worth_it(files, target):
+            return len(files)
+        number = max(self._taken(table)) + 1
+        _, after = write_packed(self.spark, path, self._version(table, number), schema, parts, target)
+        self._tidy(table)
+        return after
+
+    def _tidy(self, table: str) -> None:
         for old in self._taken(table)[:-KEPT_VERSIONS]:
             delete_tree(self.spark, self._version(table, old))
-        return rows
 
     def create_missing(self) -> None:
         """Give every table that has not been loaded an empty first version."""

@@ -223,7 +223,48 @@ def _rejected_rows() -> str:
     return "\nUNION ALL\n".join(counts)
 
 
+def _table_contracts() -> str:
+    months, days = ("cryear", "crmonth"), ("cryear", "crmonth", "crday")
+    columns = {
+        "users": ("src_users", "user_id business_id rating created_at", months),
+        "transactions": ("src_transactions", "transaction_id user_id business_id amount transaction_type type created_at", months),
+        "analytics": ("src_analytics", _FLAT.replace(",", " "), days),
+    }
+    rows = []
+    for feed, (view, texts, parts) in columns.items():
+        typed = [(c, "string", c) for c in texts.split()] + [("processed_at", "timestamp", "1")]
+        typed += [(c, "int", "1") for c in days]
+        for name, kind, counted in typed:
+            placed = "true" if name in parts else "false"
+            rows.append(
+                f"""SELECT '{feed}' AS table_name, '{name}' AS column_name, '{kind}' AS data_type, {placed} AS is_partition,
+                COUNT({counted}) AS values, 0 AS tables_left FROM {view}"""
+            )
+    return "\nUNION ALL\n".join(rows)
+
+
 ORACLES: dict[str, str] = {
+    "compacted_months": _with(
+        """SELECT CAST(year(day) AS INTEGER) AS cryear, CAST(month(day) AS INTEGER) AS crmonth, COUNT(*) AS row_count,
+          MIN(transaction_id) AS first_id, MAX(transaction_id) AS last_id, COUNT(DISTINCT transaction_id) AS ids,
+          CAST(1 AS BIGINT) AS files
+        FROM src_transactions GROUP BY ALL""",
+        "src_transactions",
+    ),
+    "rows_by_user": _with(
+        """SELECT user_id, COUNT(*) AS row_count, CAST(1 AS BIGINT) AS most_files FROM src_transactions
+        GROUP BY user_id""",
+        "src_transactions",
+    ),
+    "run_clock_roundtrip": _with(
+        """SELECT 1 AS datetoday_pk, CAST(day(t) AS VARCHAR) AS todayday, CAST(month(t) AS VARCHAR) AS todaymonth,
+          CAST(year(t) AS VARCHAR) AS todayyear, CAST(day(y) AS VARCHAR) AS "yesterdayDay",
+          CAST(month(y) AS VARCHAR) AS "yesterDayMonth", CAST(year(y) AS VARCHAR) AS "yesterDayYear",
+          t AS today, y AS yesterday
+        FROM (SELECT CAST(MAX(day) + INTERVAL 1 DAY AS DATE) AS t, CAST(MAX(day) AS DATE) AS y FROM src_transactions)""",
+        "src_transactions",
+    ),
+    "table_contracts": _with(_table_contracts(), "src_users", "src_transactions", "src_analytics"),
     "ingest_users": _with("SELECT * FROM src_users", "src_users"),
     "ingest_transactions": _with(f"SELECT {_TRANS_FEED} FROM src_transactions", "src_transactions"),
     "ingest_analytics": _with(

@@ -5,14 +5,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
-from functools import wraps
+from functools import reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlake import schemas
-from ledgerlake.context import FULL_LOAD, INCREMENTAL_LOAD, RunContext
+from ledgerlake.context import FULL_LOAD, INCREMENTAL_LOAD, RunContext, load_clock, save_clock
 from ledgerlake.functions.dates import with_compact_parts, with_iso_parts
 from ledgerlake.operators import audit, curate, dims, fact, report
 from ledgerlake.operators.flatten import flatten_analytics
@@ -225,6 +225,74 @@ def late_day_refresh(spark: SparkSession, folder: str) -> DataFrame:
     return _read_events(spark, path)
 
 
+def compacted_months(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions that came in three appends, packed: rows and files of each month."""
+    lake, table = Lake(spark, Stage(spark).path("lake")), "curated.transactions"
+    core = _core(spark, folder)
+    slices = [core.where(F.crc32("transaction_id") % 3 == i) for i in range(3)]
+    lake.write_version(table, slices[0])
+    for rows in slices[1:]:
+        lake.append(table, rows)
+    lake.compact(table)
+    stored = spark.read.schema(schemas.TRANS_CORE).parquet(lake.path(table)).select("*", F.col("_metadata.file_path").alias("_file"))
+    return stored.groupBy(*schemas.DAY_MONTHS).agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.min("transaction_id").alias("first_id"),
+        F.max("transaction_id").alias("last_id"),
+        F.count_distinct("transaction_id").alias("ids"),
+        F.count_distinct("_file").alias("files"),
+    )
+
+
+def rows_by_user(spark: SparkSession, folder: str) -> DataFrame:
+    """Transactions brought together by user before the write: of a month, a user's rows are in one file."""
+    path = Stage(spark).path("by_user")
+    partitions.write_partitioned(_core(spark, folder), path, schemas.DAY_MONTHS, by=["user_id"])
+    stored = spark.read.schema(schemas.TRANS_CORE).parquet(path)
+    of_month = stored.groupBy("user_id", *schemas.DAY_MONTHS).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("_metadata.file_path").alias("files")
+    )
+    return of_month.groupBy("user_id").agg(F.sum("n").alias("row_count"), F.max("files").alias("most_files"))
+
+
+def run_clock_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """The control table written for the day after the last transaction, and the days read back from it."""
+    last = dims.trans_date_bounds(sample_tables.transactions(spark, folder)).head()["max_trans_date"]
+    today = last + timedelta(days=1)
+    path = Stage(spark).path("clock")
+    save_clock(spark, path, RunContext(today, datetime(today.year, today.month, today.day, 0, 10)))
+    read = load_clock(spark, path)
+    stored = spark.read.schema(schemas.RUN_CLOCK).parquet(path)
+    return stored.select("*", F.lit(read[0]).alias("today"), F.lit(read[1]).alias("yesterday"))
+
+
+def table_contracts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables defined over landed rows: each column with its type, its place in the layout and its values; then the
+    tables are dropped, and how many of them are left is told."""
+    stage = Stage(spark)
+    rows = {
+        "users": (_users(spark, folder), schemas.SOURCE_USERS, schemas.DAY_MONTHS),
+        "transactions": (_transactions(spark, folder), schemas.SOURCE_TRANSACTIONS, schemas.DAY_MONTHS),
+        "analytics": (_events(spark, folder), schemas.SOURCE_ANALYTICS, schemas.DAY_PARTS),
+    }
+    names, counted = [], []
+    for feed, (df, schema, parts) in rows.items():
+        path = stage.path(feed)
+        name = f"ledgerlake_{feed}_{path.rsplit('-', 1)[-1]}"
+        names.append(name)
+        stage.at_end(lambda: tables.drop_tables(spark, names))
+        partitions.write_partitioned(df.select(*schemas.names(schema)), path, parts)
+        tables.create_table(spark, name, schema, parts, path)
+        tables.register_partitions(spark, name)
+        columns = spark.catalog.listColumns(name)
+        told = [F.struct(F.lit(c.name).alias("column_name"), F.lit(c.dataType).alias("data_type"), F.lit(c.isPartition).alias("is_partition"), F.count(c.name).alias("values")) for c in columns]
+        counted.append(spark.table(name).agg(F.array(*told).alias("_c")).select(F.lit(feed).alias("table_name"), F.inline("_c")))
+    kept = stage.keep(reduce(DataFrame.unionByName, counted), "contracts")
+    tables.drop_tables(spark, names)
+    left = sum(spark.catalog.tableExists(n) for n in names)
+    return kept.withColumn("tables_left", F.lit(left))
+
+
 def date_parts_iso(spark: SparkSession, folder: str) -> DataFrame:
     return with_iso_parts(sample_tables.transactions(spark, folder)).select(
         "transaction_id", "created_at", *schemas.DAY_PARTS
@@ -544,6 +612,10 @@ _ALL: dict[str, Query] = {
     "register_partitions": register_partitions,
     "swap_day_partition": swap_day_partition,
     "append_new_rows": append_new_rows,
+    "compacted_months": compacted_months,
+    "rows_by_user": rows_by_user,
+    "run_clock_roundtrip": run_clock_roundtrip,
+    "table_contracts": table_contracts,
     "date_parts_iso": date_parts_iso,
     "date_parts_compact": date_parts_compact,
     "incremental_slice_today": incremental_slice_today,
