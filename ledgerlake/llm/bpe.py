@@ -3,7 +3,10 @@
 ``tiktoken`` does the merges.  Texts longer than ``SEGMENT`` characters are cut in front of a space or
 line break that follows a visible character: no match of the split pattern runs over such a place, and a
 run of white space stays whole inside one segment, so the ids are those of the uncut text.  A long text
-without such a place is encoded in one piece.  Special tokens are unknown: their strings are plain text.
+without such a place is encoded in one piece.  A run of more than ``RUN`` white space characters is beyond what the
+library's look-ahead can walk back over; it is cut out and encoded as the one match it is: all of it at the end of the
+text, else all but its last character, which goes with what follows.  Special tokens are unknown: their strings are
+plain text.
 
 NULL and empty texts have no ids.  Rows are independent of each other: repeated rows, NULL document ids
 and extra columns change nothing.
@@ -13,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -24,19 +28,23 @@ from pyspark.sql import functions as F
 from ledgerlake.llm.common import documents
 
 SEGMENT = 1 << 15
+RUN = 1 << 13
+
+# White space as the split pattern has it (fixed value); Python's own has four control characters more.
+_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % RUN)
 
 # The split pattern of the rank files (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-@lru_cache(maxsize=4)
-def encoding(ranks_path: str):
+@lru_cache(maxsize=8)
+def encoding(ranks_path: str, pattern: str = PATTERN):
     """The encoder of a rank file, built once per Python worker."""
     import tiktoken
 
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
 def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
@@ -52,9 +60,28 @@ def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
         yield text[start:]
 
 
+# All of a text as one match, without look-ahead.
+_ONE_MATCH = "(?s:.+)"
+
+
+def stretches(text: str) -> Iterator[tuple[str, bool]]:
+    """The text in pieces whose ids are the ids of the text, and whether a piece is one match of white space."""
+    start = 0
+    for run in _BLANKS.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        if run.start() > start:
+            yield text[start : run.start()], False
+        yield text[run.start() : end], True
+        start = end
+    if start < len(text) or not text:
+        yield text[start:], False
+
+
 def encode_text(text: str, ranks_path: str, size: int = SEGMENT) -> np.ndarray:
-    encode = encoding(ranks_path).encode_ordinary
-    parts = [np.array(encode(s), dtype=np.int32) for s in segments(text, size)]
+    split, whole = encoding(ranks_path).encode_ordinary, encoding(ranks_path, _ONE_MATCH).encode_ordinary
+    parts = []
+    for piece, blank in stretches(text):
+        parts += [np.array(whole(piece), dtype=np.int32)] if blank else [np.array(split(s), dtype=np.int32) for s in segments(piece, size)]
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 

@@ -43,3 +43,25 @@ def test_ids_and_bytes(make_docs):
 
 def test_empty_table(make_docs):
     assert bpe.token_report(bpe.encode(make_docs([]).limit(0), RANKS), RANKS).collect() == []
+
+
+def test_long_white_space_runs_are_one_match():
+    """As the library gives it, for runs that it can still encode; beyond them by the rule of the pattern."""
+    encode = bpe.encoding(RANKS).encode_ordinary
+    r = random.Random(4)
+    n = bpe.RUN
+    for run in (" " * n, " " * (n + 1), "\n" * (2 * n), " \n\t" * n, "\u2003\xa0" * n, "\x1c" * n, " " * (n - 1)):
+        for text in (run, "x" + run, run + "x", f"a{run}b{run}", f"a {run}é!{run}\x1c{run} 7", run + "\x1c"):
+            assert bpe.encode_text(text, RANKS).tolist() == encode(text), (len(run), run[:2], text[:2])
+    parts = ["".join(r.choice([" ", "\n"]) for _ in range(n + i)) + f"w{i}" for i in range(5)]
+    assert bpe.encode_text("".join(parts), RANKS).tolist() == encode("".join(parts))
+
+
+def test_runs_beyond_what_the_library_takes(make_docs):
+    space, word = bpe.encoding(RANKS).encode_ordinary(" "), bpe.encoding(RANKS).encode_ordinary(" x")
+    many = bpe.encode_text(" " * 5_000_000 + "x", RANKS)
+    assert many[:-1].tolist() == bpe.encode_text(" " * 4_999_999, RANKS).tolist() and many[-1:].tolist() == word
+    assert bpe.decode_ids(many, RANKS) == b" " * 5_000_000 + b"x" and space
+    rows = [(1, " " * 1_000_000), (2, "\n" * 1_000_000), (3, "a" + " \r\n" * 400_000 + "b")]
+    got = {r.doc_id: bytes(r.content) for r in bpe.decode(bpe.encode(make_docs(rows), RANKS), RANKS).collect()}
+    assert got == {i: t.encode() for i, t in rows}
