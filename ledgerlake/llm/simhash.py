@@ -10,14 +10,7 @@ three of five pieces of its free bits, ten sub-shards, after which at most 2**14
 the trees of its shards and searches them; it gives a spanning forest of the links of a shard instead of all
 pairs.  The trees are not broadcast: they hold the fingerprints of all documents, which have no proven bound.
 
-*Near-duplicates by shingles* (``near_groups``): shards are keyed by pairs of minimum shingle hashes, the tree of a
-shard proposes fingerprints within ``RADIUS`` bits, and the Jaccard similarity of the whole shingle sets decides.
-The fingerprint is that of the set, so how often a shingle repeats changes neither.  Documents with equal shingle sets
-are one node from the start, and shards with the same members are searched once.  A shard with more than
-``PIECE_MAX`` members is not searched whole: every member is measured against one of them, the pivot, in tasks of at
-most about ``PIECE_MAX`` rows.  What is alike to the pivot is linked to it and need not be compared among itself; what
-is not stays, with those linked ones that the triangle inequality of the Jaccard distance lets be alike to it, for the
-next pivot.  Shards that are still larger after ``PIVOTS`` pivots are cut, and every two pieces meet in a task.
+*One document of each group* (``one_of_each``): the document with the smallest id of every component stays.
 
 Texts: A-Z is lower-cased, words are runs without ASCII white space, NULL counts as empty.  A text with fewer
 words than a shingle has is one shingle; one without words has fingerprint zero and links like any other.
@@ -38,19 +31,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.common import documents, partitions
+from ledgerlake.llm.common import documents, partitions, whole_text
 from ledgerlake.llm.components import components
 from ledgerlake.sinks.stage import Stage
 
 SEED = 42
 SHARD_MAX = 4096
-RADIUS = 26  # of 64 bits; at a Jaccard similarity of 0.8 about 10 bits differ, of unlike sets about 32
-BANDS, ROWS = 9, 2
-PIECE_MAX = 512
-PIVOTS = 6
-
-_MULTIPLIERS = np.random.default_rng(SEED).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
-_OFFSETS = np.random.default_rng(SEED + 1).integers(0, 2**63, BANDS * ROWS, dtype=np.uint64)
 
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
@@ -243,195 +229,17 @@ def classes(docs: DataFrame, stage: Stage, words: int = 3, radius: int = 2) -> D
     return prints.join(linked(prints, stage, radius), "fp").select("doc_id", as_hex("fp").alias("fingerprint"), "component_id")
 
 
-# --- near-duplicates by shingle sets -------------------------------------------------------------------------
-
-
-def sketch(text: str, words: int) -> tuple[int, bytes, list[int]]:
-    """Fingerprint and identity of the shingle set, and shard keys of one text."""
-    hashes = shingle_hashes(text, words)
-    own = np.unique(hashes)
-    if not len(own):
-        return 0, b"", []
-    mins = np.concatenate([
-        (own[:, None] * _MULTIPLIERS[at : at + ROWS] + _OFFSETS[at : at + ROWS]).min(axis=0) for at in range(0, BANDS * ROWS, ROWS)
-    ])
-    keys = [int(np.uint64(xxhash.xxh64_intdigest(mins[at : at + ROWS].tobytes(), at)).astype(np.int64)) for at in range(0, BANDS * ROWS, ROWS)]
-    return fingerprint(own), xxhash.xxh128_digest(own.tobytes()), keys
-
-
-def _sketches(words: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64()), ("same", pa.binary()), ("keys", pa.list_(pa.int64()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(d, *sketch(t, words)) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())]
-            yield _batch(rows, schema)
-
-    return run
-
-
-def _shingle_sets(words: int):
-    schema = pa.schema([("doc_id", pa.int64()), ("shingles", pa.binary())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist())
-            yield _batch([(d, np.unique(shingle_hashes(t, words)).tobytes()) for d, t in pairs], schema)
-
-    return run
-
-
-_MEASURED = pa.schema(
-    [("piece", pa.int64()), ("doc_id", pa.int64()), ("fp", pa.int64()), ("label", pa.int64()), ("pivot", pa.int64()), ("alike", pa.bool_()), ("distance", pa.float64())]
-)
-
-
-def _measured(similarity: float):
-    """Jaccard distance of each row's shingle set to that of its pivot."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            columns = (batch.column(c).to_pylist() for c in ("piece", "doc_id", "fp", "label", "pivot", "shingles", "centre"))
-            for *light, own, centre in zip(*columns):
-                own, centre = np.frombuffer(own, dtype=np.uint64), np.frombuffer(centre, dtype=np.uint64)
-                common = len(np.intersect1d(own, centre, assume_unique=True))
-                union = len(own) + len(centre) - common
-                rows.append((*light, common >= similarity * union, 1 - common / union))
-            yield _batch(rows, _MEASURED)
-
-    return run
-
-
-def _verified(similarity: float):
-    """Links between alike members of a piece; those with the same label are linked already."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in _sorted_groups(batches, "piece", ["doc_id", "fp", "label", "shingles"]):
-            tree, sets, found, labelled = BkTree(), Sets(len(rows)), [], {}
-            shingles = [frozenset(np.frombuffer(r[3], dtype=np.uint64).tolist()) for r in rows]
-            for i, (_, _, label, _) in enumerate(rows):
-                if label is not None:
-                    sets.join(i, labelled.setdefault(label, i))
-            for i, (doc, fp, _, _) in enumerate(rows):
-                own = shingles[i]
-                for _, j in sorted(tree.near(fp & _ALL, RADIUS)):
-                    if sets.root(i) != sets.root(j):
-                        least, most = sorted((len(own), len(shingles[j])))
-                        if least >= similarity * most:
-                            common = len(own & shingles[j])
-                            if common >= similarity * (least + most - common):
-                                sets.join(i, j)
-                                found.append((doc, rows[j][0]))
-                tree.add(fp & _ALL, i)
-            yield _batch(found, _PAIR)
-
-    return run
-
-
-def _members(nodes: DataFrame) -> DataFrame:
-    """``piece, doc_id, fp, n`` of shards with two or more members; of shards with the same members one is left."""
-    shards = nodes.where("doc_id IS NOT NULL").select(F.explode("keys").alias("piece"), "doc_id", "fp", "same")
-    counted = shards.groupBy("piece").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("same")).alias("x"), F.bit_xor(F.xxhash64("same", F.lit(1))).alias("y")
-    )
-    once = counted.where("n > 1").groupBy("n", "x", "y").agg(F.min("piece").alias("piece")).select("piece", "n")
-    return shards.join(once, "piece").select("piece", "doc_id", "fp", "n")
+def one_of_each(docs: DataFrame, stage: Stage, words: int = 3, radius: int = 2) -> DataFrame:
+    """The rows of ``docs`` without those whose component has a document with a smaller id.
 
-
-def _parts(n: str) -> Column:
-    return F.ceil(F.col(n) / PIECE_MAX).cast("int")
-
-
-def _around_pivots(crowded: DataFrame, sets: DataFrame, similarity: float, stage: Stage) -> tuple[list[DataFrame], list[DataFrame]]:
-    """Links ``a, b`` of members to pivots, and the ``piece, doc_id, fp, label`` that are left to compare.
-
-    Members with the same label are linked to the same pivot.
-    """
-    n = partitions(crowded.sparkSession)
-    links, left, limit = [], [], 1 - similarity
-    for turn in range(PIVOTS):
-        pivot = F.min_by("doc_id", F.struct(F.col("label").isNotNull(), F.xxhash64("doc_id", F.lit(turn))))
-        pivots = stage.keep(crowded.groupBy("piece").agg(F.count("*").alias("n"), pivot.alias("pivot")), "pivots")
-        large = pivots.where(F.col("n") > PIECE_MAX)
-        if large.isEmpty():
-            break
-        left.append(crowded.join(pivots.where(F.col("n").between(2, PIECE_MAX)).select("piece"), "piece", "left_semi"))
-        # A copy of the pivot's set for every PIECE_MAX members, so that a shard of any size is many keys.
-        centres = large.select("piece", "pivot", F.explode(F.sequence(F.lit(0), _parts("n") - 1)).alias("part")).join(
-            sets.select(F.col("doc_id").alias("pivot"), F.col("shingles").alias("centre")), "pivot"
-        )
-        dealt = crowded.join(large.select("piece", "n"), "piece").withColumn("part", F.pmod(F.xxhash64("doc_id"), _parts("n")).cast("int"))
-        pairs = dealt.join(sets, "doc_id").join(centres, ["piece", "part"])
-        measured = stage.keep(
-            pairs.select("piece", "doc_id", "fp", "label", "pivot", "shingles", "centre").mapInArrow(
-                _measured(similarity), "piece long, doc_id long, fp long, label long, pivot long, alike boolean, distance double"
-            ),
-            "measured",
-        )
-        links.append(measured.where("alike AND doc_id <> pivot").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b")))
-        # Of what is linked, only members this far from the pivot can be alike to one that is not.
-        nearest = measured.where("NOT alike").groupBy("piece").agg((F.min("distance") - limit - 1e-9).alias("edge"))
-        open_ = measured.join(nearest, "piece").where("NOT alike OR distance >= edge")
-        crowded = stage.keep(
-            open_.select("piece", "doc_id", "fp", F.when(F.col("alike"), F.col("pivot")).otherwise(F.col("label")).alias("label")).repartition(n),
-            "open",
-        )
-    return links, [*left, crowded]
-
-
-def _pieces(members: DataFrame) -> DataFrame:
-    """``piece, doc_id, fp, label``: a shard beyond ``PIECE_MAX`` is cut, and every two of its pieces meet in one task."""
-    sizes = members.groupBy("piece").agg(F.count("*").alias("n")).where("n > 1")
-    cut = members.join(sizes.select("piece", _parts("n").alias("n")), "piece")
-    cut = cut.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("n")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("other")
-    return cut.select("piece", "own", "doc_id", "fp", "label", other).select(
-        F.xxhash64("piece", F.least("own", "other"), F.greatest("own", "other")).alias("piece"), "doc_id", "fp", "label"
-    )
-
-
-def near_groups(docs: DataFrame, stage: Stage, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``doc_id, group_id``: the smallest id among the documents that are alike, directly or over others.
-
-    A row per row of ``docs``; rows without an id and without a like document that has one get NULL.
-    """
-    spark = docs.sparkSession
-    n = partitions(spark)
-    own = documents(docs)
-    light = stage.keep(own.mapInArrow(_sketches(words), "doc_id long, fp long, same binary, keys array<long>"), "sketches")
-    # One document stands for all with the same shingle set.
-    nodes = stage.keep(
-        light.groupBy("same").agg(F.min("doc_id").alias("doc_id"), F.min_by(F.struct("fp", "keys"), "doc_id").alias("x"))
-        .select("same", "doc_id", "x.fp", "x.keys"),
-        "nodes",
-    )
-    members = stage.keep(_members(nodes).withColumn("label", F.lit(None).cast("long")), "members")
-    # Lists of ids grow with the corpus, so the join that brings them to the texts never broadcasts them.
-    wanted = own.join(members.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi")
-    sets = stage.keep(wanted.mapInArrow(_shingle_sets(words), "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "sets")
-    light_columns = ("piece", "doc_id", "fp", "label")
-    links, left = _around_pivots(members.where(F.col("n") > PIECE_MAX).select(*light_columns), sets, similarity, stage)
-    pieces = members.where(F.col("n") <= PIECE_MAX).select(*light_columns)
-    for rest in left:
-        pieces = pieces.unionByName(_pieces(rest))
-    found = (
-        pieces.join(sets, "doc_id").repartition(n, "piece").sortWithinPartitions("piece", "doc_id")
-        .mapInArrow(_verified(similarity), "a long, b long")
-    )
-    for linked_ in links:
-        found = found.unionByName(linked_)
-    joined = components(found, stage).withColumnRenamed("node", "doc_id")
-    named = nodes.select("same", "doc_id").join(joined, "doc_id", "left")
-    named = named.select("same", F.coalesce("component", "doc_id").alias("group_id"))
-    return light.select("doc_id", "same").join(named, "same").select("doc_id", "group_id")
-
-
-def one_of_each(docs: DataFrame, stage: Stage, words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` without those that are near-duplicates of a document with a smaller id.
-
-    Rows without an id cannot be told apart; they stay.
+    Rows without an id cannot be told apart; they stay. Rows that repeat an id stay or go by their own text: equal ones
+    together.
     """
-    groups = near_groups(docs, stage, words, similarity)
-    dropped = stage.keep(groups.where("doc_id <> group_id").select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
-    return docs.join(dropped.hint("merge"), docs["doc_id"] == dropped["_dropped"], "left_anti")
+    text = whole_text()
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("_text"))
+    prints = stage.keep(rows.select("doc_id", "_text", fingerprints(words)("text").alias("fp")), "prints")
+    found = prints.join(linked(prints, stage, radius), "fp").where("doc_id <> component_id")
+    dropped = stage.keep(found.select(F.col("doc_id").alias("_dropped"), "_text").distinct(), "dropped")
+    # Lists of ids grow with the corpus: the join that brings them to the texts never broadcasts them.
+    same = (docs["doc_id"] == dropped["_dropped"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == dropped["_text"])
+    return docs.join(dropped.hint("merge"), same, "left_anti")

@@ -85,7 +85,7 @@ def test_null_ids_take_part(make_docs, stage):
 def test_empty_table(make_docs, stage):
     empty = make_docs([]).limit(0)
     assert simhash.classes(empty, stage).collect() == []
-    assert simhash.near_groups(empty, stage).collect() == []
+    assert simhash.one_of_each(empty, stage).collect() == []
 
 
 def test_radius_is_bounded(spark, stage):
@@ -93,29 +93,20 @@ def test_radius_is_bounded(spark, stage):
         simhash.linked(spark.createDataFrame([(1, 1)], "doc_id long, fp long"), stage, radius=3)
 
 
-@pytest.mark.parametrize("piece", [4096, 3])
-def test_near_groups(make_docs, stage, monkeypatch, piece):
-    monkeypatch.setattr(simhash, "PIECE_MAX", piece)
-    r = random.Random(8)
-    rows, n = [], 0
-    for _ in range(5):
-        base = [f"w{r.randrange(500)}" for _ in range(120)]
-        for _ in range(9):
-            own = list(base)
-            for at in r.sample(range(120), r.choice([0, 1, 1, 2, 6])):
-                own[at] = f"v{r.randrange(500)}"
-            rows.append((n, " ".join(own)))
-            n += 1
-    rows += [(100, ""), (101, None), (102, "a b"), (103, "A  b")]
+def test_one_of_each(make_docs, stage):
+    rows = texts() + [(7, "another text under a known id"), (None, "One"), (60, "One"), (60, "One")]
     docs = make_docs(rows)
-    sets = [frozenset(simhash.shingle_hashes(t or "", 5).tolist()) for _, t in rows]
-    classes = brute_classes(sets, lambda a, b: a == b or len(a & b) >= 0.8 * len(a | b))
-    want = {rows[i][0]: rows[c][0] for i, c in enumerate(classes)}
-    got = simhash.near_groups(docs, stage).collect()
-    assert {x.doc_id: x.group_id for x in got} == want
+    prints = [brute_print(t) for _, t in rows]
+    classes = brute_classes(prints, lambda a, b: (a ^ b).bit_count() <= 2)
+    lowest = {}
+    for (i, _), c in zip(rows, classes):
+        if i is not None:
+            lowest[c] = min(i, lowest.get(c, i))
+    want = sorted((i is None, i or 0, t or "") for (i, t), c in zip(rows, classes) if i is None or i == lowest[c])
     kept = simhash.one_of_each(docs, stage)
     assert kept.columns == docs.columns
-    assert sorted(x.doc_id for x in kept.collect()) == sorted(set(want.values()))
+    assert sorted((r.doc_id is None, r.doc_id or 0, r.text or "") for r in kept.collect()) == want
+    assert len(want) < len(rows)
 
 
 def test_bk_tree_follows_all_edges_in_reach():
@@ -126,37 +117,3 @@ def test_bk_tree_follows_all_edges_in_reach():
         tree.add(v, i)
     for q in values[:40]:
         assert sorted(i for _, i in tree.near(q, 3)) == [i for i, v in enumerate(values) if (v ^ q).bit_count() <= 3]
-
-
-def test_repeats_of_a_shingle_do_not_hide_near_copies(make_docs, stage):
-    r = random.Random(11)
-    rows = []
-    for i in range(20):
-        text, line = [f"w{r.randrange(10**6)}" for _ in range(300)], [f"l{r.randrange(10**6)}" for _ in range(8)]
-        rows += [(2 * i, " ".join(text + line)), (2 * i + 1, " ".join(text + line * 60))]
-    got = simhash.near_groups(make_docs(rows), stage).collect()
-    assert {x.doc_id: x.group_id for x in got} == {i: i // 2 * 2 for i in range(40)}
-
-
-def test_a_crowded_shard_is_dealt_to_many_tasks(make_docs, stage, monkeypatch):
-    """Largest group of rows that one key brings together, with a group of near copies that is 25 times as large."""
-    monkeypatch.setattr(simhash, "PIECE_MAX", 16)
-    r = random.Random(12)
-    base = [f"w{r.randrange(10**6)}" for _ in range(200)]
-    rows = []
-    for i in range(400):
-        own = list(base)
-        own[r.randrange(200)] = f"v{i}"
-        if i % 50 == 0:  # alike to few others
-            for at in range(0, 200, 32):
-                own[at] = f"u{i}-{at}"
-        rows.append((i, " ".join(own)))
-    held = []
-    pieces = simhash._pieces
-    monkeypatch.setattr(simhash, "_pieces", lambda left: held.append(pieces(left)) or held[-1])
-    sets = [frozenset(simhash.shingle_hashes(t, 5).tolist()) for _, t in rows]
-    classes = brute_classes(sets, lambda a, b: len(a & b) >= 0.8 * len(a | b))
-    got = simhash.near_groups(make_docs(rows), stage).collect()
-    assert {x.doc_id: x.group_id for x in got} == dict(enumerate(classes))
-    counts = [x["count"] for h in held for x in h.groupBy("piece").count().collect()]
-    assert held and all(c <= 2 * 2 * 16 for c in counts) and sum(counts) < 10 * len(rows)
