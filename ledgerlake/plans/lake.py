@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ledgerlake import schemas
 from ledgerlake.operators.curate import curate_transactions
 from ledgerlake.operators.fact import profile_fact
+from ledgerlake.operators.sketches import month_filters, words_for
 from ledgerlake.plans.together import together
 from ledgerlake.sinks.compact import TARGET_BYTES, is_worth_it, table_files, write_packed
 from ledgerlake.sinks.files import child_folders, delete_tree, exists
@@ -23,6 +24,8 @@ from ledgerlake.sinks.partitions import day_folder, month_folder, replace_day, r
 from ledgerlake.sinks.tables import create_table, drop_tables, register_partitions
 from ledgerlake.sources.layers import day_slice, scan_folder, scan_table
 
+DAYS_OF_MONTH = 31
+
 # Readers that started before a switch may still be on the previous version.
 KEPT_VERSIONS = 2
 
@@ -72,6 +75,16 @@ class Lake:
         rows = scan_folder(self.spark, path, folder, schema) if exists(self.spark, folder) else self.stored(table)
         return day_slice(rows, day)
 
+    def _filters_path(self, table: str) -> str:
+        return f"{self.path(table)}_keys"
+
+    def filters(self, table: str) -> DataFrame | None:
+        """The month filters of a table's keys, or None where the current version has none: then all ids have to be read."""
+        path = self._filters_path(table)
+        if not exists(self.spark, f"{path}/_SUCCESS"):
+            return None
+        return scan_table(self.spark, path, schemas.KEY_FILTERS)
+
     def read(self, table: str) -> DataFrame:
         """The table under its full contract, with the measures of the user or the month joined on."""
         if table == "curated.transactions":
@@ -111,13 +124,34 @@ class Lake:
         if not is_worth_it(files, target):
             return len(files)
         number = max(self._taken(table)) + 1
+        filtered = table in schemas.FILTERED and self.filters(table) is not None
         _, after = write_packed(self.spark, path, self._version(table, number), schema, parts, target)
+        if filtered:
+            self.write_filters(table)
         self._tidy(table)
         return after
 
     def _tidy(self, table: str) -> None:
         for old in self._taken(table)[:-KEPT_VERSIONS]:
             delete_tree(self.spark, self._version(table, old))
+            delete_tree(self.spark, f"{self._version(table, old)}_keys")
+
+    def write_filters(self, table: str) -> None:
+        """Build the month filters of the current version, sized for its largest month."""
+        key, rows = schemas.FILTERED[table], self.stored(table)
+        largest = rows.groupBy(*schemas.DAY_MONTHS).count().agg(F.max("count").alias("n")).head()["n"]
+        filters = month_filters(rows, key, words_for(largest or 0))
+        filters.write.mode("overwrite").parquet(self._filters_path(table))
+
+    def append_filters(self, table: str, df: DataFrame) -> None:
+        """Add keys to the filters, if the current version has them. To be done before the rows are added: a filter may
+        know a key that is not there, but never the other way round."""
+        filters = self.filters(table)
+        if filters is None:
+            return
+        head = filters.select("words").head()
+        words = head["words"] if head else words_for(df.count() * DAYS_OF_MONTH)
+        month_filters(df, schemas.FILTERED[table], words).write.mode("append").parquet(self._filters_path(table))
 
     def create_missing(self) -> None:
         """Give every table that has not been loaded an empty first version."""
@@ -128,6 +162,8 @@ class Lake:
 
         if missing:
             together(*[partial(create, table) for table in missing])
+        for table in set(missing) & set(schemas.FILTERED):
+            self.write_filters(table)
 
     def append(self, table: str, df: DataFrame) -> int:
         """Add rows to the current version."""

@@ -19,6 +19,7 @@ from ledgerlake.functions.dates import on_day, with_compact_parts, with_iso_part
 from ledgerlake.operators import curate, dims, fact
 from ledgerlake.operators.flatten import flatten_analytics
 from ledgerlake.operators.newrows import incremental_new_rows, new_rows, with_key, without_key
+from ledgerlake.operators.sketches import new_rows_by_month
 from ledgerlake.operators.skew import join_unique, key_counts
 from ledgerlake.plans.lake import Lake
 from ledgerlake.plans.together import together
@@ -194,6 +195,7 @@ def _curate_all_transactions(lake: Lake, ctx: RunContext, report: LoadReport) ->
     keyed = _Keyed("transactions", lake.stored("raw.transactions"), ["transaction_id"])
     core, seen = _curate_trans(curate.dedupe_transactions(keyed.rows))
     _rewrite(lake, "curated.transactions", core, report)
+    lake.write_filters("curated.transactions")
     keyed.set_aside(lake, ctx, report)
     report.rejects["transactions amounts"] = seen.get["amounts"]
     daily = curate.trans_daily(lake.stored("curated.transactions"))
@@ -224,7 +226,7 @@ def incremental_load(spark: SparkSession, inputs: Mapping[str, str], lake: Lake,
 
     Old transactions and fact rows are not rewritten.  What a step adds is decided by comparing the day with
     what is stored, so a run can be repeated, also after it failed half-way.  What grows with the history is
-    read narrowly: the id column of the transactions, the daily sums per user, the last surrogate keys.
+    read narrowly: the key filters of the transactions, the daily sums per user, the last surrogate keys.
     """
     report = LoadReport()
     day = ctx.slice_day
@@ -265,9 +267,15 @@ def _curate_transactions_of_day(lake: Lake, ctx: RunContext, stage: Stage, repor
     core = stage.keep(core, "core")
     keyed.set_aside(lake, ctx, report)
     report.rejects["transactions amounts"] = seen.get["amounts"]
-    # All days and not this one only: an id that is sent again under another day stays one row.  Of the other
-    # days the id column alone is read.
-    core = new_rows(core, lake.stored("curated.transactions"), key, unique=True)
+    # All days and not this one only: an id that is sent again under another day stays one row.  Ids are read of
+    # those months alone whose filters may hold one of the day's.
+    stored, filters = lake.stored("curated.transactions"), lake.filters("curated.transactions")
+    if filters is None:
+        core = new_rows(core, stored, key, unique=True)
+    else:
+        core = new_rows_by_month(core, stored, filters, *key)
+    core = stage.keep(core, "new_core")
+    lake.append_filters("curated.transactions", core)
     _add(lake, "curated.transactions", core, report)
     daily = curate.trans_daily(lake.day("curated.transactions", day))
     report.rows["curated.trans_daily"] = lake.replace_day("curated.trans_daily", daily, day)

@@ -203,6 +203,10 @@ STORED = {
     "consumption.gmv_per_month": (GMV, ()),
 }
 
+# Tables whose keys are also kept as month filters, and the key.
+FILTERED = {"curated.transactions": "transaction_id"}
+KEY_FILTERS = _contract("cryear int, crmonth int, word int, bits bigint, words int")
+
 
 def order_within(parts: tuple[str, ...]) -> tuple[str, ...]:
     """The columns that order rows within the folders of a table partitioned by ``parts``."""

@@ -251,6 +251,11 @@ ORACLES: dict[str, str] = {
         FROM src_transactions GROUP BY ALL""",
         "src_transactions",
     ),
+    "new_transactions_by_filter": _with(
+        f"""SELECT transaction_id, user_id, {_DAY_PARTS_OF} FROM src_transactions
+        WHERE CAST('0x' || substr(md5(transaction_id), 1, 4) AS INTEGER) % 6 = 3""",
+        "src_transactions",
+    ),
     "rows_by_user": _with(
         """SELECT user_id, COUNT(*) AS row_count, CAST(1 AS BIGINT) AS most_files FROM src_transactions
         GROUP BY user_id""",

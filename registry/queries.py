@@ -18,6 +18,7 @@ from ledgerlake.operators import audit, curate, dims, fact, report
 from ledgerlake.operators.flatten import flatten_analytics
 from ledgerlake.operators.keys import dense_key
 from ledgerlake.operators.newrows import incremental_new_rows, new_rows
+from ledgerlake.operators.sketches import new_rows_by_month
 from ledgerlake.operators.skew import key_counts
 from ledgerlake.operators.slices import compact_day_slice, incremental_slice
 from ledgerlake.plans.lake import Lake
@@ -244,6 +245,26 @@ def compacted_months(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def new_transactions_by_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """A poll that brings every third transaction, against a table that holds every second: what is new, found by way
+    of the month filters."""
+    stage = Stage(spark)
+    lake, table = Lake(spark, stage.path("lake")), "curated.transactions"
+    core = _core(spark, folder)
+    digit = F.conv(F.substring(F.md5("transaction_id"), 1, 4), 16, 10).cast("int")
+    lake.write_version(table, core.where(digit % 2 == 0))
+    lake.write_filters(table)
+    sent = stage.keep(core.where(digit % 3 == 0), "sent")
+    fresh = stage.keep(new_rows_by_month(sent, lake.stored(table), lake.filters(table), "transaction_id"), "fresh")
+    lake.append_filters(table, fresh)
+    lake.append(table, fresh)
+    # Now the table holds both; the same poll again brings nothing.
+    again = new_rows_by_month(sent, lake.stored(table), lake.filters(table), "transaction_id")
+    return fresh.select("transaction_id", "user_id", *schemas.DAY_PARTS).unionByName(
+        again.select("transaction_id", "user_id", *schemas.DAY_PARTS)
+    )
+
+
 def rows_by_user(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions brought together by user before the write: of a month, a user's rows are in one file."""
     path = Stage(spark).path("by_user")
@@ -613,6 +634,7 @@ _ALL: dict[str, Query] = {
     "swap_day_partition": swap_day_partition,
     "append_new_rows": append_new_rows,
     "compacted_months": compacted_months,
+    "new_transactions_by_filter": new_transactions_by_filter,
     "rows_by_user": rows_by_user,
     "run_clock_roundtrip": run_clock_roundtrip,
     "table_contracts": table_contracts,
