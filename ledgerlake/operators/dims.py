@@ -133,9 +133,11 @@ def analytics_dim(latest: DataFrame, stage: Stage) -> DataFrame:
     return _active(keyed).select(*schemas.names(schemas.ANALYTICS_DIM))
 
 
-def merge_analytics(existing: DataFrame, latest: DataFrame, added_on: date, stage: Stage) -> DataFrame:
-    """A new version of the analytics dimension: known users keep their key and take the later event,
-    new users get keys after the last one."""
+def merge_analytics(
+    existing: DataFrame, latest: DataFrame, added_on: date, stage: Stage, whole: DataFrame | None = None
+) -> DataFrame:
+    """``existing`` rows of the analytics dimension as they are after a day: known users keep their key and take the
+    later event, new users get keys after the last one of the ``whole`` dimension (``existing`` unless given)."""
     columns = [*schemas.names(schemas.CURATED_ANALYTICS)]
     key, since = "analytics_id_pk", "added_on"
     old = existing.select(key, since, *columns)
@@ -152,6 +154,6 @@ def merge_analytics(existing: DataFrame, latest: DataFrame, added_on: date, stag
     )
     merged = stage.keep(kept.select(key, since, "user_id", "_event.*"), "analytics_merge")
     fresh = merged.where(F.col(key).isNull()).drop(key, since)
-    keyed = extend_keys(fresh, existing, USER_ORDER, key, stage).withColumn(since, F.lit(added_on))
+    keyed = extend_keys(fresh, existing if whole is None else whole, USER_ORDER, key, stage).withColumn(since, F.lit(added_on))
     every = merged.where(F.col(key).isNotNull()).unionByName(keyed)
     return _active(every).select(*schemas.names(schemas.ANALYTICS_DIM_STORE))

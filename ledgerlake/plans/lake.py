@@ -10,7 +10,7 @@ from __future__ import annotations
 from datetime import date
 from functools import partial
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlake import schemas
@@ -20,12 +20,18 @@ from ledgerlake.operators.sketches import month_filters, words_for
 from ledgerlake.plans.together import together
 from ledgerlake.sinks.compact import TARGET_BYTES, is_worth_it, table_files, write_packed
 from ledgerlake.sinks.files import child_folders, delete_tree, exists
-from ledgerlake.sinks.partitions import day_folder, month_folder, replace_day, replace_day_in_month, write_partitioned
+from ledgerlake.sinks.partitions import day_folder, month_folder, rebalance, replace_day, replace_day_in_month, write_partitioned
 from ledgerlake.sinks.tables import create_table, drop_tables, register_partitions
 from ledgerlake.sources.layers import day_slice, scan_folder, scan_table
 
 DAYS_OF_MONTH = 31
 
+
+def bucket_of(key: str) -> Column:
+    """The bucket of a row; rows without a key have one too."""
+    return F.pmod(F.xxhash64(key), F.lit(schemas.BUCKETS)).cast("int")
+
+
 # Readers that started before a switch may still be on the previous version.
 KEPT_VERSIONS = 2
 
@@ -67,6 +73,38 @@ class Lake:
         """The table as it is on storage."""
         return scan_table(self.spark, self.path(table), schemas.STORED[table][0])
 
+    def _laid_out(self, table: str, df: DataFrame) -> DataFrame:
+        """Rows with the columns of the table's folder."""
+        df = df.select(*schemas.names(schemas.STORED[table][0]))
+        return df.withColumn(schemas.BUCKET, bucket_of(schemas.BUCKETED[table])) if table in schemas.BUCKETED else df
+
+    def buckets_of(self, table: str, rows: DataFrame) -> list[int]:
+        """The buckets of a bucketed table that the keys of ``rows`` fall into: ``schemas.BUCKETS`` at most."""
+        found = rows.select(bucket_of(schemas.BUCKETED[table]).alias("b")).distinct().collect()
+        return sorted(r["b"] for r in found)
+
+    def in_buckets(self, table: str, buckets: list[int]) -> DataFrame:
+        """Some buckets of a bucketed table; their folders alone are read."""
+        rows = scan_table(self.spark, self.path(table), schemas.layout(table)[0])
+        return rows.where(F.col(schemas.BUCKET).isin(buckets)).drop(schemas.BUCKET)
+
+    def replace_buckets(self, table: str, df: DataFrame) -> int:
+        """Make ``df`` the content of the buckets its rows fall into; the others' files stay. Returns the rows written.
+
+        ``df`` must not read what it replaces. The new files are complete before the old ones go.
+        """
+        seen = Observation()
+        (
+            rebalance(self._laid_out(table, df), (schemas.BUCKET,))
+            .observe(seen, F.count(F.lit(1)).alias("rows"))
+            .write.mode("overwrite")
+            .option("compression", "snappy")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(schemas.BUCKET)
+            .parquet(self.path(table))
+        )
+        return seen.get["rows"]
+
     def day(self, table: str, day: date) -> DataFrame:
         """One day of a table; of its folders only the one that may hold the day is looked at."""
         schema, parts = schemas.STORED[table]
@@ -107,8 +145,7 @@ class Lake:
     def write_version(self, table: str, df: DataFrame) -> int:
         """Write a new version of the whole table; returns its row count."""
         number = max(self._taken(table), default=0) + 1
-        df = df.select(*schemas.names(schemas.STORED[table][0]))
-        rows = self._write(df, self._version(table, number), schemas.STORED[table][1], "errorifexists")
+        rows = self._write(self._laid_out(table, df), self._version(table, number), schemas.layout(table)[1], "errorifexists")
         self._tidy(table)
         return rows
 
@@ -118,7 +155,7 @@ class Lake:
         Nothing is written when that would not save a file. Readers of the version before are not disturbed. Nothing
         may append to the table meanwhile, as with every rewrite.
         """
-        schema, parts = schemas.STORED[table]
+        schema, parts = schemas.layout(table)
         path = self.path(table)
         files = table_files(self.spark, path)
         if not is_worth_it(files, target):
@@ -167,8 +204,7 @@ class Lake:
 
     def append(self, table: str, df: DataFrame) -> int:
         """Add rows to the current version."""
-        df = df.select(*schemas.names(schemas.STORED[table][0]))
-        return self._write(df, self.path(table), schemas.STORED[table][1], "append")
+        return self._write(self._laid_out(table, df), self.path(table), schemas.layout(table)[1], "append")
 
     def replace_day(self, table: str, df: DataFrame, day: date) -> int:
         """Make ``df``'s rows of ``day`` the only ones of that day in the current version."""
@@ -195,9 +231,10 @@ class Lake:
     def register(self, database: str = "ledger") -> list[str]:
         """Define every loaded table in the session catalog, with the partitions that exist."""
         names = []
-        for table, (schema, parts) in schemas.STORED.items():
+        for table in schemas.STORED:
             if not self.exists(table):
                 continue
+            schema, parts = schemas.layout(table)
             name = self.sql_name(table, database)
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
             # The definition of an external table; its files stay.

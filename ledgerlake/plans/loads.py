@@ -21,7 +21,7 @@ from ledgerlake.operators.flatten import flatten_analytics
 from ledgerlake.operators.newrows import incremental_new_rows, new_rows, with_key, without_key
 from ledgerlake.operators.sketches import new_rows_by_month
 from ledgerlake.operators.skew import join_unique, key_counts
-from ledgerlake.plans.lake import Lake
+from ledgerlake.plans.lake import Lake, bucket_of
 from ledgerlake.plans.together import together
 from ledgerlake.sinks.files import delete_tree
 from ledgerlake.sinks.partitions import late_day_refresh, many_folders, stamp
@@ -203,6 +203,19 @@ def _curate_all_transactions(lake: Lake, ctx: RunContext, report: LoadReport) ->
     _rewrite_profile(lake, report)
 
 
+def refresh_profile(lake: Lake, day: date) -> int:
+    """Sum the users of ``day`` and of their buckets anew from the daily sums; returns the rows written.
+
+    It follows from what is stored, so a repeated run gives the same.
+    """
+    table = "curated.trans_profile"
+    buckets = lake.buckets_of(table, lake.day("curated.trans_daily", day))
+    if not buckets:
+        return 0
+    daily = lake.stored("curated.trans_daily").where(bucket_of("user_id").isin(buckets))
+    return lake.replace_buckets(table, curate.profile_of_daily(daily))
+
+
 def _rewrite_profile(lake: Lake, report: LoadReport) -> None:
     profile = curate.profile_of_daily(lake.stored("curated.trans_daily"))
     _rewrite(lake, "curated.trans_profile", profile, report)
@@ -279,7 +292,7 @@ def _curate_transactions_of_day(lake: Lake, ctx: RunContext, stage: Stage, repor
     _add(lake, "curated.transactions", core, report)
     daily = curate.trans_daily(lake.day("curated.transactions", day))
     report.rows["curated.trans_daily"] = lake.replace_day("curated.trans_daily", daily, day)
-    _rewrite_profile(lake, report)
+    report.rows["curated.trans_profile"] = refresh_profile(lake, day)
 
 
 def _curate_events_of_day(lake: Lake, ctx: RunContext, report: LoadReport) -> None:
@@ -309,9 +322,14 @@ def _extend_dims(spark: SparkSession, lake: Lake, day: date, stage: Stage, repor
         _add(lake, "consumption.trans_dim", dims.new_trans(fresh, known, stage), report)
 
     def events() -> None:
-        known = lake.stored("consumption.analytics_dim")
+        table = "consumption.analytics_dim"
         latest = stage.keep(dims.analytics_latest(lake.day("curated.analytics", day)), "latest")
-        _rewrite(lake, "consumption.analytics_dim", dims.merge_analytics(known, latest, day, stage), report)
+        buckets = lake.buckets_of(table, latest)
+        report.rows[table] = 0
+        if buckets:
+            known = lake.in_buckets(table, buckets)
+            merged = dims.merge_analytics(known, latest, day, stage, lake.stored(table))
+            report.rows[table] = lake.replace_buckets(table, merged)
 
     together(dates, users, transactions, events)
 

@@ -207,6 +207,20 @@ STORED = {
 FILTERED = {"curated.transactions": "transaction_id"}
 KEY_FILTERS = _contract("cryear int, crmonth int, word int, bits bigint, words int")
 
+# Tables with a row per user that a day changes for its users only: kept in folders by the hash of the key, of which a
+# run rewrites those that its users fall into.
+BUCKETED = {"curated.trans_profile": "user_id", "consumption.analytics_dim": "user_id"}
+BUCKET = "bucket"
+BUCKETS = 64
+
+
+def layout(table: str) -> tuple[T.StructType, tuple[str, ...]]:
+    """Columns and partition columns of a table's folder; ``STORED`` has what is read from it."""
+    schema, parts = STORED[table]
+    if table in BUCKETED:
+        return T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType(), True)]), (BUCKET,)
+    return schema, parts
+
 
 def order_within(parts: tuple[str, ...]) -> tuple[str, ...]:
     """The columns that order rows within the folders of a table partitioned by ``parts``."""

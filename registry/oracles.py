@@ -342,6 +342,7 @@ ORACLES: dict[str, str] = {
         "src_transactions",
     ),
     "trans_profile": _with("SELECT * FROM profile", "profile"),
+    "trans_profile_by_merge": _with("SELECT * FROM profile", "profile"),
     "curate_transactions": _with("SELECT * FROM cur_trans", "cur_trans"),
     "gmv_per_month": _with("SELECT * FROM gmv ORDER BY trans_year, trans_month", "gmv"),
     "trans_date_bounds": _with(

@@ -22,7 +22,7 @@ from ledgerlake.operators.sketches import new_rows_by_month
 from ledgerlake.operators.skew import key_counts
 from ledgerlake.operators.slices import compact_day_slice, incremental_slice
 from ledgerlake.plans.lake import Lake
-from ledgerlake.plans.loads import LoadReport, land_all, load
+from ledgerlake.plans.loads import LoadReport, land_all, load, refresh_profile
 from ledgerlake.plans.together import together
 from ledgerlake.sinks import partitions, tables
 from ledgerlake.sinks.files import exists
@@ -402,6 +402,20 @@ def trans_profile(spark: SparkSession, folder: str) -> DataFrame:
     return curate.trans_profile(sample_tables.transactions(spark, folder))
 
 
+def trans_profile_by_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """The profile of all days but the last, then the last day merged in: the buckets of its users are written anew."""
+    lake = Lake(spark, Stage(spark).path("lake"))
+    daily = curate.trans_daily(_core(spark, folder))
+    last = F.make_date(*schemas.DAY_PARTS) >= F.lit(LAST_ORDERS)
+    lake.write_version("curated.trans_daily", daily.where(~last))
+    lake.write_version("curated.trans_profile", curate.profile_of_daily(lake.stored("curated.trans_daily")))
+    for after in range(2):
+        day = LAST_ORDERS + timedelta(days=after)
+        lake.replace_day("curated.trans_daily", daily, day)
+        refresh_profile(lake, day)
+    return lake.read("curated.trans_profile")
+
+
 def _profile(spark: SparkSession, folder: str, stage: Stage) -> DataFrame:
     return stage.keep(curate.profile_store(sample_tables.transactions(spark, folder)), "profile")
 
@@ -651,6 +665,7 @@ _ALL: dict[str, Query] = {
     "dedupe_users": dedupe_users,
     "trans_type_counts": trans_type_counts,
     "trans_profile": trans_profile,
+    "trans_profile_by_merge": trans_profile_by_merge,
     "curate_transactions": curate_transactions,
     "gmv_per_month": gmv_per_month,
     "trans_date_bounds": trans_date_bounds,
