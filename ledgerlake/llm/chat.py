@@ -35,7 +35,7 @@ _ESCAPED = re.compile(r"\\|</?turn>|### ")
 _UNESCAPED = re.compile(r"\\(\\|</?turn>|### )")
 
 _KEYS = "conv_id long, turn long, role string, text string"
-SEQUENCE = "conv_id long, seq long, start long, ids array<int>, mask array<int>, chars long"
+SEQUENCE = "conv_id long, seq long, start long, ids array<int>, mask array<int>"
 REPORT = (
     "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 )
@@ -55,13 +55,12 @@ def markers(ranks_path: str) -> tuple[int, int, int]:
     return free, free + 1, free + 2
 
 
-def turn_tokens(role: str, text: str, ranks_path: str) -> tuple[np.ndarray, np.ndarray, int]:
-    """Ids and loss mask of one turn, and the number of characters of its rendered form."""
+def turn_tokens(role: str, text: str, ranks_path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and loss mask of one turn."""
     turn, sep, end = markers(ranks_path)
-    shown_role, shown = escape(role), escape(text)
     segments = [
-        np.array([turn]), encode_text(shown_role, ranks_path), np.array([sep]),
-        encode_text(shown, ranks_path), np.array([end]),
+        np.array([turn]), encode_text(escape(role), ranks_path), np.array([sep]),
+        encode_text(escape(text), ranks_path), np.array([end]),
     ]
     ids = np.concatenate(segments).astype(np.int32)
     ends = np.cumsum([len(s) for s in segments])
@@ -70,7 +69,7 @@ def turn_tokens(role: str, text: str, ranks_path: str) -> tuple[np.ndarray, np.n
         step[ends[2]] += 1
         step[ends[3]] -= 1
     mask = np.cumsum(step)[:-1].astype(np.int32)
-    return ids, mask, len(OPEN) + len(shown_role) + 1 + len(shown) + len(CLOSE) + 1
+    return ids, mask
 
 
 def _tokenized(ranks_path: str):
@@ -83,9 +82,8 @@ def _tokenized(ranks_path: str):
                     *[batch.column(c) for c in ("conv_id", "turn", "role", "text")],
                     pa.array([r[0] for r in rows], type=pa.list_(pa.int32())),
                     pa.array([r[1] for r in rows], type=pa.list_(pa.int32())),
-                    pa.array([r[2] for r in rows], type=pa.int64()),
                 ],
-                names=["conv_id", "turn", "role", "text", "ids", "mask", "chars"],
+                names=["conv_id", "turn", "role", "text", "ids", "mask"],
             )
 
     return run
@@ -106,21 +104,21 @@ def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("conv_id"), pa.array(seqs, pa.int64()), pa.array(starts, pa.int64()),
-                *[batch.column(c) for c in ("ids", "mask", "chars")],
+                *[batch.column(c) for c in ("ids", "mask")],
             ],
-            names=["conv_id", "seq", "start", "ids", "mask", "chars"],
+            names=["conv_id", "seq", "start", "ids", "mask"],
         )
 
 
 def assemble(conversations: DataFrame, ranks_path: str) -> DataFrame:
-    """One row per turn: its number in the conversation, where it starts in tokens, ids, mask, rendered length."""
+    """One row per turn: its number in the conversation, where it starts in tokens, ids, mask."""
     rows = conversations.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    tokens = rows.mapInArrow(_tokenized(ranks_path), f"{_KEYS}, ids array<int>, mask array<int>, chars long")
+    tokens = rows.mapInArrow(_tokenized(ranks_path), f"{_KEYS}, ids array<int>, mask array<int>")
     return (
         tokens.repartition(partitions(rows.sparkSession), "conv_id")
         .sortWithinPartitions("conv_id", "turn", "role", "text")
@@ -135,20 +133,20 @@ class _Reading:
         self.conv, self.turns, self.loss_chars, self.chars = conv, 0, 0, 0
         self.all, self.loss = hashlib.sha256(), hashlib.sha256()
 
-    def add(self, ids: np.ndarray, mask: np.ndarray, chars: int, ranks_path: str) -> None:
+    def add(self, ids: np.ndarray, mask: np.ndarray, ranks_path: str) -> None:
         turn, sep, end = markers(ranks_path)
         at = int(np.flatnonzero(ids == sep)[0])
         if ids[0] != turn or ids[-1] != end:
             raise ValueError("a turn without its markers")
         decode = encoding(ranks_path).decode_bytes
-        role = unescape(decode(ids[1:at].tolist()).decode())
-        text = unescape(decode(ids[at + 1 : -1].tolist()).decode())
+        shown_role, shown = decode(ids[1:at].tolist()).decode(), decode(ids[at + 1 : -1].tolist()).decode()
+        role, text = unescape(shown_role), unescape(shown)
         learned = unescape(decode(ids[mask == 1].tolist()).decode())
         self.turns += 1
         self.all.update(f"{role}\n{text}\n".encode())
         self.loss.update(learned.encode())
         self.loss_chars += len(learned)
-        self.chars += chars
+        self.chars += len(OPEN) + len(shown_role) + 1 + len(shown) + len(CLOSE) + 1
 
     def row(self) -> tuple:
         return (
@@ -169,12 +167,12 @@ def _read(ranks_path: str):
         for batch in batches:
             found = []
             ids, masks = batch.column("ids"), batch.column("mask")
-            for i, (conv, chars) in enumerate(zip(batch.column("conv_id").to_pylist(), batch.column("chars").to_pylist())):
+            for i, conv in enumerate(batch.column("conv_id").to_pylist()):
                 if reading is None or conv != reading.conv:
                     if reading is not None:
                         found.append(reading.row())
                     reading = _Reading(conv)
-                reading.add(ids[i].values.to_numpy(), masks[i].values.to_numpy(), chars, ranks_path)
+                reading.add(ids[i].values.to_numpy(), masks[i].values.to_numpy(), ranks_path)
             yield rows(found)
         if reading is not None:
             yield rows([reading.row()])
