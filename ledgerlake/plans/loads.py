@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import date
 from functools import partial, reduce
@@ -48,10 +48,10 @@ def load(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: RunCon
 # --- landing ---------------------------------------------------------------------------------------------
 
 
-def shape_feed(feed: str, rows: DataFrame, ctx: RunContext) -> DataFrame:
-    """Feed rows as the source layer stores them."""
-    dated = with_compact_parts(flatten_analytics(rows)) if feed == "analytics" else with_iso_parts(rows)
-    return stamp(dated, ctx).select(*schemas.names(schemas.STORED[f"raw.{feed}"][0]))
+def shape_feed(feed: str, rows: DataFrame, ctx: RunContext, *extra: str) -> DataFrame:
+    """Feed rows as the source layer stores them, with ``extra`` columns of the feed kept."""
+    dated = with_compact_parts(flatten_analytics(rows, *extra)) if feed == "analytics" else with_iso_parts(rows)
+    return stamp(dated, ctx).select(*schemas.names(schemas.STORED[f"raw.{feed}"][0]), *extra)
 
 
 class _Landing:
@@ -234,8 +234,14 @@ def _star_rows(lake: Lake, trans: DataFrame, per_user: DataFrame) -> DataFrame:
 # --- incremental load ------------------------------------------------------------------------------------
 
 
-def incremental_load(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: RunContext) -> LoadReport:
-    """Add one day to every layer.
+def incremental_load(
+    spark: SparkSession,
+    inputs: Mapping[str, str],
+    lake: Lake,
+    ctx: RunContext,
+    land: Callable[[SparkSession, Mapping[str, str], Lake, RunContext, LoadReport], object] = land_day,
+) -> LoadReport:
+    """Add one day to every layer; ``land`` brings it into the raw layer.
 
     Old transactions and fact rows are not rewritten.  What a step adds is decided by comparing the day with
     what is stored, so a run can be repeated, also after it failed half-way.  What grows with the history is
@@ -244,7 +250,7 @@ def incremental_load(spark: SparkSession, inputs: Mapping[str, str], lake: Lake,
     report = LoadReport()
     day = ctx.slice_day
     lake.create_missing()
-    land_day(spark, inputs, lake, ctx, report)
+    land(spark, inputs, lake, ctx, report)
     with Stage(spark) as stage:
         _curate_day(lake, ctx, stage, report)
         _extend_dims(spark, lake, day, stage, report)

@@ -112,6 +112,22 @@ def replace_day(df: DataFrame, path: str, day: date) -> int:
     return written
 
 
+def write_days(df: DataFrame, path: str, days: Sequence[date]) -> None:
+    """``replace_day`` for several days in one job, each of which must have rows; other days' folders stay.
+
+    The days are one set of numbers, looked up per folder when the files are listed.
+    """
+    number = F.col("cryear") * 10000 + F.col("crmonth") * 100 + F.col("crday")
+    (
+        in_folder_order(df.where(number.isin([d.year * 10000 + d.month * 100 + d.day for d in days])), DAY_PARTS)
+        .write.mode("overwrite")
+        .option("compression", "snappy")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*DAY_PARTS)
+        .parquet(path)
+    )
+
+
 def replace_day_in_month(df: DataFrame, stored: DataFrame, path: str, day: date) -> int:
     """``replace_day`` for a table with month folders; returns the number of ``df``'s rows of ``day``.
 

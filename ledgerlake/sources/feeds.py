@@ -24,16 +24,32 @@ FEEDS = {
 # The part of each feed that is landed.
 LANDED = FEEDS | {"analytics": schemas.ANALYTICS_LANDED}
 
+_PERMISSIVE = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
 
 def scan_feed(spark: SparkSession, feed: str, path: str, contract: T.StructType | None = None) -> DataFrame:
     """Every line of a feed under its contract, plus ``_corrupt_record``."""
-    fields = (contract or FEEDS[feed]).fields
-    return (
-        spark.read.schema(T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)]))
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
+    return spark.read.schema(_with_corrupt(contract or FEEDS[feed])).options(**_PERMISSIVE).json(path)
+
+
+def stream_feed(
+    spark: SparkSession,
+    feed: str,
+    path: str,
+    contract: T.StructType | None = None,
+    max_age: str = "7d",
+    files_at_once: int | None = None,
+) -> DataFrame:
+    """The lines of the files that come into a folder, as a stream; all that are there at once unless given."""
+    reader = spark.readStream.schema(_with_corrupt(contract or FEEDS[feed])).options(**_PERMISSIVE)
+    reader = reader.option("maxFileAge", max_age)
+    if files_at_once:
+        reader = reader.option("maxFilesPerTrigger", files_at_once)
+    return reader.json(path)
+
+
+def _with_corrupt(contract: T.StructType) -> T.StructType:
+    return T.StructType(contract.fields + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
 def good_rows(scan: DataFrame) -> DataFrame:

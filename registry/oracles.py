@@ -223,6 +223,17 @@ def _rejected_rows() -> str:
     return "\nUNION ALL\n".join(counts)
 
 
+def _landed_arrivals() -> str:
+    def digits(first: int) -> str:
+        return f"CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), {first}, 4) AS INTEGER)"
+
+    return f"""SELECT {", ".join(f"CASE WHEN kind > 1 THEN {p} END AS {p}" for p in _PARTS.split(", "))}, COUNT(*) AS row_count,
+      COUNT(DISTINCT CASE WHEN kind > 1 THEN user_id END) AS users,
+      SUM(CASE WHEN kind = 0 THEN 1 ELSE 0 END)::BIGINT AS bad_lines, COUNT(DISTINCT lot) AS runs
+    FROM (SELECT *, {digits(1)} % 10 AS kind, {digits(5)} % 3 AS lot FROM src_analytics)
+    GROUP BY ALL"""
+
+
 def _table_contracts() -> str:
     months, days = ("cryear", "crmonth"), ("cryear", "crmonth", "crday")
     columns = {
@@ -283,6 +294,7 @@ ORACLES: dict[str, str] = {
         "src_analytics",
     ),
     "rejected_rows": _rejected_rows(),
+    "landed_arrivals": _with(_landed_arrivals(), "src_analytics"),
     "dedupe_transactions": _with(f"SELECT {_TRANS_FEED} FROM src_transactions", "src_transactions"),
     "full_load_fact": _with(_LOADED, "fact", "tdim", "udim", "dates"),
     "incremental_load_fact": _with(_LOADED, "fact", "tdim", "udim", "dates"),

@@ -29,6 +29,7 @@ from ledgerlake.sinks.files import exists
 from ledgerlake.sinks.stage import Stage, created_stages
 from ledgerlake.sources import feeds, sample_tables
 from ledgerlake.sources.layers import day_slice, scan_table
+from ledgerlake.streaming.arrivals import RUN, Arrivals
 
 # Fixed run clocks, so results do not depend on the wall clock.
 CTX = RunContext(date(2002, 1, 1), datetime(2002, 1, 1, 6, 0, 0))
@@ -122,9 +123,14 @@ def _param_texts(param: Column) -> Column:
 
 
 # Every tenth transaction arrives as half a line, every tenth under no day, and so with the other feeds.
+def _hex_of(key: str, first: int) -> Column:
+    """Four hexadecimal digits of a key's digest as a number."""
+    return F.conv(F.substring(F.md5(F.col(key).cast("string")), first, 4), 16, 10).cast("int")
+
+
 def _spoiled(df: DataFrame, key: str, day: str) -> DataFrame:
     """Feed lines, some cut short and some with an impossible date."""
-    kind = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 4), 16, 10).cast("int") % 10
+    kind = _hex_of(key, 1) % 10
     undated = df.withColumn(day, F.when(kind == 1, F.lit("2024-13-45")).otherwise(F.col(day)))
     line = F.to_json(F.struct(*[c for c in undated.columns if c != "_key"]))
     return undated.select(F.when(kind == 0, F.substring(line, 1, 12)).otherwise(line).alias("value"))
@@ -226,6 +232,33 @@ def late_day_refresh(spark: SparkSession, folder: str) -> DataFrame:
     return _read_events(spark, path)
 
 
+def landed_arrivals(spark: SparkSession, folder: str) -> DataFrame:
+    """Events, some of their lines spoiled, that arrive in three lots; a run after each and one with nothing new: rows
+    in the raw layer by day, how many runs brought them, and what could not be landed."""
+    stage = Stage(spark)
+    events = sample_tables.nested_events(spark, folder)
+    keyed = events.select(*schemas.names(schemas.ANALYTICS_FEED), F.col("event_id").alias("_key"))
+    lake, feed, path = Lake(spark, stage.path("lake")), "analytics", stage.path("feed")
+    lake.create_missing()
+    arrivals = Arrivals(lake, feed)
+    for lot in range(3):
+        _spoiled(keyed.where(_hex_of("_key", 5) % 3 == lot), "_key", "event_date").write.mode("append").text(path)
+        arrivals.land(path, CTX, LoadReport())
+    arrivals.land(path, CTX, LoadReport())
+    parts, brought = list(schemas.DAY_PARTS), arrivals.rows()
+    runs = brought.groupBy(*parts).agg(F.count_distinct(RUN).cast("long").alias("runs"))
+    landed = lake.stored("raw.analytics").groupBy(*parts).agg(
+        F.count(F.lit(1)).alias("row_count"), F.count_distinct("user_id").alias("users"), F.lit(0).cast("long").alias("bad_lines")
+    )
+    # A row per calendar day.
+    by_day = landed.join(F.broadcast(runs), parts)
+    lost = brought.where(F.col("cryear").isNull()).groupBy(*parts).agg(
+        F.count(F.lit(1)).alias("row_count"), F.lit(0).cast("long").alias("users"), F.count(feeds.CORRUPT).alias("bad_lines"),
+        F.count_distinct(RUN).cast("long").alias("runs"),
+    )
+    return by_day.unionByName(lost)
+
+
 def compacted_months(spark: SparkSession, folder: str) -> DataFrame:
     """Transactions that came in three appends, packed: rows and files of each month."""
     lake, table = Lake(spark, Stage(spark).path("lake")), "curated.transactions"
@@ -647,6 +680,7 @@ _ALL: dict[str, Query] = {
     "register_partitions": register_partitions,
     "swap_day_partition": swap_day_partition,
     "append_new_rows": append_new_rows,
+    "landed_arrivals": landed_arrivals,
     "compacted_months": compacted_months,
     "new_transactions_by_filter": new_transactions_by_filter,
     "rows_by_user": rows_by_user,
