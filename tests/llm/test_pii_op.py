@@ -57,6 +57,14 @@ def test_long_texts_take_linear_time(make_docs):
     assert pii.spans(make_docs(rows)).count() == 5
 
 
+def test_places_of_very_many_candidates(make_docs):
+    """Texts of more than a block of blocks of candidates: those that pass are few, all, or between others."""
+    texts = ["AB12 " * 40_000 + "a@b.c", "a@b.c, " * 40_000, "1.2.3.4 1.2.3.999 " * 20_000]
+    got = {r.doc_id: r for r in pii.report(pii.spans(make_docs(list(enumerate(texts))))).collect()}
+    for i, text in enumerate(texts):
+        assert got[i].base_sha256 == hashlib.sha256(base_spans(text).encode()).hexdigest()
+
+
 def test_checksums_and_context(make_docs):
     rows = [
         (1, "IBAN: DE89 3704 0044 0532 0130 00 and GB82WEST12345698765432."), (2, "DE89 3704 0044 0532 0130 01"),
@@ -78,3 +86,18 @@ def test_redaction_keeps_the_rest(make_docs):
 
 def test_empty_table(make_docs):
     assert pii.report(pii.spans(make_docs([]).limit(0))).collect() == []
+
+
+def test_redaction_of_very_many_spans(make_docs):
+    """Spans at, across and beside the cuts of a text, many of them, characters outside the basic plane included."""
+    mails = "😀x@y.de é " * 9_000
+    texts = {
+        0: (mails, "😀[EMAIL] é " * 9_000),
+        1: (" " * 511 + "a@b.c" + " " * 2000 + "1.2.3.4", " " * 511 + "[EMAIL]" + " " * 2000 + "[IP]"),
+        2: (" " * 512 + "a@b.c" + " " * 507, " " * 512 + "[EMAIL]" + " " * 507),
+        3: (" " * 1536 + "1.2.3.4", " " * 1536 + "[IP]"),
+        4: (" " * 510 + "a@b.c" + "é" * 5000, " " * 510 + "[EMAIL]" + "é" * 5000),
+        5: ("no spans", "no spans"),
+    }
+    got = {r.doc_id: r.text for r in pii.redacted(make_docs([(i, t) for i, (t, _) in texts.items()])).collect()}
+    assert got == {i: want for i, (_, want) in texts.items()}
