@@ -1,13 +1,15 @@
 """SpotSigs document fingerprints, in SQL functions only.
 
 A spot signature is a common word (the anchor) with the two content words that follow it; common words in
-between are passed over.  A fingerprint is the set of the hashes of a text's signatures.  Sets are compared by
-Jaccard similarity, after pruning by length: sets are partitioned by their size such that sets of a
-similarity of ``least`` or more lie in the same or in neighbouring partitions, and within those the smaller size
-over the larger bounds the similarity.  A pruned pair has a likeness below ``least`` and gets 0.
-
-Words are runs of letters and digits in lower case.  NULL texts count as empty; a text without a whole chain
-has the empty fingerprint, and two empty fingerprints are alike (1).  Repeated rows have the same fingerprint.
+between are passed over.  A fingerprint is the set of the 64-bit hashes of a text's signatures.  Sets are compared by
+Jaccard similarity.  With a ``least`` they are pruned by length first: sets are partitioned by their size such that
+sets of a similarity of ``least`` or more lie in the same or in neighbouring partitions, and within those the smaller
+size over the larger bounds the similarity; a pruned pair has a likeness below ``least`` and gets 0.
+
+Words are runs of letters and digits in lower case.  A text without a whole chain has each word with the two after it
+(as far as there are) for signatures instead, one without words but not empty the hash of itself.  NULL texts count as
+empty; the empty text alone has the empty fingerprint, so likeness 1 never comes of a lack of signatures.  Repeated
+rows have the same fingerprint.
 In the order of documents NULL ids come last and repeated ids follow the order of the rows.
 """
 
@@ -32,7 +34,8 @@ _COMMON = "(?:" + "|".join(sorted(set(COMMON))) + ")"
 # A run of anchors (group 1), and seen but not consumed the two content words behind it with any common words
 # between them (group 2, empty where the text ends before).  Runs are consumed whole, so the time is linear.
 _CHAIN = f" ((?:{_COMMON} )++)(?:(?=([^ ]++ (?:{_COMMON} )*+[^ ]++) )|)"
-LEAST = 0.05
+# Without anchors: each word with up to two after it, seen but not consumed.
+_WORDS = " (?=([^ ]++(?: [^ ]++){0,2}+) )"
 
 
 def with_signatures(frame: DataFrame, sets: dict[str, str]) -> DataFrame:
@@ -52,11 +55,19 @@ def with_signatures(frame: DataFrame, sets: dict[str, str]) -> DataFrame:
 
     def chains(run: Column, tail: Column) -> Column:
         first, second = F.substring_index(tail, " ", 1), F.substring_index(tail, " ", -1)
-        own = F.transform(F.array_distinct(F.split(F.trim(run), " ")), lambda anchor: F.hash(anchor, first, second))
-        return F.when(tail != "", own).otherwise(F.array().cast("array<int>"))
+        own = F.transform(F.array_distinct(F.split(F.trim(run), " ")), lambda anchor: F.xxhash64(anchor, first, second))
+        return F.when(tail != "", own).otherwise(F.array().cast("array<bigint>"))
 
     def hashes(name: str) -> Column:
-        return F.sort_array(F.array_distinct(F.flatten(F.zip_with(f"_run_{name}", f"_tail_{name}", chains))))
+        own = F.flatten(F.zip_with(f"_run_{name}", f"_tail_{name}", chains))
+        plain = F.transform(F.regexp_extract_all(f"_w_{name}", F.lit(_WORDS), F.lit(1)), lambda w: F.xxhash64(w))
+        found = (
+            F.when(F.exists(f"_tail_{name}", lambda tail: tail != ""), own)
+            .when(F.trim(f"_w_{name}") != "", plain)
+            .when(F.col(sets[name]) != "", F.array(F.xxhash64(sets[name])))
+            .otherwise(F.array().cast("array<bigint>"))
+        )
+        return F.sort_array(F.array_distinct(found))
 
     return found.withColumns({n: hashes(n) for n in sets}).drop(*[f"_{g}_{n}" for n in sets for g in ("w", "run", "tail")])
 
@@ -70,17 +81,15 @@ def length_partition(size: Column, least: float) -> Column:
     return F.floor(F.log(F.greatest(size, F.lit(1))) / F.log(F.lit(1 / least))).cast("int")
 
 
-def likeness(a: Column, b: Column, least: float = LEAST) -> Column:
-    """Jaccard similarity of two sets, or 0 where their lengths alone put it below ``least``."""
+def likeness(a: Column, b: Column, least: float | None = None) -> Column:
+    """Jaccard similarity of two sets; with ``least``, 0 where their lengths alone put it below that."""
     m, n = F.size(a), F.size(b)
-    far = F.abs(length_partition(m, least) - length_partition(n, least)) > 1
-    pruned = far | (F.least(m, n) < F.lit(least) * F.greatest(m, n))
     common = F.size(F.array_intersect(a, b))
-    return (
-        F.when((m == 0) & (n == 0), 1.0)
-        .when(pruned, 0.0)
-        .otherwise(common / (m + n - common))
-    )
+    exact = F.when((m == 0) & (n == 0), 1.0).otherwise(common / (m + n - common))
+    if least is None:
+        return exact
+    far = F.abs(length_partition(m, least) - length_partition(n, least)) > 1
+    return F.when(far | (F.least(m, n) < F.lit(least) * F.greatest(m, n)), 0.0).otherwise(exact)
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -109,7 +118,7 @@ def successors(rows: DataFrame, stage: Stage) -> DataFrame:
     return ranked.select("row", "rank").join(before, "rank").select("row", "previous", "need")
 
 
-def edited_and_next(docs: DataFrame, stage: Stage, least: float = LEAST) -> DataFrame:
+def edited_and_next(docs: DataFrame, stage: Stage, least: float | None = None) -> DataFrame:
     """Fingerprints of each text and of its edited form, compared with each other and with the next document's.
 
     In the edited form the second half of a text is replaced by as much of the next document's beginning.
