@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import math
 import random
+from collections import Counter
+
+import numpy as np
 
 from ledgerlake.llm import decontam
 
@@ -53,12 +57,38 @@ def test_an_edited_copy_is_found_and_a_half_is_not(spark, make_docs):
     assert [(x.doc_id, x.item_id) for x in got] == [(1, 5)]
 
 
-def test_blocks_of_items_give_the_same(spark, make_docs, monkeypatch):
-    benchmark = spark.createDataFrame(items(), "item_id long, text string")
+def test_indexes_and_passes_give_the_same(spark, make_docs, monkeypatch):
+    """Scores too: the statistics are those of the whole benchmark, however it is cut."""
+    benchmark = spark.createDataFrame(items() + [(None, items()[7][1]), (9, items()[9][1])], "item_id long, text string")
     docs = make_docs([(i, t) for i, t in items() if t])
-    whole = sorted(map(tuple, decontam.contaminated(docs, benchmark).select("doc_id", "item_id").collect()))
+    rows = lambda: sorted((r.doc_id, r.item_id or -1, round(r.score, 5)) for r in decontam.contaminated(docs, benchmark).collect())
+    whole = rows()
+    assert [r[:2] for r in whole].count((9, 9)) == 2 and (7, -1) in [r[:2] for r in whole]
     monkeypatch.setattr(decontam, "INDEX_ITEMS", 7)
-    assert sorted(map(tuple, decontam.contaminated(docs, benchmark).select("doc_id", "item_id").collect())) == whole
+    assert decontam.packed_indexes(benchmark).count() > 4
+    assert rows() == whole
+    monkeypatch.setattr(decontam, "PASS_INDEXES", 2)
+    monkeypatch.setattr(decontam, "BUFFER_CHARS", 300)
+    assert rows() == whole
+    more = make_docs([(1, items()[2][1]), (2, "nothing here"), (3, None)])
+    assert sorted(r.doc_id for r in decontam.clean(more, benchmark).collect()) == [2, 3]
+
+
+def test_a_very_long_item_does_not_stretch_the_others(spark, make_docs):
+    """The long item is found in its own passages, the short ones in short passages, each once."""
+    r = random.Random(2)
+    long = " ".join(f"w{r.randrange(30000)}" for _ in range(20_000)) + ". the end of it."
+    benchmark = items()[:40] + [(90, long)]
+    words = long.split()
+    noise = [f"w{r.randrange(30000)}" for _ in range(60_000)]
+    rows = [
+        (1, " ".join(noise[:5000] + words + noise[5000:])),
+        (2, " ".join(noise + items()[4][1].split())),
+        (3, " ".join(noise)),
+        (4, " ".join(words[: len(words) // 2])),
+    ]
+    got = decontam.contaminated(make_docs(rows), spark.createDataFrame(benchmark, "item_id long, text string")).collect()
+    assert {(x.doc_id, x.item_id) for x in got} == {(1, 90), (2, 4)}
 
 
 def test_clean_keeps_columns_and_clean_documents(spark, make_docs):
@@ -71,18 +101,47 @@ def test_clean_keeps_columns_and_clean_documents(spark, make_docs):
     assert decontam.contaminated(make_docs([]).limit(0), benchmark).collect() == []
 
 
-def test_bounds_lose_no_item_above_the_threshold():
-    import numpy as np
-
-    index = decontam.build_index([x for x in items() if x[1]])
-    r = np.random.default_rng(3)
-    ids = r.integers(-1, len(index.vocabulary), 3000).astype(np.int32)
-    got = {(s, k) for s, _, k, _ in decontam.retrieved(index, ids)}
-    step = index.window // 2
-    for start in range(0, len(ids) - step, step):
-        terms = np.unique(ids[start : start + 2 * step])
-        scores = index.impacts[terms[terms >= 0]].sum(axis=0)
-        assert {k for k in np.flatnonzero(scores >= 1)} <= {k for s, k in got if s == start}
+def index_of(benchmark) -> decontam.Index:
+    texts = [decontam.words_of(t) for _, t in benchmark]
+    df = Counter(w for t in texts for w in set(t))
+    n = sum(1 for t in texts if t)
+    return decontam.build_index([(i, t, 1) for i, t in benchmark], df, n, sum(map(len, texts)) / n)
+
+
+def test_bounds_lose_no_item_above_the_threshold(monkeypatch):
+    """Pivot and block maxima against the BM25 formula for every passage and item."""
+    r = random.Random(3)
+    benchmark = [x for x in items() if x[1]] + [(60 + i, " ".join(items()[i][1].split() * 3)) for i in range(9)]
+    index = index_of(benchmark)
+    assert len(index.classes) > 1
+    df = Counter(t for w in index.words for t in set(w.tolist()))
+    n, mean = len(index.words), sum(map(len, index.words)) / len(index.words)
+
+    def impacts(words) -> dict:
+        tf = Counter(words)
+        norm = decontam.K1 * (1 - decontam.B + decontam.B * len(words) / mean)
+        own = {t: math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)) * c * (decontam.K1 + 1) / (c + norm) for t, c in tf.items()}
+        return {t: v / (decontam.SHARE * sum(own.values())) for t, v in own.items()}
+
+    every = [impacts(w.tolist()) for w in index.words]
+    ids = np.array([r.randrange(-1, len(index.vocabulary)) for _ in range(6000)], dtype=np.int32)
+    for at, k in ((100, 3), (2500, 42), (4000, len(every) - 1)):
+        ids[at : at + len(index.words[k])] = index.words[k]
+    for entries in (decontam.ENTRIES, 50):
+        monkeypatch.setattr(decontam, "ENTRIES", entries)
+        for lists in index.classes:
+            got = {(s, k): score for t, s, _, k, score in decontam.retrieved(lists, [ids[:0], ids, ids[:9]]) if t == 1}
+            mine = {int(k) for k in lists.item}
+            step = lists.window // 2
+            wanted = {}
+            for start in range(0, max(1, -(-len(ids) // step) - 1) * step, step):
+                terms = set(ids[start : start + 2 * step].tolist())
+                for k in mine:
+                    score = sum(v for t, v in every[k].items() if t in terms)
+                    if score >= 1:
+                        wanted[start, k] = score
+            assert wanted and all(abs(got[x] - score) < 1e-3 for x, score in wanted.items())
+            assert all(score >= 1 - 1e-3 for score in got.values())
 
 
 def test_every_one_word_edit_is_found_and_a_question_alone_is_not(spark, make_docs):
