@@ -55,6 +55,21 @@ def documents(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
 
 
+_SPARE = 1.2  # so many times the rows asked for are kept, as the number of keys is an estimate within one per cent
+
+
+def lowest_hashes(df: DataFrame, key: str, rows: int) -> DataFrame:
+    """A little more than ``rows`` keys with all their rows, those with the lowest hashes; all if there are fewer.
+
+    What follows, such as an ordered limit, then meets a bounded number of keys from the whole table and not ``rows``
+    of every partition.
+    """
+    keys = df.agg(F.approx_count_distinct(key, 0.01)).first()[0]
+    if keys <= _SPARE * rows:
+        return df
+    return df.where(F.xxhash64(key) < F.lit(int(_SPARE * rows / keys * 2**64) - 2**63))
+
+
 ROW = "_row_number"
 _ROW_BITS = 40  # for the place in a file; the rest of the positive numbers is for 8 million files
 

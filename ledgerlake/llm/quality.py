@@ -7,7 +7,8 @@ returned is sigmoid(s - cut): 0.5 or more means the document is above the cut.
 
 Features describe the whole text only (shape of words, symbols and lines); ids, source, language and labels
 are no inputs.  NULL and empty texts get the features of an empty text and a score like any other.  Labels:
-NULL ids or labels are left out, repeated labels of a document count as poor if any is poor.  Without both a
+NULL ids or labels are left out, repeated labels of a document count as poor if any is poor, and of the texts of a
+repeated id one is learned from.  Without both a
 good and a poor labelled document nothing can be ranked, and every score is 0.5.
 """
 
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerlake.llm.common import documents, whole_text
+from ledgerlake.llm.common import documents, lowest_hashes, whole_text
 
 FIT_ROWS = 20_000  # labelled documents used for the fit at most; the bound of what the driver gets
 FIT_PAIRS = 200_000
@@ -122,15 +123,19 @@ def cut_at_quantile(scores: np.ndarray, good: np.ndarray) -> float:
 
 def learn(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Ranking:
     """Fit on at most ``rows`` labelled documents, taken by a hash of their id; held-out ids are left out."""
+    usable = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).where(
+        F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out()
+    )
     known = (
-        labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-        .where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull() & ~held_out())
-        .groupBy("doc_id").agg(F.min("quality").alias("quality"))
+        lowest_hashes(usable, "doc_id", rows).groupBy("doc_id").agg(F.min("quality").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
     # Bounded by ``rows``, so it is sent to the documents instead of shuffling texts.
-    sample = documents(docs).join(F.broadcast(known), "doc_id").select("doc_id", "quality", features("text").alias("x"))
-    got = sample.orderBy("doc_id").limit(rows).collect()
+    sample = documents(docs).join(F.broadcast(known), "doc_id").select(
+        "doc_id", F.struct(F.xxhash64("text").alias("text"), "quality", features("text").alias("x")).alias("one")
+    )
+    # One row of a repeated id, picked before the shuffle; at most ``rows`` ids.
+    got = [r["one"] for r in sample.groupBy("doc_id").agg(F.min("one").alias("one")).orderBy("doc_id").collect()]
     if not got:
         return Ranking(np.zeros(len(FEATURES)), 0.0)
     return fit(np.array([r["x"] for r in got]), np.array([r["quality"] == 1 for r in got]))

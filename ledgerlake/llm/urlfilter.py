@@ -5,7 +5,7 @@ prefix, and the longest fitting rule wins.  The trees learn from labelled URLs:
 character entropy, parameter counts and the share of blocked URLs per host suffix.
 
 NULL URLs and URLs without ``://`` have an empty host and path; the trees still judge their characters.
-Repeated URLs and ids are judged row by row.  With no labelled URLs, or labels of one kind only, there is
+Repeated URLs and ids are judged row by row; for the fit a repeated URL counts once.  With no labelled URLs, or labels of one kind only, there is
 nothing to learn: the verdict is that kind, or "allow".
 """
 
@@ -20,6 +20,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlake.llm.common import lowest_hashes
 from ledgerlake.sinks.stage import Stage
 
 ALLOW, BLOCK = "allow", "block"
@@ -131,9 +132,10 @@ def _with_rate(urls: DataFrame, suffixes: DataFrame, rate: float) -> DataFrame:
 
 def learn(labelled: DataFrame, stage: Stage, rows: int = FIT_ROWS) -> UrlModel:
     """Fit on at most ``rows`` labelled URLs (``url, host, path, blocked`` with blocked 0 or 1)."""
-    sample = stage.keep(with_features(
-        labelled.where(F.col("blocked").isNotNull()).orderBy(F.xxhash64("url"), "url", "blocked").limit(rows)
-    ), "labelled")
+    known = lowest_hashes(labelled.where(F.col("blocked").isNotNull()), "url", rows)
+    # Copies go before the shuffle; what reaches the one task of the limit is little more than ``rows`` URLs.
+    once = known.select("url", "host", "path", "blocked").distinct()
+    sample = stage.keep(with_features(once.orderBy(F.xxhash64("url"), "url", "blocked").limit(rows)), "labelled")
     counts = sample.agg(F.count("*").alias("n"), F.coalesce(F.avg("blocked"), F.lit(0.0)).alias("rate")).first()
     rate = float(counts["rate"])
     if rate in (0.0, 1.0):

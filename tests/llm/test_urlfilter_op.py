@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import random
 
+from pyspark.sql import functions as F
+
 from ledgerlake.llm import urlfilter
+from ledgerlake.llm.common import lowest_hashes
 from ledgerlake.llm.queries import URL_RULES
 
 SCHEMA = "page_id long, url string, html string, host string, rule string, suffix string"
@@ -61,3 +64,24 @@ def test_nothing_to_learn(spark, stage):
     assert urlfilter.filtered(empty, URL_RULES, stage).collect() == []
     one = spark.createDataFrame([(1, "http://x.org/", "", "", "", "")], SCHEMA)
     assert urlfilter.filtered(one, URL_RULES, stage).first().verdict == "allow"
+
+
+def test_the_sample_is_the_lowest_hashes_of_different_urls(spark, stage):
+    """One URL fills a third of the rows; what is learned from does not depend on that, nor on the partitions."""
+    rows = [(i, f"http://s{i % 50}.org/{i % 700}") for i in range(4000)] + [(i, "http://hot.org/en/") for i in range(2000)]
+    urls = urlfilter.parsed(spark.createDataFrame(rows, "page_id long, url string").repartition(7), ())
+    labelled = urls.withColumn("blocked", F.crc32(urls.url.cast("binary")) % 2 == 0).withColumn("blocked", F.col("blocked").cast("int"))
+    kept = lowest_hashes(labelled, "url", 100)
+    n = kept.select("url").distinct().count()
+    assert 100 <= n <= 150
+    assert kept.agg(F.max(F.xxhash64("url"))).first()[0] < labelled.join(kept, "url", "left_anti").agg(F.min(F.xxhash64("url"))).first()[0]
+    assert lowest_hashes(labelled, "url", 10_000).count() == len(rows)
+    models = [urlfilter.learn(x, stage, 100) for x in (labelled, labelled.dropDuplicates(["url"]).repartition(3))]
+    assert models[0].rate == models[1].rate
+    assert models[0].suffixes.count() == 1
+
+
+def test_very_long_urls(spark, stage):
+    rows = [(i, f"http://example.com/en/{'a-1?' * 20_000}{i}") for i in range(3)] + [(9, "x" * 100_000), (10, "http://x.net/es/1")]
+    got = urlfilter.filtered(spark.createDataFrame([(*r, "", "", "", "") for r in rows], SCHEMA), URL_RULES, stage).collect()
+    assert {(r.page_id, r.verdict) for r in got if r.rule} == {(i, "block") for i in (0, 1, 2, 10)}
