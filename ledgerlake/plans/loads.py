@@ -12,11 +12,13 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake import schemas
 from ledgerlake.context import FULL_LOAD, RunContext
 from ledgerlake.functions.dates import on_day, with_compact_parts, with_iso_parts
 from ledgerlake.operators import curate, dims, fact
+from ledgerlake.operators.casts import cast_counts, cast_report, cast_rows, feed_casts
 from ledgerlake.operators.flatten import flatten_analytics
 from ledgerlake.operators.newrows import incremental_new_rows, new_rows, with_key, without_key
 from ledgerlake.operators.sketches import new_rows_by_month
@@ -29,6 +31,7 @@ from ledgerlake.sinks.stage import Stage
 from ledgerlake.sources.feeds import LANDED, bad_line_count, bad_lines, good_rows, scan_feed
 
 FEED_NAMES = ("users", "transactions", "analytics")
+CASTS, RUN, FEED = "casts", "run", "feed"  # folder and partition columns of the counts of typed columns
 
 
 @dataclass
@@ -55,7 +58,10 @@ def shape_feed(feed: str, rows: DataFrame, ctx: RunContext, *extra: str) -> Data
 
 
 class _Landing:
-    """One feed on its way in: every line is landed, set aside as unreadable, or set aside as undated."""
+    """One feed on its way in: every line is landed, set aside as unreadable, or set aside as undated.
+
+    What its typed columns hold is counted on the way.
+    """
 
     def __init__(self, spark: SparkSession, feed: str, path: str, ctx: RunContext) -> None:
         self._lines, self._undated = Observation(), Observation()
@@ -65,7 +71,9 @@ class _Landing:
         shaped = shape_feed(feed, good_rows(counted), ctx)
         # A row without a day is in no day's folder, so no run could ever come back to it.
         without_day = F.count(F.when(F.col("cryear").isNull(), 1))
-        self.rows = shaped.observe(self._undated, without_day.alias("n")).where(F.col("cryear").isNotNull())
+        self._casts = feed_casts(feed, ctx.as_of)
+        seen = shaped.observe(self._undated, without_day.alias("n"), *cast_counts(self._casts))
+        self.rows = seen.where(F.col("cryear").isNotNull())
 
     def set_aside(self, lake: Lake, report: LoadReport) -> None:
         """Keep what was not landed, once ``rows`` has been written."""
@@ -81,6 +89,19 @@ class _Landing:
             if seen.get["n"]:
                 rows().write.mode("overwrite").parquet(_set_aside(lake, f"{self.feed}_{name}", self.ctx))
 
+    def report_casts(self, lake: Lake) -> None:
+        """Store the counts of the typed columns, once ``rows`` has been written; a repeated run replaces its own."""
+        rows = cast_rows(self.feed, self._casts, self._undated.get)
+        path = f"{lake.root}/{CASTS}/{RUN}={_run_name(self.ctx)}/{FEED}={self.feed}"
+        # A row per typed column.
+        cast_report(lake.spark, rows).drop(FEED).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def stored_casts(lake: Lake) -> DataFrame:
+    """The counts of all runs: ``run`` (a day, or "full") and the report's columns."""
+    stored = lake.spark.read.schema(T.StructType([T.StructField(RUN, T.StringType()), *schemas.CAST_REPORT.fields]))
+    return stored.parquet(f"{lake.root}/{CASTS}").select(RUN, *schemas.names(schemas.CAST_REPORT))
+
 
 def land_all(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: RunContext, report: LoadReport) -> None:
     """Land whole feeds."""
@@ -89,6 +110,7 @@ def land_all(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: Ru
         landing = _Landing(spark, feed, inputs[feed], ctx)
         _rewrite(lake, f"raw.{feed}", landing.rows, report)
         landing.set_aside(lake, report)
+        landing.report_casts(lake)
 
     with many_folders(spark):
         together(*[partial(land, feed) for feed in FEED_NAMES])
@@ -102,6 +124,7 @@ def land_day(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: Ru
         # A feed that is empty or all of another day still has to be read to the end to be counted.
         report.rows[f"raw.{feed}"] = late_day_refresh(landing.rows, lake.path(f"raw.{feed}"), ctx)
         landing.set_aside(lake, report)
+        landing.report_casts(lake)
 
     together(*[partial(land, feed) for feed in FEED_NAMES])
 
@@ -111,8 +134,11 @@ def land_day(spark: SparkSession, inputs: Mapping[str, str], lake: Lake, ctx: Ru
 
 def _set_aside(lake: Lake, name: str, ctx: RunContext) -> str:
     """Folder for what a run cannot use; a repeated run replaces its own."""
-    run = "full" if ctx.mode == FULL_LOAD else ctx.slice_day.isoformat()
-    return f"{lake.root}/quarantine/{name}/{run}"
+    return f"{lake.root}/quarantine/{name}/{_run_name(ctx)}"
+
+
+def _run_name(ctx: RunContext) -> str:
+    return "full" if ctx.mode == FULL_LOAD else ctx.slice_day.isoformat()
 
 
 class _Keyed:

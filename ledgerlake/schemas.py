@@ -203,6 +203,11 @@ STORED = {
     "consumption.gmv_per_month": (GMV, ()),
 }
 
+# What each run could not read of the typed columns of its feeds.
+CAST_REPORT = _contract(
+    "feed string, column_name string, rows_read bigint, missing bigint, not_cast bigint, out_of_range bigint"
+)
+
 # Tables whose keys are also kept as month filters, and the key.
 FILTERED = {"curated.transactions": "transaction_id"}
 KEY_FILTERS = _contract("cryear int, crmonth int, word int, bits bigint, words int")

@@ -223,6 +223,29 @@ def _rejected_rows() -> str:
     return "\nUNION ALL\n".join(counts)
 
 
+def _cast_rejects() -> str:
+    def count(which: str) -> str:
+        return f"SUM(CASE WHEN {which} THEN 1 ELSE 0 END)::BIGINT"
+
+    def row(feed: str, column: str, table: str, key: str, missing: str, not_cast: str, beyond: str) -> str:
+        kind = f"CAST('0x' || substr(md5(CAST({key} AS VARCHAR)), 1, 4) AS INTEGER) % 10"
+        return f"""SELECT 'full' AS run, '{feed}' AS feed, '{column}' AS column_name, COUNT(*) AS rows_read,
+            {count(missing)} AS missing, {count(not_cast)} AS not_cast, {count(beyond)} AS out_of_range
+          FROM (SELECT *, {kind} AS kind FROM {table})"""
+
+    empty = "kind = 3 OR (kind NOT IN (1, 2) AND rating IS NULL)"
+    return "\nUNION ALL\n".join(
+        [
+            row("users", "rating", "src_users", "user_id", empty, "kind = 1", "kind = 2"),
+            row("users", "created_at", "src_users", "user_id", "FALSE", "kind = 5", "kind = 4"),
+            row("transactions", "amount", "src_transactions", "transaction_id", "kind = 3", "kind = 1", "kind = 2"),
+            row("transactions", "created_at", "src_transactions", "transaction_id", "FALSE", "kind = 5", "kind = 4"),
+            row("analytics", "event_date", "src_analytics", "event_id", "FALSE", "kind = 5", "kind = 4"),
+            row("analytics", "operating_system_version", "src_analytics", "event_id", "FALSE", "FALSE", "FALSE"),
+        ]
+    )
+
+
 def _landed_arrivals() -> str:
     def digits(first: int) -> str:
         return f"CAST('0x' || substr(md5(CAST(event_id AS VARCHAR)), {first}, 4) AS INTEGER)"
@@ -294,6 +317,7 @@ ORACLES: dict[str, str] = {
         "src_analytics",
     ),
     "rejected_rows": _rejected_rows(),
+    "cast_rejects": _with(_cast_rejects(), "src_users", "src_transactions", "src_analytics"),
     "landed_arrivals": _with(_landed_arrivals(), "src_analytics"),
     "dedupe_transactions": _with(f"SELECT {_TRANS_FEED} FROM src_transactions", "src_transactions"),
     "full_load_fact": _with(_LOADED, "fact", "tdim", "udim", "dates"),

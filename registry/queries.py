@@ -22,7 +22,7 @@ from ledgerlake.operators.sketches import new_rows_by_month
 from ledgerlake.operators.skew import key_counts
 from ledgerlake.operators.slices import compact_day_slice, incremental_slice
 from ledgerlake.plans.lake import Lake
-from ledgerlake.plans.loads import LoadReport, land_all, load, refresh_profile
+from ledgerlake.plans.loads import LoadReport, land_all, load, refresh_profile, stored_casts
 from ledgerlake.plans.together import together
 from ledgerlake.sinks import partitions, tables
 from ledgerlake.sinks.files import exists
@@ -33,6 +33,7 @@ from ledgerlake.streaming.arrivals import RUN, Arrivals
 
 # Fixed run clocks, so results do not depend on the wall clock.
 CTX = RunContext(date(2002, 1, 1), datetime(2002, 1, 1, 6, 0, 0))
+AFTER = RunContext(date(2024, 2, 1), datetime(2024, 2, 1, 6, 0, 0))
 TRADE_CTX = RunContext(date(1998, 5, 14), datetime(1998, 5, 14, 6, 0, 0), INCREMENTAL_LOAD)
 TRADE_NIGHT = RunContext(date(1998, 5, 14), datetime(1998, 5, 14, 0, 10, 0), INCREMENTAL_LOAD, True)
 EVENT_CTX = RunContext(date(2024, 1, 15), datetime(2024, 1, 15, 18, 0, 0), INCREMENTAL_LOAD)
@@ -163,6 +164,36 @@ def rejected_rows(spark: SparkSession, folder: str) -> DataFrame:
     return audit.row_counts(parts)
 
 
+def _mistyped(df: DataFrame, key: str, texts: dict[str, tuple[str, str]], day: str, late: str) -> DataFrame:
+    """Feed rows some of whose typed columns are no value, a value out of range, of a later day, or missing."""
+    kind = _hex_of(key, 1) % 10
+    wrong = {
+        c: F.when(kind == 1, F.lit(junk)).when(kind == 2, F.lit(beyond)).when(kind == 3, F.lit(None)).otherwise(F.col(c))
+        for c, (junk, beyond) in texts.items()
+    }
+    wrong[day] = F.when(kind == 4, F.lit(late)).when(kind == 5, F.lit("")).otherwise(F.col(day))
+    return df.withColumns(wrong)
+
+
+def cast_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """What is missing, no value or out of range in each typed column of feeds with spoiled texts."""
+    stage = Stage(spark)
+    events = sample_tables.nested_events(spark, folder)
+    late, text = "2999-01-01T00:00:00", {"rating": ("good", "6"), "amount": ("n/a", "-1.50")}
+    users = _mistyped(sample_tables.users(spark, folder), "user_id", {"rating": text["rating"]}, "created_at", late)
+    sent = sample_tables.transactions(spark, folder)
+    sent = _mistyped(sent, "transaction_id", {"amount": text["amount"]}, "created_at", late)
+    events = _mistyped(events, "event_id", {}, "event_date", "29990101").select(*schemas.names(schemas.ANALYTICS_FEED))
+    inputs = {
+        "users": _as_json(users, stage, "users"),
+        "transactions": _as_json(sent, stage, "transactions"),
+        "analytics": _as_json(events, stage, "analytics"),
+    }
+    lake = Lake(spark, stage.path("lake"))
+    land_all(spark, inputs, lake, AFTER, LoadReport())
+    return stored_casts(lake)
+
+
 # --- landing ---------------------------------------------------------------------------------------------
 
 
@@ -716,6 +747,7 @@ _ALL: dict[str, Query] = {
     "star_report_top20": star_report_top20,
     "late_day_refresh": late_day_refresh,
     "rejected_rows": rejected_rows,
+    "cast_rejects": cast_rejects,
     "dedupe_transactions": dedupe_transactions,
     "full_load_fact": full_load_fact,
     "incremental_load_fact": incremental_load_fact,
