@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime, timedelta
-from functools import reduce, wraps
+from functools import partial, reduce, wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -663,14 +663,40 @@ def full_load_fact(spark: SparkSession, folder: str) -> DataFrame:
     return _loaded_fact(lake)
 
 
+def _dumps_by_day(spark: SparkSession, folder: str, stage: Stage) -> list[dict[str, str]]:
+    """Feeds of the full load and of the two incremental days.
+
+    Equal dumps are written once and shared: users never change, the transactions of both days are cut at the
+    same day, and the first day's events are those of the full load.
+    """
+    sent, seen = sample_tables.transactions(spark, folder), sample_tables.nested_events(spark, folder)
+
+    def trans_before(day: date) -> str:
+        return _as_json(sent.where(F.substring("created_at", 1, 10) < day.isoformat()), stage, "transactions")
+
+    def events_before(day: date) -> str:
+        rows = seen.where(F.col("event_date") < day.strftime("%Y%m%d"))
+        return _as_json(rows.select(*schemas.names(schemas.ANALYTICS_FEED)), stage, "analytics")
+
+    users, *dumps = together(
+        lambda: _as_json(sample_tables.users(spark, folder), stage, "users"),
+        *[partial(trans_before, LAST_ORDERS + timedelta(days=n)) for n in (0, 1)],
+        *[partial(events_before, LAST_EVENTS + timedelta(days=n)) for n in (0, 1)],
+    )
+    trans, analytics = dumps[:2], dumps[2:]
+    return [
+        {"users": users, "transactions": trans[0], "analytics": analytics[0]},
+        {"users": users, "transactions": trans[1], "analytics": analytics[0]},
+        {"users": users, "transactions": trans[1], "analytics": analytics[1]},
+    ]
+
+
 def incremental_load_fact(spark: SparkSession, folder: str) -> DataFrame:
     """A full load of all but the last days, then those days one by one, the last of them twice."""
     stage = Stage(spark)
     lake = Lake(spark, stage.path("lake"))
-    before = _feeds_before(spark, folder, stage, LAST_ORDERS, LAST_EVENTS)
+    before, *feeds_by_day = _dumps_by_day(spark, folder, stage)
     load(spark, before, lake, RunContext(CTX.as_of, CTX.processed_at, FULL_LOAD))
-    after = [timedelta(days=n) for n in (0, 1)]
-    feeds_by_day = [_feeds_before(spark, folder, stage, LAST_ORDERS + after[1], LAST_EVENTS + n) for n in after]
     for inputs, day in ((feeds_by_day[0], LAST_ORDERS), (feeds_by_day[1], LAST_EVENTS), (feeds_by_day[1], LAST_EVENTS)):
         load(spark, inputs, lake, RunContext(day, datetime(day.year, day.month, day.day, 18), INCREMENTAL_LOAD))
     return _loaded_fact(lake)

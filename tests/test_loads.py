@@ -283,3 +283,20 @@ def test_staged_folders_do_not_add_up(spark):
 def test_mode_is_checked():
     with pytest.raises(ValueError):
         RunContext(date(2024, 1, 1), datetime(2024, 1, 1), "Sometimes")
+
+
+def test_incremental_load_fact_writes_each_dump_once(spark, monkeypatch):
+    from registry import queries
+
+    written = []
+    as_json = queries._as_json
+
+    def counted(df, stage, name):
+        written.append(name)
+        return as_json(df, stage, name)
+
+    monkeypatch.setattr(queries, "_as_json", counted)
+    rows = queries.QUERIES["incremental_load_fact"](spark, "/root/testdata/sf0.001").count()
+    # Users once, transactions and events cut at two days each; before, all three feeds were written three times.
+    assert sorted(written) == ["analytics", "analytics", "transactions", "transactions", "users"]
+    assert rows > 0
